@@ -212,6 +212,27 @@ def _sets(docs: DataFrame, classes: DataFrame, total: int, width: int, numerator
     return rows.select(F.col("doc_id").alias("id"), "n", "r", F.transform("s", lambda x: x["token"]).alias("tokens"), other(2).alias("second"), other(3).alias("third"))
 
 
+def bitmap(hashes: str) -> Column:
+    """64 bits of which each hash in the array column sets one: arrays that share a hash share a bit."""
+    return F.expr(f"aggregate({hashes}, 0L, (a, x) -> a | shiftleft(1L, cast(pmod(x, 64L) AS int)))")
+
+
+def _prefixes(sets: DataFrame) -> DataFrame:
+    """A row per prefix shingle of order 1: id, n, left (shingles from here on), token, and bitmaps of orders 2 and 3."""
+    rows = sets.select("id", "n", F.size("tokens").alias("known"), bitmap("second").alias("bits2"), bitmap("third").alias("bits3"), F.posexplode(F.slice("tokens", F.lit(1), F.col("r"))).alias("at", "token"))
+    return rows.select("id", "n", (F.col("known") - F.col("at")).cast("long").alias("left"), "bits2", "bits3", "token")
+
+
+def _passes(numerator: int, denominator: int) -> Column:
+    """What a pair must meet at its first shared prefix shingle: lengths, shingles left, and a bit of each other order."""
+    n, m = F.col("a.n"), F.col("b.n")
+    lengths = (m * denominator >= n * numerator) & (n * denominator >= m * numerator)
+    # |A and B| >= t / (1 + t) (|A| + |B|), and nothing was shared before the first shared shingle.
+    enough = F.least("a.left", "b.left") * (numerator + denominator) >= numerator * (n + m)
+    others = (F.col("a.bits2").bitwiseAND(F.col("b.bits2")) != 0) & (F.col("a.bits3").bitwiseAND(F.col("b.bits3")) != 0)
+    return lengths & enough & others
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
     """Pairs (a, b) that pass orders 2 and 3 and have the similarity."""
     side = lambda x: sets.select(*(F.col(c).alias(f"{x}_{c}") for c in ("id", "n", "tokens", "second", "third")))
@@ -238,8 +259,7 @@ def join(docs: DataFrame, width: int = WIDTH, numerator: int = NUMERATOR, denomi
     classes = written(classes, "shingle_classes")
     total = known.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
     sets = written(_sets(docs, classes, total, width, numerator, denominator), "shingle_prefixes")
-    prefixes = sets.select("id", "n", F.explode(F.slice("tokens", F.lit(1), F.col("r"))).alias("token"))
-    found = _components(prefixes, sets, numerator, denominator, hub_rounds)
+    found = _components(_prefixes(sets), sets, numerator, denominator, hub_rounds)
     many = classes.filter("copies > 1").select("digest", "first")
     out = salted_join(known, many, "digest", F.col("doc_id")).withColumn("class_id", F.coalesce("first", "doc_id"))
     out = salted_join(out, found.select(F.col("id").alias("class_id"), "component"), "class_id", F.col("doc_id"))
@@ -250,21 +270,17 @@ def _components(prefixes: DataFrame, sets: DataFrame, numerator: int, denominato
     """(id, component) of every class that is in a component of two or more."""
     spark = prefixes.sparkSession
     found = spark.createDataFrame([], "id long, component long")
-    fits = F.col("b_n") * denominator >= F.col("a_n") * numerator
-    fits = fits & (F.col("a_n") * denominator >= F.col("b_n") * numerator)
+    passes = _passes(numerator, denominator)
     for k in range(hub_rounds + 1):
-        placed = prefixes.join(found, "id", "left").select("token", "id", "n", F.coalesce("component", "id").alias("c"))
-        buckets = placed.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min_by(F.struct("id", "n", "c"), F.xxhash64("id", F.lit(k)) if k else F.col("id")).alias("hub"))
-        mixed = buckets.filter("low < high").select("token", "hub")
-        a = placed.select("token", F.col("id").alias("a"), F.col("n").alias("a_n"), F.col("c").alias("a_c"))
+        placed = prefixes.join(found, "id", "left").select(*prefixes.columns, F.coalesce("component", "id").alias("c"))
+        hub = F.min_by(F.struct("id", "n", "left", "bits2", "bits3", "c"), F.xxhash64("id", F.lit(k)) if k else F.col("id"))
+        buckets = placed.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"), hub.alias("hub")).filter("low < high")
         if k < hub_rounds:
-            b = mixed.select("token", F.col("hub.id").alias("b"), F.col("hub.n").alias("b_n"), F.col("hub.c").alias("b_c"))
-            pairs = a.join(b, "token").filter((F.col("a_c") != F.col("b_c")) & fits)
+            pairs = placed.alias("a").join(buckets.select("token", "hub.*").alias("b"), (F.col("a.token") == F.col("b.token")) & (F.col("a.c") != F.col("b.c")) & passes)
         else:
-            a = a.join(mixed.select("token"), "token")
-            b = a.select("token", F.col("a").alias("b"), F.col("a_n").alias("b_n"), F.col("a_c").alias("b_c"))
-            pairs = a.join(b, "token").filter((F.col("a_c") < F.col("b_c")) & fits)
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            mixed = written(placed.join(buckets.select("token"), "token", "left_semi"), "mixed")
+            pairs = mixed.alias("a").join(mixed.alias("b"), (F.col("a.token") == F.col("b.token")) & (F.col("a.c") < F.col("b.c")) & passes)
+        pairs = pairs.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
         links = written(_verified(pairs, sets, numerator, denominator), "links")
         if links.isEmpty():
             continue
