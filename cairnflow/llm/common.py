@@ -56,4 +56,5 @@ def salted_join(big: DataFrame, small: DataFrame, on: str, spread: Column, salts
     """
     left = big.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     right = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [on, "__salt"], how).drop("__salt")
+    # A size estimate does not see the repetition; the hint keeps the planner from broadcasting it.
+    return left.join(right.hint("merge"), [on, "__salt"], how).drop("__salt")

@@ -87,13 +87,18 @@ def mix(docs: DataFrame, alpha: float = 0.7, keep: float = 0.8, rounds: int = 12
         F.least(F.lit(1.0), keep * F.try_divide(F.col("__all") * F.col("__ratio"), F.col("__w"))).alias("probability"),
     )
     on = [F.col(f"__{d}").eqNullSafe(F.col(d)) for d in dims]
-    out = _spread(rich, drawn, on).drop(*(f"__{d}" for d in dims))
+    out = _spread(rich, written(drawn, "drawn"), on).drop(*(f"__{d}" for d in dims))
     out = out.withColumn("probability", F.when(F.col("tokens") == 0, 1.0).otherwise(F.coalesce("probability", F.lit(0.0))))
     return out.withColumn("kept", uniform(F.col("doc_id").cast("string"), F.lit("mix")) < F.col("probability"))
 
 
-def _spread(rich: DataFrame, drawn: DataFrame, on: list[Column], salts: int = 32) -> DataFrame:
-    """Join the cell table to all documents although one cell may hold a third of them."""
+def _spread(rich: DataFrame, drawn: DataFrame, on: list[Column], salts: int = 32, most: int = 50_000) -> DataFrame:
+    """Join the cell table to all documents although one cell may hold a third of them.
+
+    At most ``most`` cells (some MB) are broadcast; more are joined by sorting, each repeated per salt.
+    """
+    if drawn.count() <= most:
+        return rich.join(F.broadcast(drawn), on, "left")
     left = rich.withColumn("__salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
     right = drawn.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*on, F.col("__salt") == F.col("__part")], "left").drop("__salt", "__part")
+    return left.join(right.hint("merge"), [*on, F.col("__salt") == F.col("__part")], "left").drop("__salt", "__part")
