@@ -40,7 +40,7 @@ NUMERATOR, DENOMINATOR = 75, 100
 #: Distinct shingles of a document that fall on one bucket of the frequency count, about.
 BUCKET_TOKENS = 1_500_000
 #: A shingle in so many documents of one Arrow batch is sent to its bucket as a count.
-LOCAL_HOT = 32
+LOCAL_HOT = 256
 
 
 class WordHashes(dict):
