@@ -17,7 +17,7 @@ WORD_CLASS = r"[^\x20\x09-\x0D]"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests on one machine) a temporary folder is made and set.
+    Only where that setting is absent (tests on one machine) a temporary folder is made.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
@@ -25,7 +25,6 @@ def shared_dir(spark: SparkSession) -> str:
     if not folder:
         folder = tempfile.mkdtemp(prefix="cairnflow-")
         spark.sparkContext.setCheckpointDir(folder)
-        spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
