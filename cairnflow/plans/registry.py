@@ -50,13 +50,16 @@ def query(sql: str | None = None):
     return add
 
 
-_ok = F.col("event_type") != "error"
+def _ok():
+    """Events that are no errors count as passed runs."""
+    return F.col("event_type") != "error"
+
 
 
 @query("SELECT user_id, count(*) AS total_runs, avg((event_type <> 'error')::DOUBLE) AS pass_rate, round(avg(value), 6) AS avg_duration, max(ts) AS last_run FROM events GROUP BY user_id")
 def ref_run_stats(t):
     """D1"""
-    return A.run_stats(t.events, ["user_id"], _ok, F.col("value"), F.col("ts")).withColumn("avg_duration", F.round("avg_duration", 6))
+    return A.run_stats(t.events, ["user_id"], _ok(), F.col("value"), F.col("ts")).withColumn("avg_duration", F.round("avg_duration", 6))
 
 
 @query("SELECT user_id, coalesce(sum(l_size) FILTER (event_type = 'error'), 0)::BIGINT AS error, coalesce(sum(l_size) FILTER (event_type = 'view'), 0)::BIGINT AS view FROM (SELECT *, (props->>'k')::BIGINT AS l_size FROM events) GROUP BY user_id")
@@ -68,7 +71,7 @@ def ref_severity_counts(t):
 @query("SELECT ts::DATE::VARCHAR AS date, avg((event_type <> 'error')::DOUBLE) AS value, count(*) AS n FROM events GROUP BY 1")
 def ref_daily_trend(t):
     """D3"""
-    return A.daily(t.events, F.col("ts"), _ok.cast("double")).withColumn("date", F.col("date").cast("string"))
+    return A.daily(t.events, F.col("ts"), _ok().cast("double")).withColumn("date", F.col("date").cast("string"))
 
 
 _STATS = "coalesce(min(g), 0) AS min, coalesce(max(g), 0) AS max, coalesce(quantile_disc(g, .5), 0) AS p50, coalesce(quantile_disc(g, .95), 0) AS p95, coalesce(quantile_disc(g, .99), 0) AS p99, round(coalesce(avg(g), 0), 6) AS mean, count(g) AS n, count(*) FILTER (v < 0) AS errors"

@@ -11,12 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-REGISTRY = T.StructType.fromDDL(
-    "category string, id string, path string, type string, purpose string, keywords array<string>, used_by array<string>, "
-    "dependencies array<string>, adaptability struct<score:double,constraints:array<string>,extension_points:array<string>>, "
-    "checksum string, last_verified timestamp"
-)
-AUDIT = T.StructType.fromDDL("timestamp timestamp, action string, path string")
+_STRINGS = T.ArrayType(T.StringType())
+
+
+def _struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(k, v) for k, v in fields.items()])
+
+
+REGISTRY = _struct(
+    category=T.StringType(), id=T.StringType(), path=T.StringType(), type=T.StringType(), purpose=T.StringType(), keywords=_STRINGS, used_by=_STRINGS,
+    dependencies=_STRINGS, adaptability=_struct(score=T.DoubleType(), constraints=_STRINGS, extension_points=_STRINGS), checksum=T.StringType(), last_verified=T.TimestampType(),
+)
+AUDIT = _struct(timestamp=T.TimestampType(), action=T.StringType(), path=T.StringType())
 METRICS_HEADER = ("timestamp", "layer", "passed", "durationMs", "findingsCount")
 
 
