@@ -22,6 +22,7 @@ from .common import require
 
 # Element names of the HTML standard, by their role here.
 RAW = {"script", "style", "noscript", "template", "iframe", "object", "svg", "math", "canvas", "textarea", "select", "title", "noembed", "noframes", "xmp"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 BLOCK = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -65,6 +66,7 @@ class Block:
     text: str
     link_chars: int
     role: int | None  # CONTENT or BOILERPLATE where the markup tells
+    heading: bool = False
 
 
 @dataclass(frozen=True)
@@ -73,7 +75,7 @@ class Thresholds:
 
     link_density: float = 0.33
     short: int = 60
-    long: int = 160
+    long: int = 120
     stop_low: float = 0.12
     stop_high: float = 0.22
 
@@ -102,12 +104,13 @@ def blocks_of(page: str) -> list[Block]:
     text: list[str] = []
     link_chars = 0
     role: int | None = None
+    opened_last = ""  # the block element that the text at hand began in
 
     def end_block() -> None:
         nonlocal link_chars
         words = " ".join(entities.unescape("".join(text)).split()) if text else ""
         if words:
-            out.append(Block(words, link_chars, role))
+            out.append(Block(words, link_chars, role, opened_last in HEADINGS))
         text.clear()
         link_chars = 0
 
@@ -133,6 +136,7 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if name in BLOCK or name in RAW:
             end_block()
+            opened_last = "" if page[found.start() + 1] == "/" else name
         elif name in ("br", "img", "input"):
             text.append(" ")
         if page[found.start() + 1] == "/":
@@ -174,12 +178,12 @@ def classify(block: Block, t: Thresholds = Thresholds()) -> int:
     return NEAR if stops >= t.stop_low else BOILERPLATE
 
 
-def smooth(labels: list[int]) -> list[int]:
+def smooth(labels: list[int], headings: list[bool] | None = None) -> list[int]:
     """Second pass: undecided blocks take the label of the nearest decided ones.
 
     First NEAR, then SHORT blocks: both neighbours alike give their label; of two that differ the nearer
-    wins, at equal distance content for NEAR and boilerplate for SHORT. NEAR without any decided
-    neighbour is content, SHORT is boilerplate.
+    wins, at equal distance content for NEAR and boilerplate for SHORT; an undecided heading goes with what
+    follows it. NEAR without any decided neighbour is content, SHORT is boilerplate.
     """
     out = list(labels)
     for kind, tie in ((NEAR, CONTENT), (SHORT, BOILERPLATE)):
@@ -196,7 +200,8 @@ def smooth(labels: list[int]) -> list[int]:
         for i in range(n):
             if labels[i] == kind:
                 (a, da), (b, db) = before[i], after[i]
-                out[i] = a if a == b or da < db else b if db < da else tie
+                leads = headings is not None and headings[i] and db <= n
+                out[i] = b if leads else a if a == b or da < db else b if db < da else tie
     return out
 
 
@@ -209,7 +214,7 @@ def main_text(page: str | None, t: Thresholds = Thresholds()) -> str:
     blocks = [b for b in blocks_of(page or "") if b.role != BOILERPLATE]
     if any(b.role == CONTENT for b in blocks):
         blocks = [b for b in blocks if b.role == CONTENT]
-    labels = smooth([classify(b, t) for b in blocks])
+    labels = smooth([classify(b, t) for b in blocks], [b.heading for b in blocks])
     return "\n".join(b.text for b, label in zip(blocks, labels, strict=True) if label == CONTENT)
 
 

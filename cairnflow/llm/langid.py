@@ -65,7 +65,7 @@ def grams(code: np.ndarray, bits: int = BITS) -> np.ndarray:
         acc ^= acc >> np.uint64(29)
         slot = ((acc * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - bits)).astype(np.int64)
         out.append(slot[code != _SPACE] if n == 1 else slot)
-    return np.concatenate(out)
+    return np.concatenate(out) if out else np.empty(0, np.int64)
 
 
 @dataclass
