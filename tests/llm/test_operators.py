@@ -72,7 +72,7 @@ def test_html_block_rules():
     prose = "This is the text of a page and it has a lot of the words that are in the list, so that it is long enough to be of use for the test that we have here."
     page = f"<body><div><a href=x>one</a> <a href=y>two</a> <a href=z>three</a></div><div><h2>Title</h2><p>{prose}</p><p>Short.</p><p>{prose}</p></div><div><a href=q>all the links of the site</a></div></body>"
     assert html_extract.main_text(page) == f"Title\n{prose}\nShort.\n{prose}"
-    assert html_extract.smooth([1, -2, -1, 0]) == [1, 1, 1, 0] and html_extract.smooth([-1]) == [0] and html_extract.smooth([0, -1, 0]) == [0, 0, 0]
+    assert html_extract.smooth([1, -2, -1, 0]) == [1, 1, 0, 0] and html_extract.smooth([-1]) == [0] and html_extract.smooth([0, -1, 0]) == [0, 0, 0]
     assert html_extract.blocks_of("<div>" * 30_000 + "x")[0].text == "x"
 
 
