@@ -39,8 +39,10 @@ WIDTH = 5
 NUMERATOR, DENOMINATOR = 75, 100
 #: Distinct shingles of a document that fall on one bucket of the frequency count, about.
 BUCKET_TOKENS = 1_500_000
-#: A shingle in so many documents of one Arrow batch is sent to its bucket as a count.
-LOCAL_HOT = 256
+#: Documents that are packed together.
+PACK_ROWS = 1500
+#: A shingle in so many of them is sent to its bucket as a count.
+LOCAL_HOT = 128
 
 
 class WordHashes(dict):
@@ -49,7 +51,7 @@ class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 400_000:
+        if len(self) > 150_000:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value
@@ -107,12 +109,13 @@ def _packed(docs: DataFrame, bits: int, width: int) -> DataFrame:
     one, low = np.uint64(64 - bits), np.uint64(0xFFFFFFFF)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
         from pyspark import TaskContext
 
         hashes, step = WordHashes(), TaskContext.get().partitionId() * 7919
         for batch in batches:
-            for at in range(0, batch.num_rows, 4000):
-                part = batch.slice(at, 4000)
+            for at in range(0, batch.num_rows, PACK_ROWS):
+                part = batch.slice(at, PACK_ROWS)
                 ids, sets, seen = [], [], set()
                 for doc, text in zip(part.column(0).to_pylist(), part.column(1), strict=True):
                     s = shingles(text.as_py(), hashes, width)
@@ -121,7 +124,7 @@ def _packed(docs: DataFrame, bits: int, width: int) -> DataFrame:
                         ids.append(doc)
                         sets.append(s)
                 order = sorted(range(len(ids)), key=ids.__getitem__)
-                order = [i for i in order if not ((key := sets[i].tobytes()) in seen or seen.add(key))]
+                order = [i for i in order if not ((key := xxhash.xxh3_128_digest(sets[i].tobytes())) in seen or seen.add(key))]
                 seen.clear()
                 if not order:
                     continue
@@ -219,7 +222,9 @@ def bitmap(hashes: str) -> Column:
 
 def _prefixes(sets: DataFrame) -> DataFrame:
     """A row per prefix shingle of order 1: id, n, left (shingles from here on), token, and bitmaps of orders 2 and 3."""
-    rows = sets.select("id", "n", F.size("tokens").alias("known"), bitmap("second").alias("bits2"), bitmap("third").alias("bits3"), F.posexplode(F.slice("tokens", F.lit(1), F.col("r"))).alias("at", "token"))
+    # Written before the explode, which would compute the bitmaps again for each of its rows.
+    heads = sets.select("id", "n", F.size("tokens").alias("known"), bitmap("second").alias("bits2"), bitmap("third").alias("bits3"), F.slice("tokens", F.lit(1), F.col("r")).alias("head"))
+    rows = written(heads, "heads").select("id", "n", "known", "bits2", "bits3", F.posexplode("head").alias("at", "token"))
     return rows.select("id", "n", (F.col("known") - F.col("at")).cast("long").alias("left"), "bits2", "bits3", "token")
 
 
