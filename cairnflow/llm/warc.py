@@ -132,7 +132,7 @@ def write_archives(pages: DataFrame, min_bytes: int = 0, archive_pages: int = 20
     Of pages with equal payloads of at least ``min_bytes`` bytes the one with the smallest page_id becomes
     the response, the others revisit it. A null html is an empty payload, a null url leaves its header out,
     rows with a null page_id are left out (a record needs a name); repeated rows of one page_id are each
-    written, all but one as revisits of that id. Payloads never shuffle: only (page_id, digest) do.
+    written, as responses where theirs is the first. A chunk ends with a record.
     """
     pages = require(pages, ["page_id", "url", "html"], "write_archives").filter("page_id IS NOT NULL")
     raw_sha1 = F.sha1(F.coalesce("html", F.lit("")).cast("binary"))
@@ -180,25 +180,15 @@ _ROW = "page_id long, url string, payload_bytes long, payload_digest string, rec
 def read_archives(archives: DataFrame, payloads: bool = False) -> DataFrame:
     """Every record of the archives, digests verified; a damaged archive raises :class:`DamagedArchive`.
 
-    The chunks of an archive (bounded by ``archive_pages`` when written) meet in one task, which inflates
-    them one after the other and never holds more than a record besides its batch.
+    Chunks end with a record, so each is read where it lies, from its first member to its last; nothing is
+    shuffled, and a task never holds more than a record besides its batch.
     """
     columns = [c.split()[0] for c in _ROW.split(", ")] + ["payload"] * payloads
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = {"archive": None}
-
-        def chunks():
-            for batch in batches:
-                for r in batch.to_pylist():
-                    if r["archive"] != state["archive"]:
-                        state["archive"] = r["archive"]
-                        if r["chunk"]:
-                            raise DamagedArchive(f"{r['archive']} lacks its first chunk")
-                    yield r["data"]
-
+        data = (r["data"] for batch in batches for r in batch.to_pylist())
         rows, held = [], 0
-        for raw in members(chunks()):
+        for raw in members(data):
             row = read_record(raw)
             rows.append({c: row[c] for c in columns})
             held += len(raw) if payloads else 0
@@ -210,8 +200,7 @@ def read_archives(archives: DataFrame, payloads: bool = False) -> DataFrame:
 
     fields = [("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())]
     schema = pa.schema([f for f in fields if f[0] in columns])
-    together = archives.repartition("archive").sortWithinPartitions("archive", "chunk")
-    return together.mapInArrow(run, _ROW + ", payload binary" * payloads)
+    return archives.select("data").mapInArrow(run, _ROW + ", payload binary" * payloads)
 
 
 def export_files(archives: DataFrame, folder: str) -> DataFrame:
