@@ -31,8 +31,8 @@ def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Probability and draw of every document under raked source, language and topic weights."""
-    out = mixing.mix(_read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
+    """Probability and draw of every document under raked source, language and topic weights, clipped at 1 as its SQL states."""
+    out = mixing.mix(_read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"), clip=True)
     return out.select("doc_id", "source", "lang", "topic", "tokens", F.round("probability", 5).alias("probability"), "kept")
 
 

@@ -128,6 +128,26 @@ def test_mix_fits_margins(spark):
     assert mixing.mix(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("skew", [False, True])
+def test_mix_expected_draw_has_margins(spark, skew):
+    """At the default rounds and with the bound, on a table where plain probabilities exceed 1."""
+    rng = random.Random(7)
+    big = [("s0" if rng.random() < 0.34 else f"s{rng.randint(1, 9)}", rng.choices(["en", "de", "es", None], [95, 4, 0.5, 0.5] if skew else [60, 20, 10, 10])[0], "w " * rng.choice([20, 400, 900, 2500])) for _ in range(3000)]
+    rows = [(i, t + ("licence" if rng.random() < 0.03 else ""), a, s) for i, (s, a, t) in enumerate(big)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).cache()
+    assert out.count() == len(rows) and out.filter("probability < 0 OR probability > 1").isEmpty()
+    cells = out.groupBy(*mixing.DIMENSIONS).agg(F.sum("tokens").alias("tokens"), F.sum(F.col("tokens") * F.col("probability")).alias("drawn")).cache()
+    whole, tokens = cells.agg(F.sum("drawn"), F.sum("tokens")).first()
+    for d in mixing.DIMENSIONS:
+        want = {r[d]: r.target for r in mixing.tempered(cells, d, 0.7).collect()}
+        have = {r[d]: r.drawn / whole for r in cells.groupBy(d).agg(F.sum("drawn").alias("drawn")).collect()}
+        assert have.keys() == want.keys() and all(abs(have[v] / want[v] - 1) < 0.03 for v in want), (d, have, want)
+        # No fewer tokens than needed: the most that the scarcest value allows is nearly reached.
+        room = min(r.t / tokens / want[r[d]] for r in cells.groupBy(d).agg(F.sum("tokens").alias("t")).collect())
+        assert whole / tokens <= min(0.8, room) * 1.03
+    assert out.agg(F.max("probability")).first()[0] > 0.97
+
+
 def brute_join(texts, width=5):
     sets = []
     for t in texts:
