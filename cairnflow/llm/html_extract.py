@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,13 +35,17 @@ BLOCK = set(
 CONTAINERS = {"div", "section", "article", "main", "span", "ul", "ol", "table", "td", "li", "blockquote", "figure", "details", "dl"}
 FURNITURE = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "fieldset"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alertdialog", "alert", "menu", "menubar", "toolbar"}
-#: Words of class and id attributes that mark furniture.
+#: Words of class and id attributes that mark furniture. A class of such words only is a plain mark, one among other words a weak one.
 MARKS = set(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies "
     "copyright disclaimer disqus dropdown footer gdpr header login masthead menu modal nav navbar navigation newsletter notice "
     "notices notification pagination pager popup promo promoted promotion recommended related replies respond search share sharing "
     "sidebar sidebars signup skip social sponsor sponsored subscribe subscription toolbar widget widgets".split()
 )
+#: Marks that inside an article name its own head.
+HEADS = {"header", "banner", "masthead"}
+#: First words of classes that tell a state of the layout, such as "no-sidebar".
+STATES = {"no", "not", "has", "with", "without"}
 # Frequent function words of English, German, French and Spanish.
 STOP_WORDS = frozenset(
     "a about all an and are as at be been but by can for from had has have he her his i in into is it its not of on or she that the "
@@ -59,6 +65,7 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 
 CONTENT, BOILERPLATE, SHORT, NEAR = 1, 0, -1, -2
+PLAIN, WEAK = "plain", "weak"
 
 
 @dataclass
@@ -67,6 +74,17 @@ class Block:
     link_chars: int
     role: int | None  # CONTENT or BOILERPLATE where the markup tells
     heading: bool = False
+    mark: int = -1  # the innermost marked element around it
+
+
+@dataclass
+class Span:
+    """A marked or naming element by the blocks it holds, from ``first`` to before ``last``."""
+
+    kind: str
+    first: int
+    parent: int = -1
+    last: int | None = None
 
 
 @dataclass(frozen=True)
@@ -80,42 +98,95 @@ class Thresholds:
     stop_high: float = 0.22
 
 
-def _role(name: str, attributes: str, in_article: bool) -> int | None:
+def _marks(value: str, in_article: bool) -> str | None:
+    """The strongest mark among the tokens of a class or id."""
+    found = None
+    for token in value.split():
+        words = [w for w in re.split(r"[^a-z]+", token) if w]
+        marks = MARKS.intersection(words) - (HEADS if in_article else set())
+        if marks and marks.issuperset(words):
+            return PLAIN
+        if marks and words[0] not in STATES:
+            found = WEAK
+    return found
+
+
+def _role(name: str, attributes: str, in_article: bool) -> tuple[int | None, str | None]:
+    """What an element's name and attributes say of its role, and its mark."""
     if name in FURNITURE or (name == "header" and not in_article):
-        return BOILERPLATE
+        return BOILERPLATE, None
+    mark = None
     if attributes:
         for key, *values in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), "".join(values).lower()
             if key == "role" and value in ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
-                return BOILERPLATE
+                return BOILERPLATE, None
             # The body's own marks, such as "has-sidebar", say nothing of its parts.
-            if key in ("class", "id") and name not in ("body", "html", "article", "main") and MARKS & set(re.split(r"[^a-z]+", value)):
-                return BOILERPLATE
+            if key in ("class", "id") and name not in ("body", "html", "article", "main") and mark != PLAIN:
+                mark = _marks(value, in_article) or mark
     if name in ("article", "main"):
-        return CONTENT
-    return None
+        return CONTENT, None
+    # A few marked words within a line are part of it unless the mark is plain.
+    return None, None if mark == WEAK and name == "span" else mark
+
+
+def _settle(blocks: list[Block], marks: list[Span], named: list[Span], tops: list[int], little: float = 0.25) -> None:
+    """Give the role BOILERPLATE to the blocks of marked elements whose mark decides.
+
+    A plain mark decides unless it is around an article or main of half the size of the page's largest. A weak mark decides only for
+    an element without article, main or first-level heading that has at most ``little`` of the page's text.
+    """
+    size = [0, *accumulate(len(b.text) if b.role != BOILERPLATE else 0 for b in blocks)]
+
+    def held(span: Span) -> int:
+        return size[span.last] - size[span.first]
+
+    texts = [n for n in named if held(n)]
+    most = max(map(held, texts), default=0)
+    winners = sorted(n.first for n in texts if 2 * held(n) >= most)
+    starts = sorted(n.first for n in texts)
+
+    def has(places: list[int], span: Span) -> bool:
+        return bisect_left(places, span.first) < bisect_left(places, span.last)
+
+    drops: list[bool] = []
+    for m in marks:
+        decides = not has(winners, m) if m.kind == PLAIN else not has(starts, m) and not has(tops, m) and held(m) <= little * size[-1]
+        drops.append(decides or m.parent >= 0 and drops[m.parent])
+    for b in blocks:
+        if b.mark >= 0 and drops[b.mark]:
+            b.role = BOILERPLATE
 
 
 def blocks_of(page: str) -> list[Block]:
     """Blocks of text in page order. A tag that the page's end cuts off is dropped; a text cut off counts."""
     out: list[Block] = []
-    stack: list[tuple[str, int | None]] = []  # open elements that bear on their content
+    stack: list[tuple[str, int | None, int, Span | None]] = []  # open elements that bear on their content
+    marks: list[Span] = []
+    named: list[Span] = []
+    tops: list[int] = []  # blocks that are first-level headings
     opened: Counter[str] = Counter()
     text: list[str] = []
     link_chars = 0
     role: int | None = None
+    mark = -1
     opened_last = ""  # the block element that the text at hand began in
 
     def end_block() -> None:
         nonlocal link_chars
         words = " ".join(entities.unescape("".join(text)).split()) if text else ""
         if words:
-            out.append(Block(words, link_chars, role, opened_last in HEADINGS))
+            if opened_last == "h1" and role != BOILERPLATE:
+                tops.append(len(out))
+            out.append(Block(words, link_chars, role, opened_last in HEADINGS, mark))
         text.clear()
         link_chars = 0
 
     def close(name: str) -> None:
         while opened[name]:
+            if stack[-1][3]:
+                end_block()
+                stack[-1][3].last = len(out)
             gone = stack.pop()[0]
             opened[gone] -= 1
             if gone == name:
@@ -148,17 +219,29 @@ def blocks_of(page: str) -> list[Block]:
         elif name not in VOID:
             if name in BLOCK:
                 close("p")
-            inherited = stack[-1][1] if stack else None
-            own = _role(name, found[2] or "", inherited == CONTENT)
-            if own is not None or name == "a" or name in CONTAINERS:
-                # Furniture stays furniture whatever is inside.
-                stack.append((name, BOILERPLATE if inherited == BOILERPLATE else inherited if own is None else own))
+            inherited, around = (stack[-1][1], stack[-1][2]) if stack else (None, -1)
+            own, kind = _role(name, found[2] or "", inherited == CONTENT)
+            span = None
+            if inherited == BOILERPLATE:
+                # Named furniture stays furniture whatever is inside.
+                own = kind = None
+            elif kind or own == CONTENT:
+                end_block()
+                span = Span(kind or name, len(out), around)
+                (marks if kind else named).append(span)
+                around = len(marks) - 1 if kind else around
+            if own is not None or kind or name == "a" or name in CONTAINERS:
+                stack.append((name, inherited if own is None else own, around, span))
                 opened[name] += 1
-        now = stack[-1][1] if stack else None
-        if now != role:
+        now = (stack[-1][1], stack[-1][2]) if stack else (None, -1)
+        if now != (role, mark):
             end_block()
-            role = now
+            role, mark = now
     end_block()
+    for span in (*marks, *named):
+        if span.last is None:
+            span.last = len(out)
+    _settle(out, marks, named, tops)
     return out
 
 

@@ -76,6 +76,23 @@ def test_html_block_rules():
     assert html_extract.blocks_of("<div>" * 30_000 + "x")[0].text == "x"
 
 
+PROSE = "This is the text of a page and it has a lot of the words that are in the list, so that it is long enough to be of use for the test that we have here."
+
+
+@pytest.mark.parametrize("wrapper", ["content-sidebar-wrap", "layout no-sidebar", "site header-fixed", "page sidebar"])
+@pytest.mark.parametrize("inner", ["main", "article"])
+def test_html_article_wins_over_marked_wrapper(wrapper, inner):
+    page = f'<div class="{wrapper}"><{inner}><div class="entry-header"><h1>Title</h1></div><p>{PROSE}</p></{inner}></div>'
+    aside = f'<div class="sidebar"><article><h3>Card</h3><p>Buy.</p></article></div><div id="comments"><article class="comment"><p>{PROSE[:60]}</p></article></div>'
+    assert html_extract.main_text(page + aside) == f"Title\n{PROSE}"
+
+
+def test_html_weak_mark_decides_only_for_little_text():
+    page = f'<div class="layout search-page"><h1>Title</h1><p>{PROSE}</p><p>{PROSE}</p><p>{PROSE}</p><div class="cookie-bar"><p>{PROSE}</p></div><p>a <span class="search-hit">b</span> c. {PROSE}</p></div>'
+    assert html_extract.main_text(page) == f"Title\n{PROSE}\n{PROSE}\n{PROSE}\na b c. {PROSE}"
+    assert html_extract.blocks_of('<div class="ad-x">' * 30_000 + "x")[0].text == "x"
+
+
 def test_html_query(spark):
     rows = spark.createDataFrame([(1, None, None, "z"), (2, "u", PAGE, "z"), (2, "u", PAGE, "z")], "page_id long, url string, html string, text string")
     got = html_extract.extract(rows).collect()
