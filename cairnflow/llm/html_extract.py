@@ -1,10 +1,10 @@
 """Main text of HTML pages by two-pass block rules.
 
-A page is scanned into blocks of text. In the first pass each block is classified by itself: parts that
-the markup names as furniture (navigation, forms, comments, ...) are boilerplate and parts it names as the
-article are content; any other block is judged by link density, length and stop-word density, which leaves
-short blocks undecided. In the second pass an undecided block takes the label of its nearest decided
-neighbours: content if both sides agree on it or the nearer one is content.
+A page is scanned into blocks of text. Parts that the markup names as furniture (navigation, forms, comments,
+...) are boilerplate and taken out. In the first pass every other block is classified by itself by link density,
+length and stop-word density; that it lies in an article is evidence, which moves the bounds. Short blocks and
+those between the bounds stay undecided. In the second pass an undecided block takes the label of its nearest
+decided neighbours: content if both sides agree on it or the nearer one is content.
 """
 
 from __future__ import annotations
@@ -64,7 +64,7 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 
-CONTENT, BOILERPLATE, SHORT, NEAR = 1, 0, -1, -2
+CONTENT, BOILERPLATE, SHORT, NEAR, OUTER = 1, 0, -1, -2, -3
 PLAIN, WEAK = "plain", "weak"
 
 
@@ -72,9 +72,10 @@ PLAIN, WEAK = "plain", "weak"
 class Block:
     text: str
     link_chars: int
-    role: int | None  # CONTENT or BOILERPLATE where the markup tells
+    role: int | None  # BOILERPLATE for furniture, CONTENT inside an article or main
     heading: bool = False
     mark: int = -1  # the innermost marked element around it
+    top: bool = False  # a first-level heading
 
 
 @dataclass
@@ -92,6 +93,7 @@ class Thresholds:
     """Bounds of the first pass, in characters and shares of characters or words."""
 
     link_density: float = 0.33
+    link_density_named: float = 0.5
     short: int = 60
     long: int = 120
     stop_low: float = 0.12
@@ -178,7 +180,7 @@ def blocks_of(page: str) -> list[Block]:
         if words:
             if opened_last == "h1" and role != BOILERPLATE:
                 tops.append(len(out))
-            out.append(Block(words, link_chars, role, opened_last in HEADINGS, mark))
+            out.append(Block(words, link_chars, role, opened_last in HEADINGS, mark, opened_last == "h1"))
         text.clear()
         link_chars = 0
 
@@ -246,16 +248,25 @@ def blocks_of(page: str) -> list[Block]:
 
 
 def classify(block: Block, t: Thresholds = Thresholds()) -> int:
-    """First pass: CONTENT, BOILERPLATE, or SHORT / NEAR for what the neighbours decide."""
-    if block.role is not None:
-        return block.role
+    """First pass: CONTENT, BOILERPLATE, or SHORT / NEAR for what the neighbours decide.
+
+    Inside an article more links are borne, a first-level heading is content, and so is from ``short`` on what
+    has ``stop_low``; nothing there is boilerplate but for its links.
+    """
+    if block.role == BOILERPLATE:
+        return BOILERPLATE
+    named = block.role == CONTENT
     size = len(block.text)
-    if block.link_chars > t.link_density * size:
+    if block.link_chars > (t.link_density_named if named else t.link_density) * size:
         return BOILERPLATE
+    if named and block.top:
+        return CONTENT
+    if size < t.short:
+        return NEAR if named else SHORT
     words = block.text.lower().split()
     stops = sum(w.strip(".,;:!?()\"'") in STOP_WORDS for w in words) / len(words)
-    if size < t.short:
-        return SHORT
+    if named:
+        return CONTENT if stops >= t.stop_low else NEAR
     if stops >= t.stop_high:
         return CONTENT if size >= t.long else NEAR
     return NEAR if stops >= t.stop_low else BOILERPLATE
@@ -266,10 +277,11 @@ def smooth(labels: list[int], headings: list[bool] | None = None) -> list[int]:
 
     First NEAR, then SHORT blocks: both neighbours alike give their label; of two that differ the nearer
     wins, at equal distance content for NEAR and boilerplate for SHORT; an undecided heading goes with what
-    follows it. NEAR without any decided neighbour is content, SHORT is boilerplate.
+    follows it. NEAR without any decided neighbour is content, SHORT is boilerplate. OUTER, a short block on a
+    page that has an article elsewhere, is content only between content.
     """
     out = list(labels)
-    for kind, tie in ((NEAR, CONTENT), (SHORT, BOILERPLATE)):
+    for kind, tie in ((NEAR, CONTENT), (SHORT, BOILERPLATE), (OUTER, BOILERPLATE)):
         n = len(out)
         before, after = [(tie, n + 1)] * n, [(tie, n + 1)] * n
         last: tuple[int, int] | None = None
@@ -284,20 +296,26 @@ def smooth(labels: list[int], headings: list[bool] | None = None) -> list[int]:
             if labels[i] == kind:
                 (a, da), (b, db) = before[i], after[i]
                 leads = headings is not None and headings[i] and db <= n
-                out[i] = b if leads else a if a == b or da < db else b if db < da else tie
+                out[i] = b if leads else a if a == b else tie if kind == OUTER else a if da < db else b if db < da else tie
     return out
 
 
 def main_text(page: str | None, t: Thresholds = Thresholds()) -> str:
     """The content blocks of a page, one line each; empty if there are none.
 
-    Where the markup names an article with text, unnamed blocks outside it are no part of it. Blocks that
-    the markup names as furniture say nothing of their neighbours and are taken out before the second pass.
+    Blocks that the markup names as furniture say nothing of their neighbours and are taken out first. Where
+    the density rules find no content in an article (a language without stop words here, verse, a list of
+    short items), what they leave undecided there is content.
     """
     blocks = [b for b in blocks_of(page or "") if b.role != BOILERPLATE]
-    if any(b.role == CONTENT for b in blocks):
-        blocks = [b for b in blocks if b.role == CONTENT]
-    labels = smooth([classify(b, t) for b in blocks], [b.heading for b in blocks])
+    labels = [classify(b, t) for b in blocks]
+    named = [i for i, b in enumerate(blocks) if b.role == CONTENT]
+    if named:
+        labels = [OUTER if x == SHORT else x for x in labels]
+        if not any(labels[i] == CONTENT and not blocks[i].top for i in named):
+            for i in named:
+                labels[i] = CONTENT if labels[i] == NEAR else labels[i]
+    labels = smooth(labels, [b.heading for b in blocks])
     return "\n".join(b.text for b, label in zip(blocks, labels, strict=True) if label == CONTENT)
 
 

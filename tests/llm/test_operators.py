@@ -93,6 +93,15 @@ def test_html_weak_mark_decides_only_for_little_text():
     assert html_extract.blocks_of('<div class="ad-x">' * 30_000 + "x")[0].text == "x"
 
 
+def test_html_article_is_evidence_not_a_label():
+    links = "<ul><li><a href=x>one more story</a></li><li><a href=y>another story to see</a></li></ul>"
+    card = "<article><h3>Card</h3><p>Short teaser.</p></article>"
+    assert html_extract.main_text(f"<div><h1>Title</h1><p>{PROSE}</p><p>Short.</p><p>{PROSE}</p></div>{card}").startswith(f"Title\n{PROSE}\nShort.\n{PROSE}")
+    assert html_extract.main_text(f"<div>Menu</div><h1>Title</h1><p>{PROSE}</p><article><p>{PROSE}</p>{links}<p>{PROSE}</p></article><div>Imprint</div>") == f"Title\n{PROSE}\n{PROSE}\n{PROSE}"
+    polish = "Zażółć gęślą jaźń, potem jeszcze raz, ponieważ wszyscy tutaj bardzo lubią takie zdania oraz ich brzmienie."
+    assert html_extract.main_text(f"<article><h1>Tytuł</h1>{links}<p>{polish}</p>{links}<p>Tak.</p></article>") == f"Tytuł\n{polish}\nTak."
+
+
 def test_html_query(spark):
     rows = spark.createDataFrame([(1, None, None, "z"), (2, "u", PAGE, "z"), (2, "u", PAGE, "z")], "page_id long, url string, html string, text string")
     got = html_extract.extract(rows).collect()
