@@ -3,8 +3,9 @@
 Texts are lower-cased, everything but letters becomes one space, and n-grams of 1 to 3 characters are
 hashed. A feature's value is its share of the text's n-grams times its inverse document frequency. The
 weights are fitted by follow-the-regularised-leader (FTRL-Proximal), whose L1 term leaves most at zero,
-and probabilities are calibrated by one temperature on rows held out of the fit. The fit runs on a
-bounded sample; prediction reads whole texts in Arrow batches and shuffles nothing.
+and probabilities are calibrated by one temperature on rows held out of the fit. Document frequencies are
+counted over all documents of the learning folds; the fit runs on a bounded sample of distinct texts, drawn
+per language; prediction reads whole texts in Arrow batches and shuffles nothing.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import require
@@ -106,17 +108,45 @@ def sparse_features(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", "lang").mapInArrow(run, "doc_id long, lang string, slots array<int>, counts array<int>")
 
 
-def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], alpha: float = 2.0, beta: float = 1.0, l1: float = 1e-4, l2: float = 1e-5, epochs: int = 4, bits: int = BITS) -> Model:
-    """rows: (language, slots, counts), in the order of training; every fifth calibrates. No rows: a model of ``und``."""
+def document_frequencies(docs: DataFrame, bits: int = BITS) -> tuple[int, np.ndarray]:
+    """Number of texts with letters, and of those that hold each slot; a task sends one counter per slot at most."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        to_code, seen, n = letters(), np.zeros(1 << bits, np.int64), 0
+        for batch in batches:
+            for text in batch.column(0):
+                slots = grams(to_code(text.as_py() or ""), bits)
+                if len(slots):
+                    n += 1
+                    seen[np.unique(slots)] += 1
+        at = np.flatnonzero(seen)
+        for k in range(0, len(at), 1 << 16):
+            part = at[k : k + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(seen[part])], ["slot", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int64()), pa.array([n], pa.int64())], ["slot", "n"])
+
+    sums = docs.select("text").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # 2**bits + 1 rows at most
+    out = np.zeros((1 << bits) + 1, np.int64)
+    out[sums.column("slot").to_numpy()] = sums.column("n").to_numpy()  # slot -1 is the last
+    return int(out[-1]), out[:-1]
+
+
+def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], frequencies: tuple[int, np.ndarray] | None = None, alpha: float = 2.0, beta: float = 1.0, l1: float = 1e-4, l2: float = 1e-5, epochs: int = 4, bits: int = BITS) -> Model:
+    """rows: (language, slots, counts), in the order of training; every fifth calibrates. No rows: a model of ``und``.
+
+    frequencies: those of ``document_frequencies``; without them, the rows are counted.
+    """
     rows = [r for r in rows if len(r[1])]
     languages = sorted({r[0] for r in rows})
     size = 1 << bits
     if not languages:
         return Model([], np.zeros((size, 1), np.float32), np.zeros(1, np.float32))
-    seen = np.zeros(size)
-    for _, slots, _ in rows:
-        seen[slots] += 1
-    idf = np.log((1 + len(rows)) / (1 + seen)) + 1
+    if frequencies is None:
+        seen = np.zeros(size)
+        for _, slots, _ in rows:
+            seen[slots] += 1
+        frequencies = len(rows), seen
+    idf = np.log((1 + frequencies[0]) / (1 + frequencies[1])) + 1
     k = len(languages)
     z, n, bias = np.zeros((size, k)), np.zeros((size, k)), np.zeros(k)
     index = {x: i for i, x in enumerate(languages)}
@@ -159,7 +189,7 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], alpha: float = 2.0, beta
 
     grid = np.exp(np.linspace(np.log(0.05), np.log(20), 121))
     model.temperature = float(min(grid, key=loss))
-    model.facts = {"rows": len(train), "held": len(held), "loss": loss(model.temperature), "nonzero": int((w != 0).any(axis=1).sum())}
+    model.facts = {"documents": frequencies[0], "rows": len(train), "held": len(held), "loss": loss(model.temperature), "nonzero": int((w != 0).any(axis=1).sum())}
     return model
 
 
@@ -168,16 +198,44 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5)) == 0
 
 
+def quotas(texts: dict[str, int], sample_rows: int) -> dict[str, int]:
+    """Rows of each language: equal shares of ``sample_rows``, where what a language lacks goes to the others."""
+    out, left = {}, sample_rows
+    for i, (lang, n) in enumerate(sorted(texts.items(), key=lambda x: (x[1], x[0]))):
+        out[lang] = min(n, left // (len(texts) - i))
+        left -= out[lang]
+    return out
+
+
+def sample(usable: DataFrame, sample_rows: int) -> DataFrame:
+    """doc_id, lang, text of at most ``sample_rows`` distinct texts, by ``quotas``, with the smallest text hashes.
+
+    Hashes above what twice a language's quota needs are dropped where they lie; copies have one hash and are
+    combined before any shuffle.
+    """
+    keys = usable.select("doc_id", "lang", F.xxhash64("text").alias("__h"))
+    texts = {r.lang: r.n for r in keys.groupBy("lang").agg(F.approx_count_distinct("__h", 0.02).alias("n")).collect()}  # a row per language
+    # The counts are estimates, so small languages are asked for a little more than counted.
+    quota = quotas({lang: n + n // 10 + 1 for lang, n in texts.items()}, sample_rows)
+    bound = [(lang, quota[lang], min(1.0, (2 * quota[lang] + 50) / max(n, 1))) for lang, n in texts.items()]
+    spark = usable.sparkSession
+    bounds = F.broadcast(spark.createDataFrame(bound, "lang string, __quota int, __rate double"))
+    near = keys.join(bounds, "lang").filter(F.col("__h").cast("double") / F.lit(2.0**64) + 0.5 <= F.col("__rate"))
+    near = near.groupBy("lang", "__quota", "__h").agg(F.min("doc_id").alias("doc_id"))
+    rank = F.row_number().over(W.partitionBy("lang").orderBy("__h"))
+    chosen = near.withColumn("__rank", rank).filter("__rank <= __quota").select("doc_id", "lang", "__h")
+    found = usable.withColumn("__h", F.xxhash64("text")).join(F.broadcast(chosen), ["doc_id", "lang", "__h"], "left_semi")  # bounded by sample_rows
+    return found.select("doc_id", "lang", "text").dropDuplicates(["doc_id", "lang"])
+
+
 def train(docs: DataFrame, sample_rows: int = 3000) -> Model:
-    """Fit on at most ``sample_rows`` labelled documents outside the held-out fold, those with the smallest id hash."""
+    """Fit on a ``sample`` of labelled documents outside the held-out fold, whose document frequencies are of all of them."""
     docs = require(docs, ["doc_id", "text", "lang"], "train").filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
     usable = docs.filter(~held_out(F.col("doc_id")))
-    chosen = usable.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows).distinct()
-    sample = usable.join(F.broadcast(chosen), "doc_id", "left_semi")  # bounded by sample_rows
-    rows = sparse_features(sample).orderBy(F.xxhash64("doc_id"), "lang").limit(sample_rows).toArrow()
+    rows = sparse_features(sample(usable, sample_rows)).orderBy(F.xxhash64("doc_id"), "lang").limit(sample_rows).toArrow()
     slots, counts = rows.column("slots").to_pylist(), rows.column("counts").to_pylist()
     langs = rows.column("lang").to_pylist()
-    return fit([(a, np.array(s, np.int64), np.array(c, np.float64)) for a, s, c in zip(langs, slots, counts, strict=True)])
+    return fit([(a, np.array(s, np.int64), np.array(c, np.float64)) for a, s, c in zip(langs, slots, counts, strict=True)], document_frequencies(usable))
 
 
 def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -290,6 +290,28 @@ def test_language_id_edges(spark):
     assert langid.predict(df.limit(0), nothing).count() == 0
 
 
+def test_language_statistics_of_all_and_sample_per_language(spark):
+    rng = random.Random(4)
+    word = lambda letters: "".join(rng.choices(letters, k=6))
+    rows = [(i, "copy of one text" if i % 3 == 0 else " ".join(word("abcdef") for _ in range(5)), "aa") for i in range(1200)]
+    rows += [(2000 + i, " ".join(word("uvwxyz") for _ in range(5)), "zz") for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    usable = [r for r in rows if langid.crc_fold(r[0])]
+    n, seen = langid.document_frequencies(df.filter(~langid.held_out(F.col("doc_id"))))
+    to_code = langid.letters()
+    want = np.zeros(1 << langid.BITS, int)
+    for _, text, _ in usable:
+        want[np.unique(langid.grams(to_code(text)))] += 1
+    assert n == len(usable) and (seen == want).all()
+    got = langid.sample(df.filter(~langid.held_out(F.col("doc_id"))), 100).collect()
+    small = sum(r[2] == "zz" for r in usable)
+    assert Counter(r.lang for r in got)["zz"] == small and 95 <= len(got) <= 100
+    assert len({r.text for r in got}) == len(got)
+    model = langid.train(df, 60)
+    assert model.languages == ["aa", "zz"] and model.facts["documents"] == len(usable)
+    assert langid.quotas({"a": 10, "b": 1000, "c": 1000}, 110) == {"a": 10, "b": 50, "c": 50}
+
+
 def test_warc_round_trip(spark, tmp_path):
     rows = [(1, "http://a/\r\nx", "<p>é</p>"), (2, None, None), (3, "u", ""), (4, "u", "<p>é</p>"), (5, "v", "z" * 3_000_000), (6, "v", "z" * 3_000_000), (7, "v", "q\r\n\r\nWARC/1.1")]
     df = spark.createDataFrame([(*r, 1, "x") for r in rows], "page_id long, url string, html string, first long, sha string").repartition(2)
