@@ -134,6 +134,12 @@ def test_impact_with_cycle(spark):
     assert (r.direct, r.indirect) == (1, 2)
 
 
+def test_impact_reaches_all_levels(spark):
+    edges = spark.createDataFrame([(f"v{i + 1}", f"v{i}") for i in range(23)], "src string, dst string")
+    found = G.impact(edges, spark.createDataFrame([("v0",)], "id string"))
+    assert {(r.id, r.depth) for r in found.collect()} == {(f"v{i}", i) for i in range(1, 24)}
+
+
 def test_ordered(spark):
     rows = spark.createDataFrame([(i, "abcab"[i]) for i in range(5)], "i int, x string").withColumn("g", F.lit(1))
     grams = {tuple(r.sequence): r.occurrences for r in O.ngrams(rows, ["g"], ["i"], "x").collect()}
