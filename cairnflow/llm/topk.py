@@ -1,11 +1,10 @@
-"""Exact top-k inner products by MaxScore over shards.
+"""Exact top-k inner products over shards by pruning with partial sums, with the bounds of MaxScore.
 
 A query's terms are the dimensions of its vector. Within a shard a term contributes at most its bound
-(query weight times the largest or smallest component of the shard) and at least its floor. Terms are
-split by bound: the non-essential ones together cannot lift a vector over the k-th best score so far, so
-only essential postings are traversed for all vectors; vectors that stay competitive are probed in the
-other terms, strongest first, and dropped as soon as their best possible score falls short. The lists of
-all shards are merged at the end.
+(query weight times the largest or smallest component of the shard) and at least its floor. A shard
+is a dense matrix without postings: its terms are added in blocks, those of the widest bounds first, and a
+vector is dropped as soon as its best possible score falls short of the k-th best that is certain. Each shard
+starts without a threshold; the lists of all shards are merged at the end.
 """
 
 from __future__ import annotations
