@@ -1,4 +1,4 @@
-"""Aggregations (inventory D1-D32). Partial aggregation happens before every shuffle."""
+"""Aggregations (inventory D1-D32 without D26 and D30). Partial aggregation happens before every shuffle."""
 
 from __future__ import annotations
 

@@ -1,4 +1,4 @@
-"""Comparing and merging tables (inventory C1-C16, G1-G6, L1-L3, H29)."""
+"""Comparing and merging tables (inventory C1-C16, G1-G6, L1-L2, H29)."""
 
 from __future__ import annotations
 
