@@ -57,3 +57,21 @@ def salted_join(big: DataFrame, small: DataFrame, on: str, spread: Column, salts
     right = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     # A size estimate does not see the repetition; the hint keeps the planner from broadcasting it.
     return left.join(right.hint("merge"), [on, "__salt"], how).drop("__salt")
+
+
+def weighted_join(big: DataFrame, small: DataFrame, on: str, weight: str, how: str = "left", most: int = 50_000, hot: int = 10_000) -> DataFrame:
+    """Join ``small`` (one row per key) to ``big`` although one key may own much of ``big``.
+
+    ``weight`` is a column of ``small``: how many rows of ``big`` have the key. Keys of more than ``hot`` rows, or
+    of more than their number divided by ``most``, are hot. There are ``most`` of them at most, so they are
+    broadcast, and their rows of ``big`` are not shuffled; all others are joined by sorting.
+    """
+    rows = small.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+    is_hot = F.col(weight) > max(hot, rows // most)
+    few = F.broadcast(small.filter(is_hot))
+    rest = big.filter(F.col(on).isNotNull()).join(F.broadcast(small.filter(is_hot).select(on)), on, "left_anti").join(small.filter(~is_hot), on, how)
+    out = big.join(few, on).unionByName(rest)
+    if how != "left":
+        return out
+    # Rows without a key meet nothing and would all be sent to one task.
+    return out.unionByName(big.filter(F.col(on).isNull()), allowMissingColumns=True)

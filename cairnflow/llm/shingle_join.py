@@ -6,43 +6,47 @@ within the first p = n - ceil(t n) + 1 of each. Candidates must pass that test u
 document frequency (rarest first), and by two hash orders within frequency classes. What passes is
 verified by counting. The steps:
 
-1. Documents with equal sets form a class; its smallest doc_id stands for it.
-2. Document frequencies of all shingles. Each Arrow batch sends its distinct shingles to buckets as packed
-   fingerprints; a shingle that is frequent within a batch is sent once with its count, so the work per
-   bucket grows with batches, not with a hot shingle's documents. A shingle that occurs once takes part in
-   no pair and ends here; it stands first in every order, so a document whose prefix holds none but such
-   shingles has no links.
-3. Prefixes of the others meet by shingle. Candidates are first drawn only between each document and a hub
-   of the bucket, a few rounds; documents found connected need no further comparison, which spares a large
-   group of near copies its square of pairs. Then all pairs of a bucket that are still in different
-   components are candidates: none is left out.
-
-Fingerprints have 32 bits within a bucket besides the bucket's own bits (more as the input grows). Two
-different shingles of a pair of documents get equal fingerprints with a chance below 1e-6 for texts of
-500 words, and that matters only if the pair is within one shingle of the threshold.
+1. Texts are read once. Some documents at a time form a pack, which sends each of its distinct shingles once
+   to a bucket of the hash space: one that only one of its documents has, with that document's place in the
+   pack; one that several have, with their number, while their places stay in the pack's own row. A bucket
+   adds up document frequencies, and what it holds of one shingle grows with packs, not with documents.
+   Shingles that occur once are not sent back: they take part in no pair and stand first in every order, so a
+   document whose prefix holds none but such shingles has no links.
+2. The packs meet their frequencies again; a document's prefixes under the three orders are made there.
+   Documents with equal sets form a class; its smallest doc_id stands for it from here on.
+3. Prefixes meet by shingle. Candidates are first drawn only between each document and a hub of the shingle, a
+   few rounds; documents found connected need no further comparison, which spares a large group of near
+   copies its square of pairs. Then all pairs of a shingle that are still in different components are
+   candidates: none is left out. A frequent shingle is split by its documents in both kinds of join.
+
+Shingles are compared by 64-bit hashes: two different ones of a pair of documents are taken for equal with a
+chance of 1.4e-14 for texts of 500 words and 2.2e-11 for texts of 20,000, which matters only if the pair is
+within one shingle of the threshold.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import require, salted_join, written
+from .common import require, weighted_join, written
 from .components import connected_components
 
 WIDTH = 5
 NUMERATOR, DENOMINATOR = 75, 100
-#: Distinct shingles of a document that fall on one bucket of the frequency count, about.
+#: Shingles of all packs that fall on one bucket of the frequency count, about.
 BUCKET_TOKENS = 1_500_000
-#: Documents that are packed together.
+#: The least number of buckets is two to the power of this, so that they lie evenly on tasks.
+LEAST_BITS = 8
+#: A pack ends with so many documents or shingles.
 PACK_ROWS = 1500
-#: A shingle in so many of them is sent to its bucket as a count.
-LOCAL_HOT = 128
+PACK_SHINGLES = 1_500_000
+#: Documents of one shingle that a task compares at a time.
+SPLIT = 4096
 
 
 class WordHashes(dict):
@@ -80,152 +84,183 @@ def shingles(text: str | None, hashes: WordHashes, width: int = WIDTH) -> np.nda
     return np.unique(acc)
 
 
-def sizes_and_digests(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id, n_shingles, digest (binary, null for an empty set)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        hashes = WordHashes()
-        for batch in batches:
-            n, digests = [], []
-            for text in batch.column(1):
-                s = shingles(text.as_py(), hashes, width)
-                n.append(len(s))
-                digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(digests, pa.binary())], ["doc_id", "n_shingles", "digest"])
-
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary")
-
-
-_BLOB = "bucket int, docs binary, counts binary, tokens binary, hot binary, hot_counts binary"
+def _binary(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """A binary column whose cells are the bytes of ``values`` between neighbouring cuts."""
+    values = np.ascontiguousarray(values)
+    offsets = (np.asarray(cuts) * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+
+def _flat(column: pa.ChunkedArray, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all cells of a binary column, one after the other, and where each cell begins."""
+    cells = [np.frombuffer(x.as_buffer(), kind) for x in column]
+    lengths = [len(x) for x in cells]
+    return np.concatenate(cells) if cells else np.empty(0, kind), np.append(0, np.cumsum(lengths, dtype=np.int64))
+
+
+#: docs, tokens: shingles of one document of the pack; several, counts: those of more. The other columns are the pack's own row.
+_PACKED = ("docs", "tokens", "several", "counts", "ids", "sizes", "digests", "places", "owners")
+_PACKED_SCHEMA = pa.schema([("bucket", pa.int64()), ("pack", pa.int64()), *((c, pa.binary()) for c in _PACKED)])
+
+
+def _own_row(pack: int, cells: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """A pack's own row, under a negative bucket of its own: documents, and who holds what several hold."""
+    columns = {c: _binary(cells[c], np.array([0, len(cells[c])])) if c in cells else pa.array([b""], pa.binary()) for c in _PACKED}
+    return pa.RecordBatch.from_arrays([pa.array([-1 - pack]), pa.array([pack]), *columns.values()], schema=_PACKED_SCHEMA)
+
+
+def _pack(pack: int, ids: list[int], sets: list[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
+    """The rows of one pack: its own, and one per bucket."""
+    import xxhash
+
+    digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
+    # Equal sets within a pack count once; the smallest doc_id stands for them.
+    chosen: dict[bytes, int] = {}
+    for i in sorted(range(len(ids)), key=ids.__getitem__):
+        if len(sets[i]):
+            chosen.setdefault(digests[i], i)
+    at = sorted(chosen.values())
+    own = {"ids": np.array(ids, np.int64), "sizes": np.array([len(s) for s in sets], np.uint32), "digests": np.frombuffer(b"".join(digests), np.uint8)}
+    if not at:
+        yield _own_row(pack, own)
+        return
+    doc = np.repeat(np.array(at, np.uint16), [len(sets[i]) for i in at])
+    token = np.concatenate([sets[i] for i in at])
+    order = np.argsort(token)
+    new = np.append(True, token[order[1:]] != token[order[:-1]])
+    starts = np.flatnonzero(new)
+    count = np.diff(np.append(starts, len(token)))
+    kind = np.empty(len(token), np.int64)
+    kind[order] = np.cumsum(new) - 1
+    repeated = count > 1
+    mine = repeated[kind]
+    several, counts = token[order[starts[repeated]]], count[repeated].astype(np.uint32)
+    yield _own_row(pack, own | {"several": several, "owners": doc[mine], "places": (np.cumsum(repeated) - 1)[kind[mine]].astype(np.uint32)})
+    doc, token = doc[~mine], token[~mine]
+    shift = np.uint64(64 - bits)
+    bucket = token >> shift
+    by = np.argsort(bucket.astype(np.uint16) if bits <= 16 else bucket, kind="stable")
+    doc, token, bucket, other = doc[by], token[by], bucket[by], several >> shift
+    buckets = np.union1d(bucket, other)
+    cuts, others = np.append(np.searchsorted(bucket, buckets), len(bucket)), np.append(np.searchsorted(other, buckets), len(other))
+    none = pa.array([b""] * len(buckets), pa.binary())
+    columns = {"docs": _binary(doc, cuts), "tokens": _binary(token, cuts), "several": _binary(several, others), "counts": _binary(counts, others)}
+    yield pa.RecordBatch.from_arrays([pa.array(buckets.astype(np.int64)), pa.array([pack] * len(buckets)), *(columns.get(c, none) for c in _PACKED)], schema=_PACKED_SCHEMA)
 
 
 def _packed(docs: DataFrame, bits: int, width: int) -> DataFrame:
-    """Per batch and bucket: fingerprints document by document, and hot ones with counts.
-
-    Rows of negative bucket carry the documents of hot fingerprints past the count.
-    """
-    one, low = np.uint64(64 - bits), np.uint64(0xFFFFFFFF)
+    """Rows of all packs of (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
         from pyspark import TaskContext
 
-        hashes, step = WordHashes(), TaskContext.get().partitionId() * 7919
+        hashes, pack = WordHashes(), TaskContext.get().partitionId() << 24
         for batch in batches:
-            for at in range(0, batch.num_rows, PACK_ROWS):
-                part = batch.slice(at, PACK_ROWS)
-                ids, sets, seen = [], [], set()
-                for doc, text in zip(part.column(0).to_pylist(), part.column(1), strict=True):
-                    s = shingles(text.as_py(), hashes, width)
-                    # Equal sets within a batch count once; the smallest doc_id stands for them.
-                    if len(s):
-                        ids.append(doc)
-                        sets.append(s)
-                order = sorted(range(len(ids)), key=ids.__getitem__)
-                order = [i for i in order if not ((key := xxhash.xxh3_128_digest(sets[i].tobytes())) in seen or seen.add(key))]
-                seen.clear()
-                if not order:
-                    continue
-                doc = np.repeat(np.array([ids[i] for i in order], np.int64), [len(sets[i]) for i in order])
-                token = np.concatenate([sets[i] for i in order])
-                token = (token >> one).astype(np.uint64) << np.uint64(32) | (token & low)
-                kinds, where, count = np.unique(token, return_inverse=True, return_counts=True)
-                hot = count >= LOCAL_HOT
-                mine = hot[where]
-                rows = []
-                if hot.any():
-                    step += 1
-                    rows.append((-1 - step % (1 << 20), doc[mine].tobytes(), b"", token[mine].tobytes(), b"", b""))
-                doc, token = doc[~mine], token[~mine]
-                bucket = (token >> np.uint64(32)).astype(np.int32)
-                by = np.argsort(bucket, kind="stable")
-                doc, token, bucket = doc[by], token[by], bucket[by]
-                hot_token, hot_count = kinds[hot], count[hot]
-                hot_bucket = (hot_token >> np.uint64(32)).astype(np.int32)
-                cuts = np.searchsorted(bucket, np.arange((1 << bits) + 1))
-                hot_cuts = np.searchsorted(hot_bucket, np.arange((1 << bits) + 1))
-                for b in range(1 << bits):
-                    d, h = doc[cuts[b] : cuts[b + 1]], slice(hot_cuts[b], hot_cuts[b + 1])
-                    if len(d) or h.start < h.stop:
-                        starts = np.flatnonzero(np.append(True, d[1:] != d[:-1])) if len(d) else np.empty(0, np.int64)
-                        lengths = np.diff(np.append(starts, len(d))).astype("<u4")
-                        low32 = (token[cuts[b] : cuts[b + 1]] & low).astype("<u4")
-                        rows.append((b, d[starts].tobytes(), lengths.tobytes(), low32.tobytes(), (hot_token[h] & low).astype("<u4").tobytes(), hot_count[h].astype("<u4").tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds_of, strict=True)], names)
-
-    names = ["bucket", "docs", "counts", "tokens", "hot", "hot_counts"]
-    kinds_of = [pa.int32(), *[pa.binary()] * 5]
-    return docs.mapInArrow(run, _BLOB)
-
-
-def _count(key, pdf: pd.DataFrame) -> pd.DataFrame:
-    """Of one bucket: (doc_id, token, df) of shingles with df >= 2; hot ones as (null, token, df) and (doc_id, token, null)."""
-    bucket = int(key[0])
-    read = lambda col, kind: [np.frombuffer(x, kind) for x in col]
-    if bucket < 0:
-        doc, token = np.concatenate(read(pdf["docs"], "<i8")), np.concatenate(read(pdf["tokens"], "<u8"))
-        return pd.DataFrame({"doc_id": pd.array(doc, "Int64"), "token": token.astype(np.int64), "df": pd.array([pd.NA] * len(doc), "Int64")})
-    low = np.concatenate(read(pdf["tokens"], "<u4"))
-    doc = np.concatenate([np.repeat(d, c) for d, c in zip(read(pdf["docs"], "<i8"), read(pdf["counts"], "<u4"), strict=True)])
-    hot, weight = np.concatenate(read(pdf["hot"], "<u4")), np.concatenate(read(pdf["hot_counts"], "<u4"))
-    every = np.concatenate([low, hot])
-    order = np.argsort(every, kind="stable")
-    first = np.append(True, every[order][1:] != every[order][:-1]) if len(every) else np.empty(0, bool)
-    group = np.cumsum(first) - 1
-    df = np.bincount(group, weights=np.concatenate([np.ones(len(low)), weight])[order]).astype(np.int64)
-    of = np.empty(len(every), np.int64)
-    of[order] = df[group]
-    keep = of[: len(low)] >= 2
-    hot_kinds, at = np.unique(hot, return_index=True)
-    base = bucket << 32
-    token = np.concatenate([low[keep].astype(np.int64), hot_kinds.astype(np.int64)]) + base
-    docs = pd.array(np.concatenate([doc[keep], np.zeros(len(hot_kinds), np.int64)]), "Int64")
-    docs[keep.sum() :] = pd.NA
-    return pd.DataFrame({"doc_id": docs, "token": token, "df": pd.array(np.concatenate([of[: len(low)][keep], of[len(low) + at]]), "Int64")})
-
-
-def shared_shingles(docs: DataFrame, total: int, width: int = WIDTH) -> DataFrame:
-    """(doc_id, token, df) for every shingle that occurs twice or more; ``total`` is about their number in all."""
-    bits = max(4, int(np.ceil(np.log2(max(total, 1) / BUCKET_TOKENS + 1))))
-    counted = _packed(docs, bits, width).groupBy("bucket").applyInPandas(_count, "doc_id long, token long, df long")
-    counted = written(counted, "shingle_df")
-    plain = counted.filter("doc_id IS NOT NULL AND df IS NOT NULL")
-    hot = counted.filter("df IS NULL").select("doc_id", "token")
-    hot_df = counted.filter("doc_id IS NULL").select("token", "df")
-    return plain.unionByName(salted_join(hot, hot_df, "token", F.col("doc_id"), how="inner").select("doc_id", "token", "df"))
-
-
-def prefix_length(n: Column, numerator: int, denominator: int) -> Column:
-    """n - ceil(t n) + 1."""
-    return n - F.ceil(F.lit(numerator) * n / F.lit(denominator) - F.lit(1e-9)).cast("long") + 1
-
-
-def _sets(docs: DataFrame, classes: DataFrame, total: int, width: int, numerator: int, denominator: int) -> DataFrame:
-    """One row per class that may have links: id, n, r, tokens (order 1), second and third (prefixes of orders 2 and 3)."""
-    shared = shared_shingles(docs, total, width)
-    rows = shared.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("s"))
-    rows = rows.join(classes.select(F.col("first").alias("doc_id"), F.col("n_shingles").alias("n")).distinct(), "doc_id")
-    # Shingles seen once lead every order and meet nobody: they use up the prefix first.
-    rows = rows.withColumn("r", (prefix_length(F.col("n"), numerator, denominator) - (F.col("n") - F.size("s"))).cast("int")).filter("r > 0")
-    other = lambda seed: F.slice(
-        F.transform(F.sort_array(F.transform("s", lambda x: F.struct(F.floor(F.log2(x["df"])).alias("c"), F.xxhash64(F.lit(seed), x["token"]).alias("h")))), lambda x: x["h"]), F.lit(1), F.col("r")
-    )
-    return rows.select(F.col("doc_id").alias("id"), "n", "r", F.transform("s", lambda x: x["token"]).alias("tokens"), other(2).alias("second"), other(3).alias("third"))
-
-
-def bitmap(hashes: str) -> Column:
-    """64 bits of which each hash in the array column sets one: arrays that share a hash share a bit."""
-    return F.expr(f"aggregate({hashes}, 0L, (a, x) -> a | shiftleft(1L, cast(pmod(x, 64L) AS int)))")
+            ids, sets, held = [], [], 0
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                ids.append(doc)
+                sets.append(shingles(text.as_py(), hashes, width))
+                held += len(sets[-1])
+                if len(ids) >= PACK_ROWS or held >= PACK_SHINGLES:
+                    yield from _pack(pack, ids, sets, bits)
+                    ids, sets, held, pack = [], [], 0, pack + 1
+            if ids:
+                yield from _pack(pack, ids, sets, bits)
+                pack += 1
+
+    return docs.mapInArrow(run, "bucket long, pack long, " + ", ".join(f"{c} binary" for c in _PACKED))
+
+
+_COUNTED_SCHEMA = pa.schema([*_PACKED_SCHEMA, ("df", pa.binary()), ("several_df", pa.binary())])
+
+
+def _count(table: pa.Table) -> pa.Table:
+    """Of one bucket, per pack: docs, tokens and df of shingles found twice or more, and df of those several have."""
+    if table.column("bucket")[0].as_py() < 0:
+        none = pa.array([b""] * len(table), pa.binary())
+        return table.append_column("df", none).append_column("several_df", none)
+    (token, cuts), (doc, _) = _flat(table.column("tokens"), "<u8"), _flat(table.column("docs"), "<u2")
+    (several, others), (counts, _) = _flat(table.column("several"), "<u8"), _flat(table.column("counts"), "<u4")
+    every = np.concatenate([token, several])
+    weight = np.append(np.ones(len(token), np.int64), counts)
+    order = np.argsort(every)
+    starts = np.flatnonzero(np.append(True, every[order[1:]] != every[order[:-1]]))
+    df = np.empty(len(every), np.uint32)
+    df[order] = np.repeat(np.minimum(np.add.reduceat(weight[order], starts), (1 << 32) - 1), np.diff(np.append(starts, len(every))))
+    keep = df[: len(token)] > 1
+    left = np.append(0, np.cumsum(keep))[cuts]
+    none = pa.array([b""] * len(table), pa.binary())
+    columns = {
+        "docs": _binary(doc[keep], left), "tokens": _binary(token[keep], left), "df": _binary(df[: len(token)][keep], left), "several_df": _binary(df[len(token) :], others),
+    }
+    return pa.table([table.column("bucket"), table.column("pack"), *(columns.get(c, none) for c in (*_PACKED, "df", "several_df"))], schema=_COUNTED_SCHEMA)
+
+
+def _lists(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths)), pa.int32()), pa.array(values, kind))
+
+
+_SETS = "doc_id long, n_shingles long, digest binary, r int, tokens array<long>, df array<long>, second array<long>, third array<long>, bits2 long, bits3 long"
+
+
+def _prefixes_of(numerator: int, denominator: int) -> Callable[[pa.Table], pa.Table]:
+    def run(table: pa.Table) -> pa.Table:
+        """Of one pack, every document: its set's size and digest, and if it may have links (r > 0) the shingles
+        it shares in order 1 (tokens; df of the first r), the first r hashes of orders 2 and 3, and their bits."""
+        table = table.take(np.argsort(table.column("bucket").to_numpy(), kind="stable"))  # the own row is first
+        flat = lambda c, kind: _flat(table.column(c), kind)[0]
+        ids, n, digests = flat("ids", "<i8"), flat("sizes", "<u4").astype(np.int64), _flat(table.column("digests"), "u1")[0].tobytes()
+        # Cells of ``several`` in bucket rows are empty now: the own row has them in the order of buckets.
+        places, owners = flat("places", "<u4"), flat("owners", "<u2")
+        doc = np.concatenate([flat("docs", "<u2"), owners]).astype(np.int64)
+        token = np.concatenate([flat("tokens", "<u8"), flat("several", "<u8")[places]])
+        df = np.concatenate([flat("df", "<u4"), flat("several_df", "<u4")[places]])
+        shared = np.bincount(doc, minlength=len(ids))
+        prefix = n - (numerator * n + denominator - 1) // denominator + 1
+        # Shingles seen once lead every order and meet nobody: they use up the prefix first.
+        r = np.where(n > 0, np.maximum(prefix - (n - shared), 0), 0)
+        live = r[doc] > 0
+        doc, token, df = doc[live], token[live], df[live]
+        held = np.bincount(doc, minlength=len(ids))
+        # Rows of a document lie together in every order, so its first r are told by their place in it.
+        head = np.arange(len(doc)) - np.repeat(np.cumsum(held) - held, held) < np.repeat(r, held)
+
+        def other(seed: int) -> tuple[np.ndarray, np.ndarray]:
+            h = _mix(token ^ np.uint64(seed))
+            first = h[np.lexsort((h, np.frexp(df.astype(np.float64))[1], doc))][head]
+            bits = np.zeros(len(ids), np.uint64)
+            np.bitwise_or.at(bits, np.repeat(np.arange(len(ids)), r), np.uint64(1) << (first & np.uint64(63)))
+            return first, bits
+
+        (second, bits2), (third, bits3) = other(0x6A09E667F3BCC909), other(0xBB67AE8584CAA73B)
+        order = np.lexsort((token, df, doc))
+        token, df = token[order], df[order]
+        long = lambda x: x.view(np.int64)
+        return pa.table({
+            "doc_id": pa.array(ids), "n_shingles": pa.array(n), "digest": pa.array([digests[16 * i : 16 * i + 16] if k else None for i, k in enumerate(n)], pa.binary()),
+            "r": pa.array(r, pa.int32()), "tokens": _lists(long(token), held, pa.int64()), "df": _lists(df[head].astype(np.int64), r, pa.int64()),
+            "second": _lists(long(second), r, pa.int64()), "third": _lists(long(third), r, pa.int64()), "bits2": pa.array(long(bits2)), "bits3": pa.array(long(bits3)),
+        })
+
+    return run
+
+
+def shingle_sets(docs: DataFrame, width: int = WIDTH, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> DataFrame:
+    """A row per document: doc_id, n_shingles, digest (null for an empty set), and what ``_prefixes_of`` says.
+
+    Of equal sets in a pack only the smallest doc_id has r > 0.
+    """
+    words = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0] / 6
+    bits = max(LEAST_BITS, int(np.ceil(np.log2(words / BUCKET_TOKENS + 1))))
+    counted = _packed(docs, bits, width).groupBy("bucket").applyInArrow(_count, "bucket long, pack long, " + ", ".join(f"{c} binary" for c in (*_PACKED, "df", "several_df")))
+    return written(counted.groupBy("pack").applyInArrow(_prefixes_of(numerator, denominator), _SETS), "shingle_sets")
 
 
 def _prefixes(sets: DataFrame) -> DataFrame:
-    """A row per prefix shingle of order 1: id, n, left (shingles from here on), token, and bitmaps of orders 2 and 3."""
-    # Written before the explode, which would compute the bitmaps again for each of its rows.
-    heads = sets.select("id", "n", F.size("tokens").alias("known"), bitmap("second").alias("bits2"), bitmap("third").alias("bits3"), F.slice("tokens", F.lit(1), F.col("r")).alias("head"))
-    rows = written(heads, "heads").select("id", "n", "known", "bits2", "bits3", F.posexplode("head").alias("at", "token"))
-    return rows.select("id", "n", (F.col("known") - F.col("at")).cast("long").alias("left"), "bits2", "bits3", "token")
+    """A row per prefix shingle of order 1: id, n, left (shingles from here on), token, df, and bits of orders 2 and 3."""
+    head = F.arrays_zip(F.slice("tokens", F.lit(1), F.col("r")).alias("token"), "df")
+    rows = sets.select("id", "n", F.size("tokens").alias("known"), "bits2", "bits3", F.posexplode(head).alias("at", "x"))
+    return rows.select("id", "n", (F.col("known") - F.col("at")).cast("long").alias("left"), "bits2", "bits3", F.col("x.token").alias("token"), F.col("x.df").alias("df"))
 
 
 def _passes(numerator: int, denominator: int) -> Column:
@@ -258,17 +293,17 @@ def join(docs: DataFrame, width: int = WIDTH, numerator: int = NUMERATOR, denomi
     own. Equal sets share class_id (their smallest doc_id). Rows with a null doc_id are left out; repeated
     rows of one doc_id with one text return as often. An empty table gives no rows.
     """
-    docs = require(docs, ["doc_id", "text"], "join").filter("doc_id IS NOT NULL")
-    known = written(sizes_and_digests(docs, width), "shingle_sets")
-    classes = known.filter("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("first"), F.first("n_shingles").alias("n_shingles"), F.count("*").alias("copies"))
+    docs = require(docs, ["doc_id", "text"], "join").select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
+    known = shingle_sets(docs, width, numerator, denominator)
+    classes = known.filter("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
     classes = written(classes, "shingle_classes")
-    total = known.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
-    sets = written(_sets(docs, classes, total, width, numerator, denominator), "shingle_prefixes")
+    sets = known.filter("r > 0").join(classes.select(F.col("first").alias("doc_id")), "doc_id", "left_semi")
+    sets = written(sets.withColumnsRenamed({"doc_id": "id", "n_shingles": "n"}).drop("digest"), "shingle_prefixes")
     found = _components(_prefixes(sets), sets, numerator, denominator, hub_rounds)
-    many = classes.filter("copies > 1").select("digest", "first")
-    out = salted_join(known, many, "digest", F.col("doc_id")).withColumn("class_id", F.coalesce("first", "doc_id"))
-    out = salted_join(out, found.select(F.col("id").alias("class_id"), "component"), "class_id", F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", "class_id", F.coalesce("component", "class_id").alias("component_id"))
+    linked = classes.join(found, classes["first"] == found["id"], "left").select("digest", F.col("first").alias("class_id"), F.coalesce("component", "first").alias("component_id"), "copies")
+    linked = written(linked.filter("copies > 1 OR component_id <> class_id"), "linked")
+    out = weighted_join(known.select("doc_id", "n_shingles", "digest"), linked, "digest", "copies")
+    return out.select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def _components(prefixes: DataFrame, sets: DataFrame, numerator: int, denominator: int, hub_rounds: int) -> DataFrame:
@@ -276,15 +311,21 @@ def _components(prefixes: DataFrame, sets: DataFrame, numerator: int, denominato
     spark = prefixes.sparkSession
     found = spark.createDataFrame([], "id long, component long")
     passes = _passes(numerator, denominator)
+    parts = (F.col("df") / SPLIT).cast("int")  # of a shingle, besides the first: the same for all its rows
     for k in range(hub_rounds + 1):
-        placed = prefixes.join(found, "id", "left").select(*prefixes.columns, F.coalesce("component", "id").alias("c"))
+        placed = prefixes.join(found, "id", "left").select(*prefixes.columns, F.coalesce("component", "id").alias("c"), F.pmod(F.xxhash64("id"), parts + 1).cast("int").alias("part"))
         hub = F.min_by(F.struct("id", "n", "left", "bits2", "bits3", "c"), F.xxhash64("id", F.lit(k)) if k else F.col("id"))
-        buckets = placed.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"), hub.alias("hub")).filter("low < high")
+        buckets = placed.groupBy("token", "df").agg(F.min("c").alias("low"), F.max("c").alias("high"), hub.alias("hub")).filter("low < high")
         if k < hub_rounds:
-            pairs = placed.alias("a").join(buckets.select("token", "hub.*").alias("b"), (F.col("a.token") == F.col("b.token")) & (F.col("a.c") != F.col("b.c")) & passes)
+            hubs = buckets.select("token", F.explode(F.sequence(F.lit(0), parts)).alias("part"), "hub.*")
+            pairs = placed.alias("a").join(hubs.alias("b"), (F.col("a.token") == F.col("b.token")) & (F.col("a.part") == F.col("b.part")) & (F.col("a.c") != F.col("b.c")) & passes)
         else:
-            mixed = written(placed.join(buckets.select("token"), "token", "left_semi"), "mixed")
-            pairs = mixed.alias("a").join(mixed.alias("b"), (F.col("a.token") == F.col("b.token")) & (F.col("a.c") < F.col("b.c")) & passes)
+            mixed = placed.join(buckets.select("token"), "token", "left_semi")
+            # A row meets every part of its shingle under the pair of parts; two rows of one part meet only under that part.
+            both = F.transform(F.sequence(F.lit(0), parts), lambda x: F.struct(F.least("part", x).alias("low"), F.greatest("part", x).alias("high")))
+            mixed = written(mixed.select("*", F.explode(both).alias("meet")), "mixed")
+            apart = (F.col("a.meet.low") == F.col("a.meet.high")) | (F.col("a.part") != F.col("b.part"))
+            pairs = mixed.alias("a").join(mixed.alias("b"), (F.col("a.token") == F.col("b.token")) & (F.col("a.meet") == F.col("b.meet")) & (F.col("a.c") < F.col("b.c")) & apart & passes)
         pairs = pairs.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
         links = written(_verified(pairs, sets, numerator, denominator), "links")
         if links.isEmpty():

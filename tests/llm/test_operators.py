@@ -209,14 +209,29 @@ def near_texts(seed, n=160):
     return texts
 
 
-@pytest.mark.parametrize("seed, hot", [(1, 256), (2, 4)])
-def test_ngram_join_against_brute_force(spark, monkeypatch, seed, hot):
-    monkeypatch.setattr(shingle_join, "LOCAL_HOT", hot)
+@pytest.mark.parametrize("seed, pack, split", [(1, 1500, 4096), (2, 7, 4096), (3, 20, 5)])
+def test_ngram_join_against_brute_force(spark, monkeypatch, seed, pack, split):
+    monkeypatch.setattr(shingle_join, "PACK_ROWS", pack)
+    monkeypatch.setattr(shingle_join, "SPLIT", split)
     texts = near_texts(seed)
     got = shingle_join.join(docs_of(spark, texts).repartition(3)).orderBy("doc_id").collect()
     assert [(r.doc_id, r.n_shingles, r.component_id) for r in got] == brute_join(texts)
 
 
+@pytest.mark.parametrize("rounds", [0, 3])
+def test_ngram_join_shared_passage(spark, monkeypatch, rounds):
+    """Every document has one long passage; some are little else, some are near copies, and rows repeat."""
+    monkeypatch.setattr(shingle_join, "SPLIT", 16)
+    rng = random.Random(9)
+    passage = [f"p{i}" for i in range(60)]
+    own = lambda n: [f"v{rng.randrange(3000)}" for _ in range(n)]
+    texts = [" ".join(own(rng.choice([0, 1, 8, 12, 30, 90])) + passage) for _ in range(110)]
+    df = docs_of(spark, texts).repartition(4)
+    got = shingle_join.join(df.unionByName(df.filter("doc_id < 9")), hub_rounds=rounds).orderBy("doc_id").collect()
+    want = brute_join(texts)
+    assert [(r.doc_id, r.n_shingles, r.component_id) for r in got] == sorted(want + want[:9])
+
+
 def test_ngram_join_empty(spark):
     assert shingle_join.join(docs_of(spark, ["a"]).limit(0)).count() == 0
     assert [r.component_id for r in shingle_join.join(docs_of(spark, [None, "", None])).orderBy("doc_id").collect()] == [0, 1, 2]
