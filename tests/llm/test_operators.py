@@ -128,11 +128,33 @@ def test_max_score_prunes_but_stays_exact():
     rng = np.random.default_rng(5)
     x = np.floor(rng.normal(size=(3000, 64)) * 40)
     ids = np.arange(3000)
+    shards = [topk.Shard(ids[a : a + 1000], x[a : a + 1000]) for a in (0, 1000, 2000)]
     for own in range(0, 3000, 500):
-        found, score = topk.max_score(x[own], own, ids, x, x.min(0), x.max(0), 5)
+        best = None
+        for shard in shards:
+            best = topk.max_score(x[own], own, shard, 5, best)
         all_ = x @ x[own]
         want = sorted((-all_[i], i) for i in ids if i != own)[:5]
-        assert [(-s, i) for i, s in zip(found, score, strict=True)] == want
+        assert [(-s, i) for i, s in zip(*best, strict=True)] == want
+    # Non-essential terms are not traversed, and a shard that cannot reach the threshold not at all.
+    x = np.zeros((500, 3))
+    x[:, 0], x[:, 1], x[:20, 2] = -1, np.arange(500) % 7, 1000
+    shard = topk.Shard(np.arange(500), x)
+    shard.postings[1, 1] = None
+    found, score = topk.max_score(np.array([5.0, 1.0, 1.0]), None, shard, 5, step=1)
+    assert found.tolist() == [6, 13, 5, 12, 19] and score.tolist() == [1001, 1001, 1000, 1000, 1000]
+    shard.postings.clear()
+    assert topk.max_score(np.array([5.0, 1.0, 1.0]), None, shard, 2, (np.array([900, 901]), np.array([2e6, 1e6])))[0].tolist() == [900, 901]
+
+
+def test_top_k_repeated_rows_and_ties(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(8)]
+    df = spark.createDataFrame([*rows, rows[0], rows[0], (9, [7.0, 1.0]), (9, [7.0, 1.0])], "vec_id long, x array<double>")
+    for shape in ({}, {"shard_rows": 3, "block_rows": 1}):
+        got = topk.top_k(df, df.filter("vec_id % 4 = 0"), 5, **shape).collect()
+        mine = {q: [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] for q in (0, 4)}
+        assert mine[0] == [(1, 1), (2, 1), (3, 1), (4, 1), (5, 1)]
+        assert mine[4] == [(7, 29), (9, 29), (9, 29), (6, 25), (5, 21)]
 
 
 def test_mix_fits_margins(spark):
