@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -17,12 +18,14 @@ WORD_CLASS = r"[^\x20\x09-\x0D]"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests on one machine) a temporary folder is made.
+    Only where that setting is absent and driver and executors are one process (tests) a temporary folder is made.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="cairnflow-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -36,7 +39,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by ``written`` that nothing will read again; other frames are left alone."""
+    for table in tables:
+        if path := getattr(table, "_written_path", None):
+            jvm, spark = table.sparkSession._jvm, table.sparkSession
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
 def require(df: DataFrame, columns: Sequence[str], who: str) -> DataFrame:

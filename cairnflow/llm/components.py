@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 
 def _step(edges: DataFrame, large: bool) -> DataFrame:
@@ -36,10 +36,13 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     edges = edges.filter("a IS NOT NULL AND b IS NOT NULL AND a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     mark = None
     for _ in range(most_rounds):
-        edges = written(_step(_step(edges, True), False), "stars")
+        last, edges = edges, written(_step(_step(edges, True), False), "stars")
+        discard(last)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == mark:
             stars = edges.groupBy("b").agg(F.min("a").alias("component")).withColumnRenamed("b", "id")
-            return written(stars.unionByName(edges.select(F.col("a").alias("id"), F.col("a").alias("component")).distinct()), "components")
+            out = written(stars.unionByName(edges.select(F.col("a").alias("id"), F.col("a").alias("component")).distinct()), "components")
+            discard(edges)
+            return out
         mark = now
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import require, weighted_join, written
+from .common import discard, require, weighted_join, written
 from .components import connected_components
 
 WIDTH = 5
@@ -332,5 +332,6 @@ def _components(prefixes: DataFrame, sets: DataFrame, numerator: int, denominato
             continue
         # Components found before come in as links to their smallest member.
         known = found.filter("id <> component").select(F.col("component").alias("a"), F.col("id").alias("b"))
-        found = connected_components(links.unionByName(known))
+        last, found = found, connected_components(links.unionByName(known))
+        discard(links, last)
     return found

@@ -46,6 +46,30 @@ def test_quality_against_brute_force(spark):
     assert quality.judge(docs_of(spark, texts).limit(0)).count() == 0
 
 
+def test_passing_equals_judge_and_columns_may_clash(spark):
+    rng = random.Random(8)
+    prose = lambda n, k: " ".join(rng.choices(["".join(x) for x in itertools.product("abcdefgh", repeat=3)][:k], k=n))
+    texts = [*ODD, "x y z " * 40, *(prose(rng.randint(45, 90), k) for k in (2, 3, 4, 5, 6, 8, 12, 40, 400) for _ in range(8)), prose(60, 400).upper(), "| a " * 80, prose(60, 300) + "!?" * 40]
+    df = spark.createDataFrame([(i, t, 7, None, "k") for i, t in enumerate(texts)] * 2, "doc_id long, text string, n_words int, failed_rule string, kept string")
+    judged = quality.judge(df)
+    assert sorted(judged.columns) == sorted(["doc_id", "text", *quality.FEATURES, "base_failed", "failed_rule", "kept"])
+    want = sorted(r.doc_id for r in judged.collect() if r.kept)
+    passed = quality.passing(df)
+    assert passed.columns == df.columns and sorted(r.doc_id for r in passed.collect()) == want and 0 < len(want) < 2 * len(texts)
+    assert sorted(r.doc_id for r in judged.filter("kept").select("doc_id").collect()) == want
+    for r in judged.collect():
+        n, _, _, _, repeated = brute_quality(texts[r.doc_id])
+        assert r.base_failed == (n < 50 or 100 * repeated > 50 * n)
+    assert quality.passing(df.limit(0)).count() == 0
+
+
+def test_rules_are_ordered_by_rejection_per_cost(spark):
+    """A costly rule that rejects as much as a cheap one comes after it, one that rejects nothing last."""
+    rows = spark.createDataFrame([(i, "ab " * 2000) for i in range(200)], "v int, text string")
+    rules = [quality.Rule("a_costly", (F.col("v") % 2 == 0) & (quality.repeat_words(quality.words(F.col("text"))) >= 0)), quality.Rule("b_cheap", F.col("v") % 2 == 0), quality.Rule("c_never", F.col("v") < 0)]
+    assert quality.ranked(rows, rules) == ["b_cheap", "a_costly", "c_never"]
+
+
 def test_cascade_order_does_not_change_the_verdict(spark):
     rows = spark.createDataFrame([(i,) for i in range(20)], "v int")
     rules = [quality.Rule("odd", F.col("v") % 2 == 1), quality.Rule("big", F.col("v") > 10), quality.Rule("null", F.lit(None).cast("boolean"))]
