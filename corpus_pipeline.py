@@ -17,7 +17,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
-    return quality.judge(docs.select(*COLUMNS)).filter("kept").select(*COLUMNS)
+    return quality.passing(docs.select(*COLUMNS))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str, least_score: float = 0.5) -> DataFrame:
