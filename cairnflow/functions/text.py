@@ -1,4 +1,4 @@
-"""Text functions (inventory H1-H3, H7, H9-H16, H19-H21, H26, H30-H34, B10, B22). All are built-in expressions.
+"""Text functions (inventory H1-H3, H7-H16, H19-H21, H26-H27, H30-H32, H34, B10, B22). All are built-in expressions.
 
 Departures from a JavaScript engine, on purpose: lengths count code points, not UTF-16 units; white space
 is ASCII; words are runs of a-z not touching letters, digits or underscores.
@@ -51,15 +51,16 @@ def words(text: Column) -> Column:
 def text_stats(text: Column) -> dict[str, Column]:
     """Characters, characters without white space, words, sentences, paragraphs and averages."""
     t = text_or_empty(text)
-    full = lambda pattern: F.size(F.filter(F.split(t, pattern), lambda x: F.trim(F.regexp_replace(x, r"\s+", " ")) != ""))
-    n, s = full(r"\s+"), full(r"[.!?]+")
+    # Counts of where a piece with something in it begins: no arrays are built.
+    count = lambda pattern: F.regexp_count(t, F.lit(pattern))
+    n, s = count(r"\S+"), count(r"(?:^|[.!?])\s*+[^.!?\s]")
     chars = F.length(F.regexp_replace(t, r"\s+", ""))
     return {
         "chars": F.length(t),
         "chars_no_space": chars,
         "n_words": n,
         "n_sentences": s,
-        "n_paragraphs": full(r"\n\n+"),
+        "n_paragraphs": count(r"(?:^|\n\n)\s*+\S"),
         "avg_word_length": F.coalesce(F.try_divide(chars, n), F.lit(0.0)),
         "avg_sentence_words": F.coalesce(F.try_divide(n, s), F.lit(0.0)),
     }
@@ -101,12 +102,21 @@ def title(text: Column, n: int = 50) -> Column:
 
 
 def interpolate(text: Column, values: dict[str, str], keep_missing: bool = False) -> Column:
-    """``${NAME}`` and ``${NAME:-default}``; missing gives '' or stays as written."""
-    out = text_or_empty(text)
-    for name, value in values.items():
-        out = F.regexp_replace(out, rf"\$\{{{name}(:-[^}}]*)?\}}", value.replace("\\", "\\\\").replace("$", "\\$"))
-    out = F.regexp_replace(out, r"\$\{[A-Za-z_][A-Za-z0-9_.]*:-([^}]*)\}", "$1")
-    return out if keep_missing else F.regexp_replace(out, r"\$\{[A-Za-z_][A-Za-z0-9_.]*\}", "")
+    """``${NAME}`` and ``${NAME:-default}``; missing gives '' or stays as written.
+
+    The text is cut at its placeholders once, so a value or default that looks like one stays as it is.
+    """
+    t, place = text_or_empty(text), r"\$\{([A-Za-z_][A-Za-z0-9_.]*)(?::-([^}]*))?\}"
+    table = F.create_map(*[F.lit(x) for kv in values.items() for x in kv]) if values else F.create_map().cast("map<string,string>")
+
+    def resolved(mark: Column) -> Column:
+        has_default = mark.contains(":-")
+        default = F.when(has_default, F.regexp_extract(mark, place, 2)).otherwise(mark if keep_missing else F.lit(""))
+        return F.coalesce(F.try_element_at(table, F.regexp_extract(mark, place, 1)), default)
+
+    marks = F.regexp_extract_all(t, F.lit(place), F.lit(0))
+    pieces = F.split(t, place, -1)
+    return F.array_join(F.zip_with(pieces, F.transform(marks, resolved), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
 
 
 def missing_names(text: Column, values: dict[str, str]) -> Column:
@@ -176,3 +186,22 @@ def sheet_range(text: Column) -> Column:
     get = lambda k: F.nullif(F.regexp_extract(text_or_empty(text), r"^(?:'([^']+)'!|([^!']+)!)?([A-Z]+)(\d*)(?::([A-Z]+)(\d*))?$", k), F.lit(""))
     row = lambda k: F.try_to_number(get(k), F.lit("9999999")).cast("int")
     return F.struct(F.coalesce(get(1), get(2)).alias("sheet"), get(3).alias("first_col"), row(4).alias("first_row"), get(5).alias("last_col"), row(6).alias("last_row"))
+
+
+def relevance(own_keywords: Column, own_purpose: Column, wanted_keywords: Column, wanted_purpose: Column, share: float = 0.6) -> Column:
+    """H8: ``share`` of keyword overlap and the rest of purpose similarity, 0 to 1.
+
+    The weights are given, the components' formulas ours: the part of the wanted keywords that is there (0 without
+    any), and the Jaccard similarity of the purposes' words.
+    """
+    wanted = F.array_distinct(F.transform(wanted_keywords, F.lower))
+    overlap = F.coalesce(F.try_divide(F.size(F.array_intersect(F.transform(own_keywords, F.lower), wanted)), F.size(wanted)), F.lit(0.0))
+    a, b = words(own_purpose), words(wanted_purpose)
+    alike = F.coalesce(F.try_divide(F.size(F.array_intersect(a, b)), F.size(F.array_union(a, b))), F.lit(0.0))
+    return share * overlap + (1 - share) * alike
+
+
+def filter_text(parts: dict[str, Column]) -> Column:
+    """``name:value`` terms joined by spaces (all must hold) of the values that are there; values with spaces are quoted."""
+    term = lambda n, v: F.when(v.rlike(r"\s"), F.concat(F.lit(f'{n}:"'), v, F.lit('"'))).otherwise(F.concat(F.lit(f"{n}:"), F.nullif(v, F.lit(""))))
+    return F.concat_ws(" ", *(term(n, v) for n, v in parts.items()))

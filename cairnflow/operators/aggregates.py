@@ -1,10 +1,11 @@
-"""Aggregations (inventory D1-D32 without D26 and D30). Partial aggregation happens before every shuffle."""
+"""Aggregations (inventory D1-D32). Partial aggregation happens before every shuffle."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -29,26 +30,43 @@ def daily(rows: DataFrame, at: Column, value: Column) -> DataFrame:
 
 
 def nearest_rank(value: str, p: float) -> Column:
-    """sorted[ceil(p n) - 1]."""
+    """sorted[ceil(p n) - 1]; holds a group's distinct values in one map, so it is for small groups."""
     return F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY {value})")
 
 
+def nearest_ranks(rows: DataFrame, value: str, percents: Sequence[int], keys: Sequence[str] = ()) -> DataFrame:
+    """D4 for groups of any size: keys, p<percent> by nearest rank. Null values are left out.
+
+    Equal values are counted before they meet, and a running count over the sorted distinct values finds the
+    ranks: a group's values are sorted with spilling and never held in one map.
+    """
+    counts = rows.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__n"))
+    group = W.partitionBy(*keys)
+    upto = F.sum("__n").over(group.orderBy(value).rowsBetween(W.unboundedPreceding, 0))
+    ranked = counts.select(*keys, value, upto.alias("__upto"), F.sum("__n").over(group).alias("__all"))
+    hit = lambda p: F.min(F.when(F.col("__upto") * 100 >= F.col("__all") * p, F.col(value))).alias(f"p{p}")
+    return ranked.groupBy(*keys).agg(*map(hit, percents))
+
+
 def stats_report(rows: DataFrame, value: str, keys: Sequence[str] = (), pooled: bool = False) -> DataFrame:
     """Min, max, p50, p95, p99, mean, n of non-negative values; negative ones are errors, counted apart.
 
     ``pooled`` adds a row over all groups, with null keys. Groups without good values give zeros.
     """
     good = rows.withColumn("__good", F.when(F.col(value) >= 0, F.col(value)))
-    some = lambda c, name: F.coalesce(c, F.lit(0.0)).alias(name)
-    measures = [
-        some(F.min("__good"), "min"), some(F.max("__good"), "max"),
-        *(some(nearest_rank("__good", p / 100), f"p{p}") for p in (50, 95, 99)),
-        some(F.avg("__good"), "mean"), F.count("__good").alias("n"), F.count_if(F.col(value) < 0).alias("errors"),
-    ]
-    if not keys:
-        return good.agg(*measures)
-    grouped = good.groupingSets([[F.col(k) for k in keys], []], *(F.col(k) for k in keys)) if pooled else good.groupBy(*keys)
-    return grouped.agg(*measures)
+    percents = (50, 95, 99)
+
+    def report(by: Sequence[str]) -> DataFrame:
+        plain = good.groupBy(*by).agg(F.min("__good").alias("min"), F.max("__good").alias("max"), F.avg("__good").alias("mean"), F.count("__good").alias("n"), F.count_if(F.col(value) < 0).alias("errors"))
+        ranks = nearest_ranks(good, "__good", percents, by).select(*(F.col(k).alias(f"__{k}") for k in by), *(f"p{p}" for p in percents))
+        same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in by]
+        both = plain.join(ranks, same, "left") if by else plain.join(F.broadcast(ranks), how="left")  # one row each
+        names = ["min", "max", *(f"p{p}" for p in percents), "mean"]
+        none = [F.lit(None).cast(rows.schema[k].dataType).alias(k) for k in keys if k not in by]
+        return both.select(*by, *none, *(F.coalesce(n, F.lit(0.0)).alias(n) for n in names), "n", "errors")
+
+    out = report(keys)
+    return out.unionByName(report(())) if keys and pooled else out
 
 
 def wave_metrics(tasks: DataFrame, wave: str, duration: str, success: Column, keys: Sequence[str] = ()) -> DataFrame:
@@ -69,11 +87,28 @@ def file_edits(edits: DataFrame, file: str) -> DataFrame:
     return per.agg(F.count("*").alias("distinct_files"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_edits"))
 
 
+def _first_of(pairs: DataFrame, key: str, item: str, n: int, name: str) -> DataFrame:
+    """key and its first ``n`` items in order: ranked before they are gathered, so a list is bounded."""
+    rank = F.row_number().over(W.partitionBy(key).orderBy(item))
+    first = pairs.withColumn("__r", rank).filter(F.col("__r") <= n)
+    return first.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias(name))
+
+
+def conflict_rows(edits: DataFrame, file: str, task: str) -> DataFrame:
+    """File, task for every task of every file that two or more tasks touched; nothing is gathered or cut."""
+    per = edits.select(file, task).distinct()
+    shared = per.groupBy(file).agg(F.count("*").alias("__n")).filter("__n >= 2").select(file)
+    return per.join(shared, file, "left_semi")
+
+
 def conflicts(edits: DataFrame, file: str, task: str, most_listed: int = 100) -> DataFrame:
-    """Files that two or more tasks touched, with the first ``most_listed`` tasks in order and the full count."""
+    """Files that two or more tasks touched, with the full count and the first ``most_listed`` tasks in order.
+
+    :func:`conflict_rows` has all of them.
+    """
     per = edits.select(file, task).distinct()
-    listed = F.slice(F.sort_array(F.collect_list(task)), 1, most_listed)
-    return per.groupBy(file).agg(F.count("*").alias("n_tasks"), listed.alias("tasks")).filter("n_tasks >= 2")
+    counts = per.groupBy(file).agg(F.count("*").alias("n_tasks")).filter("n_tasks >= 2")
+    return counts.join(_first_of(per, file, task, most_listed, "tasks"), file)
 
 
 def group_subgroup(rows: DataFrame, group: str, subgroup: str, missing: str = "general") -> DataFrame:
@@ -98,9 +133,10 @@ def errors_by_code(rows: DataFrame, code: str, priority: Column, order: Sequence
 
 
 def links_report(links: DataFrame, source: str, target: str, most_listed: int = 100) -> DataFrame:
-    """Per target the count and the first sources in order."""
+    """Per target the counts and the first ``most_listed`` sources in order; the rows of ``links`` have all."""
     per = links.groupBy(target, source).agg(F.count("*").alias("k"))
-    return per.groupBy(target).agg(F.sum("k").alias("n_links"), F.count("*").alias("n_sources"), F.slice(F.sort_array(F.collect_list(source)), 1, most_listed).alias("sources"))
+    counts = per.groupBy(target).agg(F.sum("k").alias("n_links"), F.count("*").alias("n_sources"))
+    return counts.join(_first_of(per.select(target, source), target, source, most_listed, "sources"), target)
 
 
 def rate_metrics(rows: DataFrame, wait: Column, retries: Column, hits: Column) -> DataFrame:
@@ -168,3 +204,41 @@ def complexity(nodes: DataFrame, edges: DataFrame, graph: str, complex_node: Col
     e = edges.groupBy(graph).agg(F.count("*").alias("edges"))
     total = F.col("nodes") + 0.5 * F.coalesce("edges", F.lit(0)) + 2 * F.col("hard")
     return n.join(e, graph, "left").select(graph, F.floor(total + 0.5).cast("long").alias("complexity"))
+
+
+def heal_summary(rows: DataFrame, severity: Column, healable: Column, kinds: Sequence[str] = ("critical", "high", "medium", "low")) -> DataFrame:
+    """One row: total, a count per kind, auto_healable and its rate in percent (0 without rows)."""
+    n = F.count("*")
+    return rows.agg(n.alias("total"), *(F.count_if(severity == k).alias(k) for k in kinds), F.count_if(healable).alias("auto_healable"), F.coalesce(F.try_divide(100.0 * F.count_if(healable), n), F.lit(0.0)).alias("rate"))
+
+
+def issues_by_severity(rows: DataFrame, status: Column, severity: Column, issues: Sequence[str] = ("fail", "warning", "error")) -> DataFrame:
+    """Severity and count of rows whose status is an issue; passed and skipped ones are none."""
+    return rows.filter(status.isin(*issues)).groupBy(severity.alias("severity")).agg(F.count("*").alias("n"))
+
+
+def by_domain(rows: DataFrame, domain: Column, missing: str = "unknown") -> DataFrame:
+    """Domain and count; a missing or empty domain is ``unknown``."""
+    return rows.groupBy(F.coalesce(F.nullif(domain, F.lit("")), F.lit(missing)).alias("domain")).agg(F.count("*").alias("n"))
+
+
+def delivery_confidence(rows: DataFrame, keys: Sequence[str], parts: dict[str, tuple[Column, Column, float]]) -> DataFrame:
+    """Per key the share of each part (done of all rows that count, 1 without any) and the weighted mean in percent.
+
+    parts: name -> (counts, done, weight). The weights of the overall figure are ours.
+    """
+    share = {n: F.coalesce(F.try_divide(F.count_if(counts & done).cast("double"), F.count_if(counts)), F.lit(1.0)) for n, (counts, done, _) in parts.items()}
+    out = rows.groupBy(*keys).agg(*(c.alias(n) for n, c in share.items()))
+    weight = sum(w for _, _, w in parts.values())
+    return out.withColumn("overall", sum((F.col(n) * (100.0 * w / weight) for n, (_, _, w) in parts.items()), F.lit(0.0)))
+
+
+def pattern_stats(rows: DataFrame, keys: Sequence[str], rate: Column, good: float = 0.8) -> DataFrame:
+    """Number, mean rate, number and share of patterns with at least ``good``."""
+    n = F.count("*")
+    return rows.groupBy(*keys).agg(n.alias("n"), F.avg(rate).alias("mean_rate"), F.count_if(rate >= good).alias("good"), (F.count_if(rate >= good) / n).alias("share"))
+
+
+def checkpoints(rows: DataFrame, keys: Sequence[str], item: str, at: str) -> DataFrame:
+    """L3: every checkpoint counts (n), completed items count once (completed), and the last one is named (last)."""
+    return rows.groupBy(*keys).agg(F.count("*").alias("n"), F.count_distinct(item).alias("completed"), F.max_by(item, at).alias("last"))

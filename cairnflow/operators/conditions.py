@@ -1,4 +1,4 @@
-"""A small condition language compiled to columns (inventory B1-B9, A15, A16)."""
+"""A small condition language compiled to columns (inventory B1-B9, B21, B27, A15, A16, K2)."""
 
 from __future__ import annotations
 
@@ -153,6 +153,17 @@ def checks(rules: dict[str, Column]) -> Column:
     return F.array_compact(F.array(*(F.when(c, F.lit(message)) for message, c in rules.items())))
 
 
+def validated(rules: dict[str, Column]) -> Column:
+    """K2: struct(valid, errors): the messages whose condition holds, valid without any."""
+    errors = checks(rules)
+    return F.struct((F.size(errors) == 0).alias("valid"), errors.alias("errors"))
+
+
+def duplicate_gate(relevance: Column, least: float = 0.8) -> Column:
+    """Blocked if something as relevant as ``least`` is there already."""
+    return F.coalesce(relevance >= least, F.lit(False))
+
+
 def select_text(table: str, columns: Sequence[str] = ("*",), where: dict | None = None, order_by: str | None = None, limit: int | None = None) -> tuple[str, dict]:
     """SQL text with named parameters, for ``spark.sql(text, args)``; names are checked, values never inlined."""
     for name in [table, *columns, *(where or {}), *([order_by] if order_by else [])]:

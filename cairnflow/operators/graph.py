@@ -7,6 +7,8 @@ from itertools import count
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
+
 
 def impact(edges: DataFrame, start: DataFrame, most_depth: int | None = None) -> DataFrame:
     """Edges (src uses dst), start (id) -> (origin, id, depth) of all that depend on a start vertex.
@@ -14,15 +16,14 @@ def impact(edges: DataFrame, start: DataFrame, most_depth: int | None = None) ->
     A frontier loop: each round joins only what was new, so cycles end and nothing is collected. It goes on until
     nothing is new, unless ``most_depth`` asks for so many levels only.
     """
-    used_by = edges.select(F.col("dst").alias("at"), F.col("src").alias("next")).distinct()
+    # Written once: each round reads it instead of planning the edges anew.
+    used_by = written(edges.select(F.col("dst").alias("at"), F.col("src").alias("next")).distinct(), "used_by")
     seen = start.select(F.col("id").alias("origin"), "id").distinct().withColumn("depth", F.lit(0))
     front = seen
-    spark = edges.sparkSession
-    durable = spark.sparkContext.getCheckpointDir() is not None
     for depth in count(1) if most_depth is None else range(1, most_depth + 1):
         new = front.join(used_by, front["id"] == used_by["at"]).select("origin", F.col("next").alias("id")).distinct()
         new = new.join(seen.select("origin", "id"), ["origin", "id"], "left_anti").withColumn("depth", F.lit(depth))
-        new = new.checkpoint() if durable else new.cache()
+        new = written(new, "front")
         if new.isEmpty():
             break
         seen, front = seen.unionByName(new), new

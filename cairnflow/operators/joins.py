@@ -1,4 +1,4 @@
-"""Comparing and merging tables (inventory C1-C16, G1-G6, L1-L2, H29)."""
+"""Comparing and merging tables (inventory C1-C16, G1, G3-G6, L1, H29, K3)."""
 
 from __future__ import annotations
 
@@ -113,3 +113,29 @@ def deep_merge(layers: DataFrame, layer: str = "layer", path: str = "path", valu
     below = above.filter("up <> p AND NOT d").groupBy(F.col("up").alias("p")).agg(F.max("l").alias("child"))
     live = own.join(below, "p", "left").filter("NOT d AND l > coalesce(parent, l - 1) AND (l >= coalesce(same, l)) AND (child IS NULL OR l > child)")
     return live.groupBy(F.col("p").alias(path)).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("l", "v"))), lambda x: x["v"]), ",").alias(value))
+
+
+def concatenated(*scans: DataFrame) -> DataFrame:
+    """The rows of all scans, by column name; what a scan lacks is null."""
+    out = scans[0]
+    for scan in scans[1:]:
+        out = out.unionByName(scan, allowMissingColumns=True)
+    return out
+
+
+def ordered_union(*arrays: Column) -> Column:
+    """Items of all arrays, each once, in the order first seen; a null array has none."""
+    none = F.array()
+    return F.array_distinct(F.concat(*(F.coalesce(a, none) for a in arrays)))
+
+
+#: K3: merge strategies by file name, then by extension.
+STRATEGIES = {".env": "keyed", ".env.example": "keyed", "md": "sections", "yaml": "deep", "yml": "deep", "json": "deep"}
+
+
+def strategy_of(path: Column, strategies: dict[str, str] = STRATEGIES, otherwise: str = "replace") -> Column:
+    """K3: the strategy named for the file name, else for its extension (case-insensitive), else ``replace``."""
+    table = F.create_map(*[F.lit(x) for kv in strategies.items() for x in kv])
+    name = F.lower(F.regexp_extract(path, r"([^/]*)$", 1))
+    extension = F.regexp_extract(name, r"^.+\.([^.]+)$", 1)
+    return F.coalesce(F.try_element_at(table, name), F.try_element_at(table, extension), F.lit(otherwise))

@@ -87,8 +87,9 @@ def page(rows: DataFrame, order: Sequence[Column], number: int, size: int) -> tu
 
 def prune(rows: DataFrame, keep: int, order: Sequence[Column], protected: Column) -> DataFrame:
     """protected rows, and of the others the first in order until ``keep`` rows stay."""
-    first = rows.orderBy(F.when(protected, 0).otherwise(1), *order).limit(keep)
-    return first.unionByName(rows.filter(protected)).distinct()
+    safe = rows.filter(F.coalesce(protected, F.lit(False)))
+    others = rows.filter(~F.coalesce(protected, F.lit(False))).orderBy(*order)
+    return safe.unionByName(others.limit(max(0, keep - safe.count())))
 
 
 def severity_order(severity: Column, order: Sequence[str] = ("critical", "high", "medium", "low")) -> Column:
@@ -119,3 +120,8 @@ def chunks(rows: DataFrame, keys: Sequence[str], order: Sequence[str], size: int
     """Batch number (from 0) of fixed size within each key."""
     rn = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
     return rows.withColumn("chunk", F.floor((rn - 1) / size).cast("long"))
+
+
+def distinct_items(rows: DataFrame, items: str, name: str = "item") -> DataFrame:
+    """The distinct items of an array column."""
+    return rows.select(F.explode(items).alias(name)).filter(F.col(name).isNotNull()).distinct()

@@ -1,9 +1,9 @@
-"""File sources and sinks (inventory A1-A3, A5, A8-A11, A13-A14, A17-A18)."""
+"""File sources and sinks (inventory A1-A3, A5, A8-A9, A11, A13-A14, A17-A18, A20)."""
 
 from __future__ import annotations
 
 import json
-import os
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -32,7 +32,9 @@ def scan_files(spark: SparkSession, root: str, exclude: Sequence[str] = (), exte
     Contents are not read: the binary column is pruned. ``most_files`` is the feature of a bounded scan.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "length", "modificationTime")
-    files = files.withColumn("relative", F.regexp_replace("path", rf"^.*?{_quoted(root.rstrip('/'))}/", ""))
+    # The scheme and host of a path are written in more than one way.
+    below = re.sub(r"^[A-Za-z][\w+.-]*:(//[^/]*)?", "", root).rstrip("/")
+    files = files.withColumn("relative", F.regexp_replace("path", rf"^.*?{_quoted(below)}/", ""))
     for pattern in exclude:
         files = files.filter(~F.col("relative").rlike(pattern))
     if extensions:
@@ -68,7 +70,10 @@ class RegistryError(ValueError):
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    """A5: entities from JSON lines; missing or empty gives no rows, a corrupt line raises when read."""
+    """A5: entities from JSON lines; missing or empty gives no rows, a corrupt line raises whatever columns are read.
+
+    Registries kept as YAML are read by ``yamls.registry_rows``.
+    """
     schema = T.StructType([*REGISTRY.fields, T.StructField("_corrupt", T.StringType())])
     try:
         rows = spark.read.schema(schema).option("columnNameOfCorruptRecord", "_corrupt").json(path)
@@ -77,8 +82,9 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
             raise
         return spark.createDataFrame([], REGISTRY)
     bad = F.concat(F.lit("Failed to parse registry: "), F.substring("_corrupt", 1, 80))
-    checked = F.when(F.col("_corrupt").isNotNull(), F.raise_error(bad).cast("string")).otherwise(F.col("category"))
-    return rows.withColumn("category", checked).select(*REGISTRY.fieldNames())
+    # A filter, unlike a column, is not pruned with the columns a reader leaves out; it reads one more, as the reader asks.
+    whole = F.when(F.col("_corrupt").isNotNull(), F.raise_error(bad).cast("boolean")).otherwise(F.coalesce(F.length("id") >= 0, F.lit(True)))
+    return rows.filter(whole).select(*REGISTRY.fieldNames())
 
 
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str], required: Sequence[str] = ()) -> DataFrame:
@@ -106,8 +112,34 @@ def write_dated(rows: DataFrame, path: str, at: str) -> None:
     rows.withColumn("date", F.to_date(at)).write.mode("append").partitionBy("date").json(path)
 
 
+def replace_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text to a temporary name in any store Spark reaches, then rename; a failure leaves the old file."""
+    jvm = spark._jvm
+    target, temporary = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.tmp")
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsparkSession.sessionState().newHadoopConf())
+    system = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    out = system.create(temporary, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(temporary, target, overwrite)
+
+
+def porcelain(rows: DataFrame, text: str = "text") -> DataFrame:
+    """Short status lines (``XY path`` or ``XY old -> new``) as staged, unstaged, path, old_path; others are left out.
+
+    Starting the command is the caller's: a failed one has no lines. Count before any limit for the total.
+    """
+    part = lambda k: F.regexp_extract(text, r"^([ MADRCU?!])([ MADRCU?!]) (?:(.+) -> )?(.+)$", k)
+    out = rows.select(F.trim(part(1)).alias("staged"), F.trim(part(2)).alias("unstaged"), part(4).alias("path"), F.nullif(part(3), F.lit("")).alias("old_path"))
+    return out.filter("path <> ''")
+
+
 def report_pair(summary: DataFrame, stem: str, most_rows: int = 1000) -> tuple[str, str]:
-    """A small summary as ``stem.json`` and ``stem.md`` on the driver, each replaced at once.
+    """A small summary as ``stem.json`` and ``stem.md``, each replaced at once.
 
     Raises if the summary has more than ``most_rows`` rows: reports are for people.
     """
@@ -117,7 +149,5 @@ def report_pair(summary: DataFrame, stem: str, most_rows: int = 1000) -> tuple[s
     names = summary.columns
     table = [" | ".join(names), " | ".join("---" for _ in names), *(" | ".join(str(r[c]) for c in names) for r in rows)]
     for path, text in ((f"{stem}.json", json.dumps(rows, default=str, indent=2)), (f"{stem}.md", "\n".join(f"| {line} |" for line in table) + "\n")):
-        with open(f"{path}.tmp", "w", encoding="utf-8") as f:
-            f.write(text)
-        os.replace(f"{path}.tmp", path)
+        replace_file(summary.sparkSession, path, text)
     return f"{stem}.json", f"{stem}.md"

@@ -1,4 +1,4 @@
-"""Line-oriented formats (inventory A4, A6, A7, A10, A19, H26, C8)."""
+"""Line-oriented formats and printing (inventory A6, A7, A12, H26, C8, E6, E7, K4); YAML is in ``yamls``."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .yamls import to_yaml
+
 
 def lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """key, line_no (from 1), text: one row per line; a generator, no shuffle."""
@@ -28,15 +30,18 @@ def env_entries(rows: DataFrame, file: str = "file", line_no: str = "line_no", t
     return last.select(file, "key", "r.value", "r.line_no", "r.comment")
 
 
-def markdown_sections(rows: DataFrame, file: str = "file", line_no: str = "line_no", text: str = "text") -> DataFrame:
+#: Patterns of the lines that begin and end a managed section; group 1 is its name.
+MARKERS = (r"<!--\s*managed:start\s+([\w-]+)", r"<!--\s*managed:end\s+([\w-]+)")
+
+
+def markdown_sections(rows: DataFrame, file: str = "file", line_no: str = "line_no", text: str = "text", markers: tuple[str, str] = MARKERS) -> DataFrame:
     """Sections (file, section number, title, level, first_line, last_line, managed, unclosed).
 
-    ``<!-- managed:start ID -->`` to ``<!-- managed:end ID -->`` is one section whatever headers are inside;
-    outside, a header opens a section; lines before the first are the preamble (level 0).
+    From a line that matches the first of ``markers`` to one that matches the second is one section whatever
+    headers are inside; outside, a header opens a section; lines before the first are the preamble (level 0).
     """
     w = W.partitionBy(file).orderBy(line_no)
-    begins = F.regexp_extract(text, r"<!--\s*managed:start\s+([\w-]+)", 1)
-    ends = F.regexp_extract(text, r"<!--\s*managed:end\s+([\w-]+)", 1)
+    begins, ends = (F.regexp_extract(text, m, 1) for m in markers)
     rows = rows.select(file, line_no, text, begins.alias("__b"), ends.alias("__e"))
     depth = F.sum(F.when(F.col("__b") != "", 1).otherwise(0)).over(w.rowsBetween(W.unboundedPreceding, 0)) - F.coalesce(F.sum(F.when(F.col("__e") != "", 1).otherwise(0)).over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     rows = rows.withColumn("__in", depth > 0)
@@ -81,15 +86,8 @@ def link_state(found: DataFrame, known: DataFrame, link: str, path: str, soon: C
     return out.withColumn("state", state).drop("__there", "__soon")
 
 
-def yaml_block(text: Column) -> Column:
-    """The first yaml code block, else the front matter, else null."""
-    block = F.regexp_extract(text, r"(?s)```ya?ml\s*\n(.*?)```", 1)
-    front = F.regexp_extract(text, r"(?s)^---\s*\n(.*?)\n---", 1)
-    return F.coalesce(F.nullif(block, F.lit("")), F.nullif(front, F.lit("")))
-
-
 def parse_flat_yaml(text: str) -> dict | None:
-    """A4: ``key: value`` and ``- item`` lists as a dict; null if the text is anything else (small files on the driver)."""
+    """``key: value`` and ``- item`` lists as a dict; null if the text is anything else. Nested texts: ``yamls.yaml_paths``."""
     out: dict = {}
     current: str | None = None
     for line in text.splitlines():
@@ -108,29 +106,39 @@ def parse_flat_yaml(text: str) -> dict | None:
     return out
 
 
-def to_yaml(rows: list[dict], header: str = "") -> str:
-    """A10: a list of flat mappings as YAML with a header comment."""
-    text = "".join(f"# {x}\n" for x in header.splitlines())
+def _table_text(names: list[str], rows: list[dict]) -> str:
+    widths = [max([len(c), *(len(str(r[c])) for r in rows)]) for c in names]
+    line = lambda cells: "  ".join(str(x).ljust(w) for x, w in zip(cells, widths, strict=True)).rstrip()
+    return "\n".join([line(names), *(line(r.values()) for r in rows)])
+
+
+def _tree_text(names: list[str], rows: list[dict]) -> str:
+    """One level of indent per column; what a row shares with the one before is not said again."""
+    out, before = [], [None] * len(names)
     for r in rows:
-        for i, (k, v) in enumerate(r.items()):
-            text += f"{'- ' if i == 0 else '  '}{k}: {'null' if v is None else json.dumps(v, default=str, ensure_ascii=False)}\n"
-    return text or "[]\n"
+        cells = [str(r[c]) for c in names]
+        same = next((i for i, (x, y) in enumerate(zip(cells, before, strict=True)) if x != y), len(cells))
+        out += [f"{'  ' * i}{cells[i]}" for i in range(same, len(cells))]
+        before = cells
+    return "\n".join(out)
+
+
+#: K4: how a result is printed, by name; callers add their own.
+REPORTERS = {
+    "table": _table_text,
+    "tree": _tree_text,
+    "json": lambda names, rows: json.dumps(rows, default=str, indent=2),
+    "yaml": lambda names, rows: to_yaml(rows),
+}
 
 
 def formatted(rows: DataFrame, kind: str, most_rows: int = 1000) -> str:
-    """Table, json, yaml or count of a small result; raises beyond ``most_rows``."""
+    """A small result by one of ``REPORTERS``, or its ``count``; raises beyond ``most_rows``."""
     if kind == "count":
         return str(rows.count())
+    if kind not in REPORTERS:
+        raise ValueError(f"unknown format {kind!r}")
     got = [r.asDict(recursive=True) for r in rows.limit(most_rows + 1).collect()]
     if len(got) > most_rows:
         raise ValueError(f"more than {most_rows} rows")
-    if kind == "json":
-        return json.dumps(got, default=str, indent=2)
-    if kind == "yaml":
-        return to_yaml(got)
-    if kind != "table":
-        raise ValueError(f"unknown format {kind!r}")
-    widths = [max(len(c), *(len(str(r[c])) for r in got), 0) if got else len(c) for c in rows.columns]
-    line = lambda cells: "  ".join(str(x).ljust(w) for x, w in zip(cells, widths, strict=True)).rstrip()
-    return "\n".join([line(rows.columns), *(line(r.values()) for r in got)])
-
+    return REPORTERS[kind](rows.columns, got)

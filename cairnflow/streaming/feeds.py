@@ -41,24 +41,41 @@ def apply_changes(state: DataFrame, changes: DataFrame, key: str, at: str, actio
 
 
 def upsert_sink(state_path: str, key: str, at: str):
-    """A foreachBatch function that rewrites a Parquet state in two alternating folders, then points at the new one.
+    """A foreachBatch function that keeps a Parquet state.
 
-    Each batch writes ``state_path/v=<batch>``; readers take the highest whole version, so a failed batch
-    leaves the old state in force and its rerun overwrites only its own folder.
+    Each batch writes ``state_path/v=<batch>`` from the highest whole version below it; readers take the highest
+    whole version, so a failed batch leaves the old state in force and its rerun overwrites only its own folder.
+    Versions before the one just read are removed.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        old = read_state(spark, state_path, batch_id - 1)
+        before = [v for v in whole_versions(spark, state_path) if v < batch_id]
+        old = read_state(spark, state_path, before[-1]) if before else None
         values = [c for c in batch.columns if c not in ("action",)]
         state = old if old is not None else spark.createDataFrame([], batch.select(*values).schema)
         apply_changes(state, batch, key, at).write.mode("overwrite").parquet(f"{state_path}/v={batch_id:09d}")
+        for version in before[:-1]:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{state_path}/v={version:09d}")
+            folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
     return run
 
 
-def read_state(spark: SparkSession, state_path: str, version: int) -> DataFrame | None:
-    """The state written by batch ``version``; null for none."""
+def whole_versions(spark: SparkSession, state_path: str) -> list[int]:
+    """Versions of a state whose write was finished, ascending."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(state_path)
+    system = top.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not system.exists(top):
+        return []
+    named = [s.getPath() for s in system.listStatus(top) if s.getPath().getName().startswith("v=")]
+    return sorted(int(p.getName()[2:]) for p in named if system.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+
+def read_state(spark: SparkSession, state_path: str, version: int | None = None) -> DataFrame | None:
+    """The state of a version, by default the highest whole one; None if there is none."""
+    if version is None:
+        version = max(whole_versions(spark, state_path), default=-1)
     return spark.read.parquet(f"{state_path}/v={version:09d}") if version >= 0 else None
 
 
@@ -113,8 +130,11 @@ def rate_limited(events: DataFrame, key: str, at: str, order: str, seconds: floa
     return rows.repartition(key).sortWithinPartitions(key, "__t", order).mapInPandas(run, schema)
 
 
-def rate_limited_stream(events: DataFrame, key: str, at: str, order: str, seconds: float, most: int) -> DataFrame:
-    """J8, J6 on a stream: the same fold with the times held as state, dropped after the window passes."""
+def rate_limited_stream(events: DataFrame, key: str, at: str, order: str, seconds: float, most: int, late: str = "10 minutes") -> DataFrame:
+    """J8, J6 on a stream: the same fold with the times held as state, dropped once the watermark has passed the window.
+
+    ``late`` is how far behind the newest event one may come; events later than that are not judged.
+    """
     from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
     def fold(k, frames, state: GroupState):
@@ -128,12 +148,14 @@ def rate_limited_stream(events: DataFrame, key: str, at: str, order: str, second
                 ok, left, times = _admit(times, t, seconds, most)
                 out.append((k[0], o, ok, left))
         state.update((times,))
-        state.setTimeoutDuration(int(seconds * 1000) + 1)
+        ends = int((max(times, default=0.0) + seconds) * 1000) + 1
+        state.setTimeoutTimestamp(max(ends, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(out, columns=[key, order, "allowed", "remaining"])
 
     schema = T.StructType([events.schema[key], events.schema[order], T.StructField("allowed", T.BooleanType()), T.StructField("remaining", T.IntegerType())])
-    rows = events.select(key, order, (F.unix_micros(F.col(at).cast("timestamp")) / 1e6).alias("__t"))
-    return rows.groupBy(key).applyInPandasWithState(fold, schema, "times array<double>", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    rows = events.select(key, order, F.col(at).cast("timestamp").alias("__at")).withWatermark("__at", late)
+    rows = rows.withColumn("__t", F.unix_micros("__at") / 1e6)
+    return rows.groupBy(key).applyInPandasWithState(fold, schema, "times array<double>", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def breaker_states(events: DataFrame, key: str, at: str, order: str, failed: str, failures: int = 5, reset_seconds: float = 60) -> DataFrame:

@@ -1,7 +1,8 @@
 """The pinned examples of the inventory on tiny tables."""
 
 import json
-from datetime import datetime
+import random
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ from cairnflow.operators import joins as J
 from cairnflow.operators import ordered as O
 from cairnflow.sources import files as Fi
 from cairnflow.sources import lines as L
+from cairnflow.sources import yamls as Y
+from cairnflow.streaming import feeds as R
 
 
 def one(spark, column):
@@ -188,8 +191,6 @@ def test_files(spark, tmp_path):
 
 
 def test_change_feed_and_limits(spark, tmp_path):
-    from cairnflow.streaming import feeds as R
-
     state = spark.createDataFrame([("a", ["b", "c"]), ("b", [])], "id string, used_by array<string>")
     changes = spark.createDataFrame([("b", "change", 1), ("b", "unlink", 2), ("c", "add", 1)], "id string, action string, at int")
     assert {r.id: r.used_by for r in R.apply_changes(state, changes, "id", "at").collect()} == {"a": ["c"], "c": []}
@@ -205,3 +206,117 @@ def test_change_feed_and_limits(spark, tmp_path):
     q = feed.writeStream.foreachBatch(R.upsert_sink(str(tmp_path / "state"), "id", "at")).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert {r.id for r in R.read_state(spark, str(tmp_path / "state"), 0).collect()} == {"a", "b"}
+
+
+def test_impact_of_a_long_chain(spark):
+    edges = spark.createDataFrame([(f"v{i + 1}", f"v{i}") for i in range(40)], "src string, dst string")
+    start = spark.createDataFrame([("v0",)], "id string")
+    assert G.impact(edges, start).count() == 40 and G.impact(edges, start, most_depth=3).count() == 3
+
+
+def test_interpolation_is_done_once(spark):
+    values = {"A": "${B}", "B": "b", "a.b": "dot"}
+    assert one(spark, X.interpolate(F.lit("${A}|${axb}|${a.b}|${N:-${B}|${N:-d$1}|$x"), values)) == "${B}||dot|${B|d$1|$x"
+    assert one(spark, X.interpolate(F.lit("${A} ${N} ${N:-e}"), {}, keep_missing=True)) == "${A} ${N} e"
+    assert one(spark, X.interpolate(F.lit(None).cast("string"), values)) == ""
+
+
+def test_corrupt_registry_raises_whatever_is_read(spark, tmp_path):
+    (tmp_path / "r.jsonl").write_text('{"category": "task", "id": "x"}\n{broken\n')
+    for read in (lambda d: d.count(), lambda d: d.select("id").collect()):
+        with pytest.raises(Exception, match="Failed to parse registry"):
+            read(Fi.read_registry(spark, str(tmp_path / "r.jsonl")))
+
+
+def test_prune_keeps_repeated_rows(spark):
+    rows = spark.createDataFrame([(1, True), (1, True), (2, False), (2, False), (3, False)], "v int, safe boolean")
+    assert sorted(r.v for r in O.prune(rows, 4, [F.col("v")], F.col("safe")).collect()) == [1, 1, 2, 2]
+    assert O.prune(rows, 1, [F.col("v")], F.col("safe")).count() == 2
+
+
+def test_lists_are_bounded_and_rows_are_whole(spark):
+    edits = spark.createDataFrame([("f", i) for i in range(7)] + [("g", 1)], "file string, task int")
+    r = A.conflicts(edits, "file", "task", 3).first()
+    assert (r.file, r.n_tasks, r.tasks) == ("f", 7, [0, 1, 2]) and A.conflict_rows(edits, "file", "task").count() == 7
+    assert A.links_report(edits, "task", "file", 2).orderBy("file").first().sources == [0, 1]
+
+
+def test_nearest_ranks_of_groups(spark):
+    rows = spark.createDataFrame([("a", float(i)) for i in range(1, 101)] + [("b", 5.0), ("c", None), (None, 1.0), (None, 2.0)], "k string, v double")
+    got = {r.k: (r.p50, r.p95, r.p99) for r in A.nearest_ranks(rows, "v", (50, 95, 99), ["k"]).collect()}
+    assert got == {"a": (50.0, 95.0, 99.0), "b": (5.0, 5.0, 5.0), None: (1.0, 2.0, 2.0)}
+    report = {r.k: (r.p50, r.n) for r in A.stats_report(rows, "v", ["k"]).collect()}
+    assert report == {"a": (50.0, 100), "b": (5.0, 1), "c": (0.0, 0), None: (1.0, 2)}
+    assert A.stats_report(rows.limit(0), "v").first().p50 == 0.0
+
+
+YAML = """# head
+files:
+  - path: "a/b: c.md"   # note
+    hash: 'x''y'
+    tags:
+    - t1
+    - "t 2"
+  - path: plain.md
+empty:
+last: ~
+"""
+
+
+def test_nested_yaml(spark):
+    rows = spark.createDataFrame([(1, YAML), (2, "][\n"), (3, None), (4, ""), (5, "- a\n-\n  b: 2\n- c: 3\n  d: 4")], "k int, t string")
+    got = [(r.k, r.path, r.value) for r in Y.yaml_paths(rows, "k", "t").orderBy("k", "line_no").collect()]
+    assert got == [
+        (1, "files.0.path", "a/b: c.md"), (1, "files.0.hash", "x'y"), (1, "files.0.tags.0", "t1"), (1, "files.0.tags.1", "t 2"), (1, "files.1.path", "plain.md"), (1, "last", None),
+        (5, "0", "a"), (5, "1.b", "2"), (5, "2.c", "3"), (5, "2.d", "4"),
+    ]
+    assert Y.to_yaml([{"a": 1, "b": None}], "x") == "# x\n- a: 1\n  b: null\n"
+
+
+def test_text_statistics_of_odd_texts(spark):
+    s = lambda t: tuple(one(spark, F.struct(*(X.text_stats(F.lit(t).cast("string"))[k] for k in ("n_words", "n_sentences", "n_paragraphs")))))
+    assert s(None) == s("") == s(" \n\n ") == (0, 0, 0)
+    assert s("..a. b!? \n\n\n c\n \nd") == (4, 3, 2) and s("\n\nx") == (1, 1, 1)
+
+
+def test_formats(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 2)], "x string, y int").orderBy("x", "y")
+    assert L.formatted(rows, "tree") == "a\n  1\n  2\nb\n  2"
+    with pytest.raises(ValueError):
+        L.formatted(rows, "pdf")
+
+
+def fold_limit(times, window, most):
+    held, out = [], []
+    for t in times:
+        held = [h for h in held if h > t - window]
+        out.append((len(held) < most, max(most - len(held), 0)))
+        held += [t] * (len(held) < most)
+    return out
+
+
+def test_rate_limit_as_a_stream_and_against_a_fold(spark, tmp_path):
+    rng = random.Random(3)
+    calls = [(k, i, datetime(2024, 1, 1) + timedelta(seconds=s)) for k in range(4) for i, s in enumerate(sorted(rng.randrange(600) for _ in range(60)))]
+    rows = spark.createDataFrame(calls, "k int, i int, at timestamp")
+    want = {}
+    for k in range(4):
+        mine = [c for c in calls if c[0] == k]
+        want |= {(k, c[1]): w for c, w in zip(mine, fold_limit([c[2].timestamp() for c in mine], 30, 2), strict=True)}
+    assert {(r.k, r.i): (r.allowed, r.remaining) for r in R.rate_limited(rows, "k", "at", "i", 30, 2).collect()} == want
+    rows.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = R.rate_limited_stream(R.parquet_feed(spark, str(tmp_path / "in"), rows.schema), "k", "at", "i", 30, 2)
+    out = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ck")).outputMode("append").trigger(availableNow=True).start()
+    out.awaitTermination()
+    assert {(r.k, r.i): (r.allowed, r.remaining) for r in spark.read.parquet(str(tmp_path / "out")).collect()} == want
+
+
+def test_state_versions(spark, tmp_path):
+    state = str(tmp_path / "state")
+    step = R.upsert_sink(state, "id", "at")
+    for batch in range(4):
+        step(spark.createDataFrame([(f"k{batch}", "add", batch), ("k", "change", batch)], "id string, action string, at int"), batch)
+    (tmp_path / "state" / "v=000000009").mkdir()  # a write that was not finished
+    assert R.whole_versions(spark, state) == [2, 3]
+    assert {(r.id, r.at) for r in R.read_state(spark, state).collect()} == {("k", 3), *((f"k{b}", b) for b in range(4))}
+    assert R.read_state(spark, str(tmp_path / "none")) is None
