@@ -85,6 +85,11 @@ def page(rows: DataFrame, order: Sequence[Column], number: int, size: int) -> tu
     return rows.orderBy(*order).offset(start).limit(size), facts
 
 
+def by_locale(text: Column, collation: str = "UNICODE") -> Column:
+    """to sort as a locale does (root order by default; ``de_CI`` and the like for others), not by bytes."""
+    return F.collate(text, collation)
+
+
 def prune(rows: DataFrame, keep: int, order: Sequence[Column], protected: Column) -> DataFrame:
     """protected rows, and of the others the first in order until ``keep`` rows stay."""
     safe = rows.filter(F.coalesce(protected, F.lit(False)))

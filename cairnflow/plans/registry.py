@@ -229,7 +229,7 @@ def ref_severity_order(t):
 @query("SELECT p_partkey FROM part ORDER BY p_name, p_partkey LIMIT 10 OFFSET 10")
 def ref_page(t):
     """F2, F5"""
-    return O.page(t.part, [F.col("p_name"), F.col("p_partkey")], 2, 10)[0].select("p_partkey")
+    return O.page(t.part, [O.by_locale(F.col("p_name")), F.col("p_partkey")], 2, 10)[0].select("p_partkey")
 
 
 @query("SELECT s_suppkey FROM (SELECT s_suppkey, s_nationkey < 3 AS safe, row_number() OVER (ORDER BY CASE WHEN s_nationkey < 3 THEN 0 ELSE 1 END, s_acctbal, s_suppkey) AS rn FROM supplier) WHERE safe OR rn <= 8")

@@ -320,3 +320,8 @@ def test_state_versions(spark, tmp_path):
     assert R.whole_versions(spark, state) == [2, 3]
     assert {(r.id, r.at) for r in R.read_state(spark, state).collect()} == {("k", 3), *((f"k{b}", b) for b in range(4))}
     assert R.read_state(spark, str(tmp_path / "none")) is None
+
+
+def test_locale_order(spark):
+    rows = spark.createDataFrame([(x,) for x in ("b", "B", "a", "É", "e", "Z", "f")], "x string")
+    assert [r.x for r in rows.orderBy(O.by_locale(F.col("x"))).collect()] == ["a", "b", "B", "e", "É", "f", "Z"]
