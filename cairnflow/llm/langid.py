@@ -39,7 +39,7 @@ class Letters:
 
     def __init__(self):
         self.table = np.full(0x110000, _SPACE, np.uint32)
-        for c in range(0x20000):
+        for c in range(0x110000):
             if chr(c).isalpha():
                 low = chr(c).lower()
                 self.table[c] = ord(low) if len(low) == 1 else c
@@ -98,13 +98,14 @@ def sparse_features(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         to_code = letters()
         for batch in batches:
-            rows = []
-            for doc, text, lang in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                slots, counts = np.unique(grams(to_code(text or "")), return_counts=True) if text else (np.array([]), np.array([]))
-                rows.append({"doc_id": doc, "lang": lang, "slots": slots.astype(np.int32), "counts": counts.astype(np.int32)})
-            yield pa.RecordBatch.from_pylist(rows, schema)
+            for at in range(0, batch.num_rows, 128):
+                part, found = batch.slice(at, 128), []
+                for text in part.column(1):
+                    found.append(np.unique(grams(to_code(text.as_py() or "")), return_counts=True))
+                cuts = pa.array(np.append(0, np.cumsum([len(s) for s, _ in found])), pa.int32())
+                lists = [pa.ListArray.from_arrays(cuts, pa.array(np.concatenate(x), pa.int32())) for x in zip(*found, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), part.column(2).cast(pa.string()), *lists], ["doc_id", "lang", "slots", "counts"])
 
-    schema = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("slots", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32()))])
     return docs.select("doc_id", "text", "lang").mapInArrow(run, "doc_id long, lang string, slots array<int>, counts array<int>")
 
 
@@ -148,7 +149,8 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], frequencies: tuple[int,
         frequencies = len(rows), seen
     idf = np.log((1 + frequencies[0]) / (1 + frequencies[1])) + 1
     k = len(languages)
-    z, n, bias = np.zeros((size, k)), np.zeros((size, k)), np.zeros(k)
+    # The last slot is the bias: a feature of value 1 in every text.
+    z, n = np.zeros((size + 1, k)), np.zeros((size + 1, k))
     index = {x: i for i, x in enumerate(languages)}
     train = [r for i, r in enumerate(rows) if i % 5 or len(rows) < 50]
     held = [r for i, r in enumerate(rows) if i % 5 == 0] if len(rows) >= 50 else train
@@ -161,9 +163,10 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], frequencies: tuple[int,
     gain = 30.0
     for _ in range(epochs):
         for lang, slots, counts in train:
-            x = gain * idf[slots] * counts / counts.sum()
+            x = np.append(gain * idf[slots] * counts / counts.sum(), 1.0)
+            slots = np.append(slots, size)
             w = weights(slots)
-            s = x @ w + bias
+            s = x @ w
             p = np.exp(s - s.max())
             p /= p.sum()
             p[index[lang]] -= 1.0
@@ -171,8 +174,8 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], frequencies: tuple[int,
             before = n[slots]
             n[slots] = before + g * g
             z[slots] += g - (np.sqrt(n[slots]) - np.sqrt(before)) / alpha * w
-            bias -= 0.01 * p
-    w = weights(np.arange(size))
+    w = weights(np.arange(size + 1))
+    w, bias = w[:size], w[size]
     table = (gain * idf[:, None] * w).astype(np.float32)
     model = Model(languages, table, bias.astype(np.float32))
     scores = np.array([table[s].T @ (c / c.sum()) + bias for _, s, c in held])
@@ -233,9 +236,9 @@ def train(docs: DataFrame, sample_rows: int = 3000) -> Model:
     docs = require(docs, ["doc_id", "text", "lang"], "train").filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
     usable = docs.filter(~held_out(F.col("doc_id")))
     rows = sparse_features(sample(usable, sample_rows)).orderBy(F.xxhash64("doc_id"), "lang").limit(sample_rows).toArrow()
-    slots, counts = rows.column("slots").to_pylist(), rows.column("counts").to_pylist()
+    lists = [[x.values.to_numpy() for c in rows.column(name).chunks for x in c] for name in ("slots", "counts")]
     langs = rows.column("lang").to_pylist()
-    return fit([(a, np.array(s, np.int64), np.array(c, np.float64)) for a, s, c in zip(langs, slots, counts, strict=True)], document_frequencies(usable))
+    return fit(list(zip(langs, *lists, strict=True)), document_frequencies(usable))
 
 
 def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

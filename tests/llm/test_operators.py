@@ -1,11 +1,16 @@
 """Each operator against brute force, a round trip or held-out rows, with nulls, ties, blanks and clashing columns."""
 
+import base64
+import bisect
+import hashlib
+import html
 import itertools
 import random
 import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -331,6 +336,39 @@ def test_token_counts_add_up(spark):
     assert sum(x.n_tokens for x in r) == len(lib.encode("a\n\nb").ids)
 
 
+def test_token_counts_by_section_against_library(spark):
+    texts = [*ODD, "a\n\n\nb c\n d\n", "x\n" * 300, "日本\n語 \n😀\n\n é", "one\r\n two\n\n\n\nthree"]
+    got = {(r.doc_id, r.section): r for r in token_counts.tokens_by_section(docs_of(spark, texts).drop("n")).collect()}
+    lib, seen = hf(), 0
+    for i, t in enumerate(texts):
+        t = t or ""
+        starts = [0, *(k + 1 for k, c in enumerate(t) if c == "\n")]
+        ends = [*starts[1:], len(t)]
+        # The library writes one character per byte of a token, but for the end-of-text mark.
+        widths = [len(x) for x in lib.encode(t, add_special_tokens=False).tokens]
+        first_byte = list(itertools.accumulate((len(c.encode()) for c in t), initial=0))
+        begins = [bisect.bisect_right(first_byte, b) - 1 for b in itertools.accumulate(widths, initial=0)]
+        n, crossing = Counter(), Counter()
+        for b, e in zip(begins, begins[1:]):
+            k = bisect.bisect_right(starts, b) - 1
+            n[k] += 1
+            crossing[k] += e > ends[k]
+        for k in range(len(starts)):
+            r = got[i, k]
+            seen += 1
+            assert (r.start, r.end, r.n_tokens, r.n_crossing) == (starts[k], ends[k], n[k], crossing[k]), (t[:40], k)
+    assert seen == len(got) and sum(r.n_crossing for r in got.values()) > 0
+    twice = docs_of(spark, ["a\nb"])
+    assert token_counts.tokens_by_section(twice.unionByName(twice)).count() == 4
+
+
+def test_language_id_letters_of_all_planes_and_repeated_rows(spark):
+    han = "".join(chr(0x20000 + k) for k in range(40))
+    df = docs_of(spark, [han, "abc def", "12 34"]).withColumn("lang", F.when(F.col("doc_id") == 0, "zh").otherwise("en"))
+    got = [(r.doc_id, r.lang_pred) for r in langid.predict(df.unionByName(df), langid.train(df)).collect()]
+    assert len(got) == 6 and {x for x in got if x[0] == 2} == {(2, "und")} and "und" not in {b for a, b in got if a != 2}
+
+
 def test_language_id_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = langid.train(docs)
