@@ -24,12 +24,13 @@ CAPACITY = 2048
 END = 0
 
 
-def sum_of_squares(lengths: np.ndarray, capacity: int) -> np.ndarray:
+def sum_of_squares(lengths: np.ndarray, capacity: int, any_fit: bool = False) -> np.ndarray:
     """Bin number of each item. Items are placed in the order given; 0 < length <= capacity.
 
     Moving one bin from gap g to g - s changes the sum of squares by 2 (N[g - s] - N[g] + 1); opening one
     adds 2 N[capacity - s] + 1; closing one (g = s) leaves 1 - 2 N[g]. Ties go to the smallest gap, a new
-    bin last. Within a gap the bin last put there is taken.
+    bin last. Within a gap the bin last put there is taken. With ``any_fit`` a new bin is opened only where no
+    open one has room, so that the rule chooses among open bins.
     """
     count = np.zeros(capacity + 1, np.int64)
     stacks: list[list[int]] = [[] for _ in range(capacity + 1)]
@@ -44,7 +45,7 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> np.ndarray:
         change[0] = 1 - 2 * now[0]
         change[now == 0] = np.iinfo(np.int64).max
         k = int(change.argmin())
-        if change[k] <= 2 * count[capacity - s] + 1 and now[k]:
+        if now[k] and (any_fit or change[k] <= 2 * count[capacity - s] + 1):
             gap, where = s + k, stacks[s + k].pop()
             count[gap] -= 1
         else:
@@ -84,14 +85,17 @@ def encode_pieces(docs: DataFrame, capacity: int = CAPACITY, end: int = END, enc
 
 
 def fewest_bins(lengths: np.ndarray, capacity: int) -> np.ndarray:
-    """Sum-of-squares packing in three orders (as given, long items first, longest first): the best of them."""
-    given = np.arange(len(lengths))
-    best = None
-    for order in (given, np.argsort(lengths <= capacity // 4, kind="stable"), np.argsort(-lengths, kind="stable")):
-        bins = sum_of_squares(lengths[order], capacity)
+    """Sum-of-squares packing, the best of some: longest first with any fit, and, unless that leaves no bin to
+    spare, with the plain rule as given, long items first, longest first."""
+    given, longest = np.arange(len(lengths)), np.argsort(-lengths, kind="stable")
+    least, best = -(-int(lengths.sum()) // capacity), None
+    for order, any_fit in ((longest, True), (given, False), (np.argsort(lengths <= capacity // 4, kind="stable"), False), (longest, False)):
+        bins = sum_of_squares(lengths[order], capacity, any_fit)
         if best is None or bins.max() < best.max():
             best = np.empty_like(bins)
             best[order] = bins
+        if best.max() < least:
+            break
     return best
 
 

@@ -494,6 +494,24 @@ def test_packing(spark):
     assert all(len(r.ids) == 4 * r.length for r in rows)
 
 
+def test_packing_needs_hardly_more_than_best_fit_decreasing():
+    rng = np.random.default_rng(11)
+    for lengths in (rng.integers(1, 2048, 3000), np.minimum(rng.lognormal(5.5, 1.2, 4000).astype(int) + 1, 2047), rng.choice([700, 1024, 1400, 30], 1000)):
+        gaps: list[int] = []
+        for s in sorted(lengths.tolist(), reverse=True):
+            at = bisect.bisect_left(gaps, s)
+            bisect.insort(gaps, (gaps.pop(at) if at < len(gaps) else 2048) - s)
+        bins = packing.fewest_bins(lengths, 2048)
+        assert np.bincount(bins, weights=lengths).max() <= 2048 and bins.max() + 1 <= 1.005 * len(gaps) + 1
+
+
+def test_packing_repeated_rows(spark):
+    df = docs_of(spark, ["ab cd", None, "ab " * 5000])
+    rows = packing.pack(df.unionByName(df), with_ids=False).collect()
+    assert Counter((r.doc_id, r.piece) for r in rows) == {**{(i, 0): 2 for i in range(3)}, (2, 1): 2, (2, 2): 2}
+    assert len({(r.sequence_id, r.offset) for r in rows}) == len(rows)
+
+
 def test_sum_of_squares_rule():
     rng = np.random.default_rng(7)
     lengths = rng.integers(1, 21, 300)
