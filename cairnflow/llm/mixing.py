@@ -2,8 +2,8 @@
 
 Token counts are summed into cells (source, language, topic). The cells are raked: scaled in turn to the
 target share of every source, language and topic until all margins fit. A document is then drawn with a
-probability in proportion to its cell's scale, by a hash of its id and text, so a rerun draws the same.
-No probability exceeds 1, and that bound is part of the raking: see ``rake_bounded``.
+probability in proportion to its cell's scale, by a hash of its id, so a rerun draws the same.
+No probability exceeds 1, and that bound is part of the raking: see ``rake``.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD_CLASS, written
+from .common import WORD_CLASS, discard, written
 
 DIMENSIONS = ("source", "lang", "topic")
 
@@ -38,28 +38,6 @@ def tempered(cells: DataFrame, dim: str, alpha: float) -> DataFrame:
     return sums.join(F.broadcast(whole)).select(dim, (F.col("__t") / F.col("__all")).alias("target"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = 12, per_write: int = 4) -> DataFrame:
-    """cells: the dimensions and tokens > 0 -> the same with weight, whose margins fit ``targets``.
-
-    targets: by dimension, a frame (dimension, target share); values without a target get weight 0, and
-    targets of absent values are shared among those present. Margins are sums over windows of the cell
-    table, which has as many rows as combinations occur. The result is cut from its lineage every
-    ``per_write`` rounds. An empty table stays empty. All margins fit when cells allow it; otherwise the
-    last dimension fits and the others come as near as the last round left them.
-    """
-    dims = list(targets)
-    for d in dims:
-        cells = cells.join(targets[d].select(d, F.col("target").alias(f"__{d}")), cells[d].eqNullSafe(targets[d][d]), "left").drop(targets[d][d])
-    cells = cells.withColumn("weight", F.col("tokens").cast("double"))
-    for k in range(rounds):
-        for d in dims:
-            have = F.sum("weight").over(W.partitionBy(d))
-            cells = cells.withColumn("weight", F.coalesce(F.try_divide(F.col("weight") * F.col(f"__{d}"), have), F.lit(0.0)))
-        if (k + 1) % per_write == 0 or k + 1 == rounds:
-            cells = written(cells, "rake")
-    return cells.drop(*(f"__{d}" for d in dims))
-
-
 def present(cells: DataFrame, targets: DataFrame, dim: str) -> DataFrame:
     """Targets of the values that occur in ``cells`` (as ``__value``, ``__goal``), made to add up to 1."""
     seen = cells.select(F.col(dim).alias("__value")).distinct()
@@ -68,57 +46,61 @@ def present(cells: DataFrame, targets: DataFrame, dim: str) -> DataFrame:
     return found.join(F.broadcast(whole)).select("__value", (F.col("target") / F.col("__sum")).alias("__goal"))
 
 
-def rake_bounded(raked: DataFrame, targets: dict[str, DataFrame], keep: float, rounds: int = 12, per_write: int = 4, scales: int = 12, slack: float = 0.01) -> DataFrame:
-    """Result of ``rake`` -> the same with probability <= 1, whose expected draw has the margins of ``targets``.
+def rake(cells: DataFrame, targets: dict[str, DataFrame], keep: float = 1.0, rounds: int = 8, per_write: int = 2, scales: int = 16, slack: float = 0.01) -> DataFrame:
+    """cells: the dimensions and tokens > 0 -> the same with probability <= 1, whose expected draw has the margins of ``targets``.
 
-    A draw without repeats cannot give a value more than all its tokens, so the share of tokens kept is the
-    largest up to ``keep`` at which the margins still fit: between the scale at which no plain probability
-    exceeds 1 and the one at which some value is used up, ``scales`` are raked at once, and the largest is
-    taken whose worst margin is off by at most ``slack`` (of its target) more than the best. A step solves
-    sum(min(tokens, a x tokens x multiplier)) = target for each value's factor a: in the order of
-    multipliers the full cells come last, so running sums tell which are full and what the others share.
-    Cells of weight 0 get probability 0.
+    targets: by dimension, a frame (dimension, target share); values without a target get probability 0, and targets
+    of absent values are shared among those present. A draw without repeats cannot give a value more than all its
+    tokens, so the share of tokens kept is at most ``keep`` and what uses up the scarcest value. That share and
+    ``scales`` - 1 smaller ones, each 0.8 of the one before, are raked at once, and the largest is taken whose worst
+    margin is off by at most ``slack`` (of its target) more than the best.
+
+    A step solves sum(min(tokens, a x tokens x multiplier)) = target for each value's factor a: in the order of
+    multipliers the full cells come last, so running sums tell which are full and what the others share. Where no
+    cell is full this is plain proportional fitting. Margins are sums over windows of the cell table, which has as
+    many rows as combinations occur; its lineage is cut every ``per_write`` rounds. All margins fit where the cells
+    allow it at some share; otherwise they come as near as the last round left them. An empty table stays empty.
     """
     dims = list(targets)
-    live = raked.filter("weight > 0")
-    goals = {d: written(present(live, targets[d], d), "goals") for d in dims}
-    sums = live.agg(F.sum("tokens").alias("all"), F.sum("weight").alias("w"), F.max(F.col("weight") / F.col("tokens")).alias("top")).first()
-    if sums["all"] is None:
-        return raked.withColumn("probability", F.lit(0.0))
-    unit = sums["all"] / sums["w"]
-    low, high = min(keep, 1 / (unit * sums["top"])), keep
-    if low == keep:
-        return raked.withColumn("probability", keep * unit * F.col("weight") / F.col("tokens"))
-    cells = live
+    live, every = cells, None
+    for d in dims:
+        goals = written(present(cells, targets[d], d), "goals")
+        live = live.join(goals.withColumnsRenamed({"__value": f"__v{d}", "__goal": f"__{d}"}), F.col(f"__v{d}").eqNullSafe(F.col(d))).drop(f"__v{d}")
+    live = written(live.filter(" AND ".join(f"`__{d}` > 0" for d in dims)), "live")
+    every = live.agg(F.sum("tokens")).first()[0]
+    if every is None:
+        return cells.withColumn("probability", F.lit(0.0))
+    high = keep
     for d in dims:
-        cells = cells.join(goals[d].withColumnsRenamed({"__value": f"__v{d}", "__goal": f"__{d}"}), F.col(f"__v{d}").eqNullSafe(F.col(d))).drop(f"__v{d}")
-        room = cells.groupBy(d).agg((F.sum("tokens") / F.lit(sums["all"]) / F.first(f"__{d}")).alias("room")).agg(F.min("room")).first()[0]
+        room = live.groupBy(d).agg((F.sum("tokens") / F.lit(every) / F.first(f"__{d}")).alias("room")).agg(F.min("room")).first()[0]
         high = min(high, room)
-    low = min(low, high)
-    steps = [low * (high / low) ** (k / (scales - 1)) for k in range(scales)]
-    cells = cells.withColumn("__scale", F.explode(F.array(*map(F.lit, steps)))).withColumn("__m", F.col("__scale") * unit * F.col("weight") / F.col("tokens"))
+    work = live.withColumn("__scale", F.explode(F.array(*(F.lit(high * 0.8**k) for k in range(scales))))).withColumn("__m", F.col("__scale"))
     for k in range(rounds):
         for d in dims:
-            group = W.partitionBy("__scale", d)
-            upto = group.orderBy("__m").rowsBetween(W.unboundedPreceding, W.currentRow)
+            # One sort serves all sums of a step.
+            ordered = W.partitionBy("__scale", d).orderBy("__m")
+            upto, group = ordered.rowsBetween(W.unboundedPreceding, W.currentRow), ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
             full = F.sum("tokens").over(group) - F.sum("tokens").over(upto)  # tokens of cells with a greater multiplier
-            cells = cells.withColumn("__a", (F.col("__scale") * sums["all"] * F.col(f"__{d}") - full) / F.sum(F.col("tokens") * F.col("__m")).over(upto))
+            work = work.withColumn("__a", (F.col("__scale") * every * F.col(f"__{d}") - full) / F.sum(F.col("tokens") * F.col("__m")).over(upto))
             own = F.max(F.when(F.col("__a") * F.col("__m") < 1, F.col("__a"))).over(group)
-            cells = cells.withColumn("__m", F.col("__m") * F.coalesce(own, 1 / F.min("__m").over(group))).drop("__a")
+            work = work.withColumn("__m", F.col("__m") * F.coalesce(own, 1 / F.min("__m").over(group))).drop("__a")
         if (k + 1) % per_write == 0 or k + 1 == rounds:
-            cells = written(cells, "rake_bounded")
-    cells = cells.withColumn("probability", F.least(F.lit(1.0), "__m"))
+            last, work = work, written(work, "rake")
+            discard(last)
+    work = work.withColumn("probability", F.least(F.lit(1.0), "__m"))
     drawn = F.sum(F.col("tokens") * F.col("probability"))
-    whole = cells.groupBy("__scale").agg(drawn.alias("__whole"))
+    whole = work.groupBy("__scale").agg(drawn.alias("__whole"))
     off = None
     for d in dims:
-        have = cells.groupBy("__scale", d).agg(drawn.alias("__have"), F.first(f"__{d}").alias("__goal"))
+        have = work.groupBy("__scale", d).agg(drawn.alias("__have"), F.first(f"__{d}").alias("__goal"))
         one = have.join(F.broadcast(whole), "__scale").select("__scale", F.abs(F.col("__have") / F.col("__whole") / F.col("__goal") - 1).alias("off"))
         off = one if off is None else off.unionByName(one)
     worst = {r["__scale"]: r["off"] for r in off.groupBy("__scale").agg(F.max("off").alias("off")).collect()}  # as many rows as scales
     best = max(s for s, e in worst.items() if e <= min(worst.values()) + slack)
-    kept = cells.filter(F.col("__scale") == best).select(*raked.columns, "probability")
-    return kept.unionByName(raked.filter("NOT coalesce(weight > 0, false)").withColumn("probability", F.lit(0.0)))
+    kept = work.filter(F.col("__scale") == best).select(*cells.columns, "probability")
+    same = [F.col(f"__k{d}").eqNullSafe(F.col(d)) for d in dims]
+    rest = cells.join(kept.select(*(F.col(d).alias(f"__k{d}") for d in dims)), same, "left_anti")
+    return kept.unionByName(rest.withColumn("probability", F.lit(0.0)))
 
 
 def uniform(*columns: Column) -> Column:
@@ -127,30 +109,25 @@ def uniform(*columns: Column) -> Column:
     return F.conv(head, 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def mix(docs: DataFrame, alpha: float = 0.7, keep: float = 0.8, rounds: int = 12, text: str = "text", dims: Sequence[str] = DIMENSIONS, targets: dict[str, DataFrame] | None = None, clip: bool = False) -> DataFrame:
-    """Every document with tokens, topic, probability and kept; columns of ``docs`` stay in front.
+def mix(docs: DataFrame, alpha: float = 0.7, keep: float = 0.8, rounds: int = 8, text: str = "text", dims: Sequence[str] = DIMENSIONS, targets: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Every document with tokens, topic, probability and kept; other columns of ``docs`` stay in front.
 
-    Targets default to tempered shares (``alpha`` < 1 lifts what is rare). The expected draw has their
-    margins and the largest share of all tokens, up to ``keep``, that allows it (``rake_bounded``); a value
-    that is to be lifted far costs tokens of the others. With ``clip``, as the SQL of ``op4_mix`` states,
-    probabilities are min(1, keep x weight / tokens of the cell) instead: more tokens are kept, but what is
-    cut at 1 is not made up for, and the draw misses the margins. Null source or language form values of
-    their own; a text without words has no weight to give and is kept. Repeated rows draw the same number
-    and stand or fall together. Cells grow with combinations, not rows: they are summed before any shuffle.
+    Targets default to tempered shares (``alpha`` < 1 lifts what is rare). The expected draw has their margins and
+    the largest share of all tokens, up to ``keep``, that allows it (``rake``); a value that is to be lifted
+    far costs tokens of the others. A column ``topic`` of ``docs`` is taken as the topic; columns named tokens,
+    probability or kept are replaced. Null source or language form values of their own; a text without words has
+    no weight to give and is kept. Repeated rows each count with their tokens; they draw the same number and stand
+    or fall together. An empty table gives no rows. Cells grow with combinations, not rows: they are summed before
+    any shuffle.
     """
+    docs = docs.drop("tokens", "probability", "kept")
     own = docs.columns
     rich = docs.withColumn("tokens", tokens_of(F.col(text)))
     if "topic" not in own:
         rich = rich.withColumn("topic", topic_of(F.col(text)))
     cells = written(rich.filter("tokens > 0").groupBy(*dims).agg(F.sum("tokens").alias("tokens")), "cells")
     goals = targets or {d: tempered(cells, d, alpha) for d in dims}
-    raked = rake(cells, goals, rounds)
-    if clip:
-        ratio = raked.withColumn("__ratio", F.col("weight") / F.col("tokens"))
-        total = ratio.agg(F.sum("tokens").alias("__all"), F.sum("weight").alias("__w"))
-        chances = ratio.join(F.broadcast(total)).withColumn("probability", F.least(F.lit(1.0), keep * F.try_divide(F.col("__all") * F.col("__ratio"), F.col("__w"))))
-    else:
-        chances = rake_bounded(raked, goals, keep, rounds)
+    chances = rake(cells, goals, keep, rounds)
     drawn = chances.select(*(F.col(d).alias(f"__{d}") for d in dims), "probability")
     on = [F.col(f"__{d}").eqNullSafe(F.col(d)) for d in dims]
     out = _spread(rich, written(drawn, "drawn"), on).drop(*(f"__{d}" for d in dims))

@@ -41,8 +41,11 @@ SELECT query_id, rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s) WHERE rank <= 5"""
 
 
-def mix_cte(table: str = "documents", alpha: float = 0.7, keep: float = 0.8, rounds: int = 12) -> str:
-    """Common table expressions that end in ``mixed``: topic, tokens, probability and draw of each row of ``table``."""
+def mix_cte(table: str = "documents", alpha: float = 0.7, keep: float = 0.8, rounds: int = 8, scales: int = 16, slack: float = 0.01) -> str:
+    """Common table expressions that end in ``mixed``: topic, tokens, probability and draw of each row of ``table``.
+
+    Cells are raked at ``scales`` shares of kept tokens with probabilities up to 1 (b*).
+    """
     dims = ("source", "lang", "topic")
     out = [rf"""
     m_docs AS (SELECT *, len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS tokens,
@@ -54,12 +57,23 @@ def mix_cte(table: str = "documents", alpha: float = 0.7, keep: float = 0.8, rou
         out.append(f"t_{d} AS (SELECT {d}, pow(sum(tokens), {alpha}) AS p FROM m_cells GROUP BY {d})")
     joins = " ".join(f"JOIN t_{d} ON m_cells.{d} IS NOT DISTINCT FROM t_{d}.{d}" for d in dims)
     shares = ", ".join(f"t_{d}.p / (SELECT sum(p) FROM t_{d}) AS g_{d}" for d in dims)
-    out.append(f"r0 AS MATERIALIZED (SELECT m_cells.*, {shares}, tokens::DOUBLE AS w FROM m_cells {joins})")
+    out.append(f"r0 AS MATERIALIZED (SELECT m_cells.*, {shares} FROM m_cells {joins})")
+    rooms = " UNION ALL ".join(f"SELECT sum(tokens) / (SELECT sum(tokens) FROM r0) / any_value(g_{d}) AS room FROM r0 GROUP BY {d}" for d in dims)
+    out.append(f"m_facts AS MATERIALIZED (SELECT sum(tokens)::DOUBLE AS every, least({keep}, (SELECT min(room) FROM ({rooms}))) AS high FROM r0)")
+    out.append(f"b0 AS MATERIALIZED (SELECT high * pow(0.8, k) AS scale, r0.*, high * pow(0.8, k) AS m FROM r0, m_facts, (SELECT unnest(range(0, {scales})) AS k))")
     for k in range(rounds * 3):
         d = dims[k % 3]
-        out.append(f"r{k + 1} AS MATERIALIZED (SELECT * REPLACE (w * g_{d} / sum(w) OVER (PARTITION BY {d}) AS w) FROM r{k})")
-    last = f"r{rounds * 3}"
-    out.append(f"m_p AS (SELECT source, lang, topic, least(1.0, {keep} * (SELECT sum(tokens) FROM {last}) * (w / tokens) / (SELECT sum(w) FROM {last})) AS p FROM {last})")
+        out.append(f"""b{k + 1} AS MATERIALIZED (
+          SELECT * EXCLUDE (a) REPLACE (m * coalesce(max(CASE WHEN a * m < 1 THEN a END) OVER p, 1 / min(m) OVER p) AS m) FROM (
+            SELECT b{k}.*, (scale * every * g_{d} - (sum(tokens) OVER p - sum(tokens) OVER u)) / sum(tokens * m) OVER u AS a FROM b{k}, m_facts
+            WINDOW p AS (PARTITION BY scale, {d}), u AS (PARTITION BY scale, {d} ORDER BY m ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+          WINDOW p AS (PARTITION BY scale, {d}))""")
+    out.append(f"m_b AS MATERIALIZED (SELECT * REPLACE (least(1.0, m) AS m) FROM b{rounds * 3})")
+    out.append("m_whole AS MATERIALIZED (SELECT scale, sum(tokens * m) AS whole FROM m_b GROUP BY scale)")
+    offs = " UNION ALL ".join(f"SELECT scale, abs(sum(tokens * m) / any_value(whole) / any_value(g_{d}) - 1) AS off FROM m_b JOIN m_whole USING (scale) GROUP BY scale, {d}" for d in dims)
+    out.append(f"m_off AS MATERIALIZED (SELECT scale, max(off) AS off FROM ({offs}) GROUP BY scale)")
+    out.append(f"m_best AS (SELECT max(scale) AS scale FROM m_off WHERE off <= (SELECT min(off) FROM m_off) + {slack})")
+    out.append("m_p AS (SELECT source, lang, topic, m AS p FROM m_b JOIN m_best USING (scale))")
     on = " AND ".join(f"d.{d} IS NOT DISTINCT FROM m_p.{d}" for d in dims)
     out.append(f"""mixed AS (SELECT *, ('0x' || substr(md5(doc_id::VARCHAR || chr(31) || 'mix'), 1, 8))::BIGINT / 4294967296.0 < probability AS kept_mix
         FROM (SELECT d.*, CASE WHEN d.tokens = 0 THEN 1.0 ELSE p END AS probability FROM m_docs d LEFT JOIN m_p ON {on}))""")

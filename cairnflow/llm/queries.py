@@ -31,8 +31,8 @@ def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Probability and draw of every document under raked source, language and topic weights, clipped at 1 as its SQL states."""
-    out = mixing.mix(_read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"), clip=True)
+    """Probability and draw of every document under raked source, language and topic weights."""
+    out = mixing.mix(_read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
     return out.select("doc_id", "source", "lang", "topic", "tokens", F.round("probability", 5).alias("probability"), "kept")
 
 
@@ -55,7 +55,8 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the archives of all pages hold, read back."""
-    return warc.read_archives(warc.write_archives(_read(spark, sf_dir, "pages"))).drop("url")
+    out = warc.read_archives(warc.write_archives(_read(spark, sf_dir, "pages")))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:

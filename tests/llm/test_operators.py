@@ -196,15 +196,35 @@ def test_mix_fits_margins(spark):
     assert all(0 <= r.probability <= 1 for r in rows) and all(r.kept for r in rows if r.tokens == 0)
     cells = out.filter("tokens > 0").groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens"))
     targets = {d: mixing.tempered(cells, d, 0.7) for d in mixing.DIMENSIONS}
-    raked = mixing.rake(cells, targets, 30)
+    raked = mixing.rake(cells, targets, rounds=30)
     for d in ("source", "lang", "topic"):
         want = {r[d]: r.target for r in targets[d].collect()}
-        have = raked.groupBy(d).agg(F.sum("weight").alias("w")).collect()
+        have = raked.groupBy(d).agg(F.sum(F.col("tokens") * F.col("probability")).alias("w")).collect()
         total = sum(r.w for r in have)
         assert all(abs(r.w / total - want[r[d]]) < 0.02 for r in have)
     assert mixing.mix(df.limit(0)).count() == 0
 
 
+def test_mix_clashing_columns_repeated_rows_and_given_targets(spark):
+    df = spark.createDataFrame([(i % 50, "w " * 30, "ab"[i % 2], "s", "x", 9, 0.1, False) for i in range(100)], "doc_id long, text string, lang string, source string, topic string, tokens int, probability double, kept boolean")
+    half = spark.createDataFrame([("a", 0.5), ("zz", 0.5)], "lang string, target double")
+    out = mixing.mix(df, targets={"lang": half}).collect()
+    assert len(out) == 100 and {(r.lang, r.probability, r.tokens) for r in out} == {("a", 0.8, 30), ("b", 0.0, 30)}
+    assert all(len({r.kept for r in out if r.doc_id == i}) == 1 for i in range(50))
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_mix_draw_of_documents_has_margins(spark, sf):
+    """Expected margins within a hundredth of the targets; the draw within four standard deviations of them."""
+    out = mixing.mix(spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")).filter("tokens > 0").cache()
+    for d in mixing.DIMENSIONS:
+        rows = out.groupBy(d).agg(F.sum("tokens").alias("tokens"), F.sum(F.col("tokens") * F.col("probability")).alias("mean"), F.sum(F.expr("tokens * tokens * probability * (1 - probability)")).alias("var"), F.sum(F.expr("tokens * int(kept)")).alias("drawn")).collect()
+        power, whole = sum(r.tokens**0.7 for r in rows), sum(r["mean"] for r in rows)
+        for r in rows:
+            assert abs(r["mean"] / whole / (r.tokens**0.7 / power) - 1) < 0.01, (d, r)
+            assert abs(r.drawn - r["mean"]) <= 4 * r["var"] ** 0.5 + 1, (d, r)
+
+
 @pytest.mark.parametrize("skew", [False, True])
 def test_mix_expected_draw_has_margins(spark, skew):
     """At the default rounds and with the bound, on a table where plain probabilities exceed 1."""
