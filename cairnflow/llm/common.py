@@ -1,13 +1,14 @@
-"""Shared plumbing: written intermediates, salted joins, column hygiene."""
+"""Shared plumbing: written intermediates, joins that bear hot keys, column hygiene."""
 
 from __future__ import annotations
 
 import re
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: White space that separates words everywhere in this subpackage.
@@ -31,6 +32,21 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+@contextmanager
+def short_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """While a query over whole texts runs, Arrow batches of at most ``rows`` rows: a batch is held twice on either side."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if 0 < int(before) <= rows:
+        yield
+        return
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
@@ -38,7 +54,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with short_batches(spark):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_path = path
     return out
@@ -61,26 +78,17 @@ def require(df: DataFrame, columns: Sequence[str], who: str) -> DataFrame:
     return df.select(*columns)
 
 
-def salted_join(big: DataFrame, small: DataFrame, on: str, spread: Column, salts: int = 32, how: str = "left") -> DataFrame:
-    """Join ``small`` (one row per key) to ``big`` although one key may own much of ``big``.
-
-    Each row of ``big`` gets a salt from ``spread``; ``small`` is repeated once per salt, so a hot key
-    is shared by ``salts`` tasks and nothing is broadcast.
-    """
-    left = big.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    right = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    # A size estimate does not see the repetition; the hint keeps the planner from broadcasting it.
-    return left.join(right.hint("merge"), [on, "__salt"], how).drop("__salt")
-
-
 def weighted_join(big: DataFrame, small: DataFrame, on: str, weight: str, how: str = "left", most: int = 50_000, hot: int = 10_000) -> DataFrame:
     """Join ``small`` (one row per key) to ``big`` although one key may own much of ``big``.
 
-    ``weight`` is a column of ``small``: how many rows of ``big`` have the key. Keys of more than ``hot`` rows, or
-    of more than their number divided by ``most``, are hot. There are ``most`` of them at most, so they are
-    broadcast, and their rows of ``big`` are not shuffled; all others are joined by sorting.
+    ``weight`` is a column of ``small``: how many rows of ``big`` have the key. Up to ``most`` rows of ``small`` are
+    broadcast. Beyond that, keys of more than ``hot`` rows, or of more than all their number divided by ``most``,
+    are hot; there are ``most`` of them at most, so they are broadcast and their rows of ``big`` are not shuffled,
+    and all others are joined by sorting.
     """
-    rows = small.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+    size, rows = small.agg(F.count("*"), F.coalesce(F.sum(weight), F.lit(0))).first()
+    if size <= most:
+        return big.join(F.broadcast(small), on, how)
     is_hot = F.col(weight) > max(hot, rows // most)
     few = F.broadcast(small.filter(is_hot))
     rest = big.filter(F.col(on).isNotNull()).join(F.broadcast(small.filter(is_hot).select(on)), on, "left_anti").join(small.filter(~is_hot), on, how)

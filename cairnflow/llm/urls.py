@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import require, salted_join
+from .common import require, weighted_join, written
 
 #: (action, host, path prefix)
 CONTRACT_RULES = (
@@ -23,8 +23,9 @@ CONTRACT_RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
-#: Suffixes of two labels under which registered domains have three (an extendable parameter).
-TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.nz", "co.za")
+#: Public suffixes beyond the last label, in the notation of the public suffix list: plain, ``*.`` wildcards and
+#: ``!`` exceptions. A few only; a caller passes the lines of the whole list.
+SUFFIX_RULES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.nz", "co.za")
 
 
 def host_of(url: Column) -> Column:
@@ -38,15 +39,32 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def domain_of(host: Column, two_label: Sequence[str] = TWO_LABEL_SUFFIXES) -> Column:
-    """Registered domain: the last two labels, or three under a two-label suffix."""
-    last = F.substring_index(host, ".", -2)
-    return F.when(last.isin(list(two_label)), F.substring_index(host, ".", -3)).otherwise(last)
+def site_of(host: Column) -> Column:
+    """A host without user and port."""
+    return F.regexp_replace(F.substring_index(host, "@", -1), r":[0-9]*$", "")
 
 
-def suffix_of(domain: Column) -> Column:
-    """The registered domain without its first label."""
-    return F.regexp_extract(domain, r"(?s)^[^.]*\.?(.*)$", 1)
+def domain_and_suffix(host: Column, rules: Sequence[str] = SUFFIX_RULES) -> Column:
+    """struct(domain, suffix): registered domain and public suffix of a host.
+
+    The longest fitting rule tells the suffix, an exception before all, and without one it is the last label. The
+    domain has one label more; a host that is a suffix itself, or an address in numbers, is its own domain, the
+    latter with an empty suffix. Lines of the list that are comments or blank are left out.
+    """
+    lines = [r.strip().lower() for r in rules]
+    table = F.array(*(F.lit(r) for r in lines if r and not r.startswith("//"))).cast("array<string>")
+    site = site_of(host)
+    labels = F.split(site, r"\.")
+    size = F.size(labels)
+    tail = lambda k: F.array_join(F.slice(labels, size - k + 1, k), ".")
+    lengths = F.sequence(F.lit(1), size)
+    exception = F.filter(lengths, lambda k: F.array_contains(table, F.concat(F.lit("!"), tail(k))))
+    fits = lambda k: F.array_contains(table, tail(k)) | ((k > 1) & F.array_contains(table, F.concat(F.lit("*."), tail(F.greatest(k - 1, F.lit(1))))))
+    found = F.coalesce(F.array_max(exception) - 1, F.array_max(F.filter(lengths, fits)), F.lit(1))
+    number = site.rlike(r"^([0-9]+\.){3}[0-9]+$|^\[.*\]$|^$")
+    domain = F.when(number, site).otherwise(tail(F.least(found + 1, size)))
+    suffix = F.when(number, "").otherwise(F.when(found < size, tail(F.least(found, size))).otherwise(F.regexp_extract(site, r"(?s)^[^.]*\.?(.*)$", 1)))
+    return F.struct(domain.alias("domain"), suffix.alias("suffix"))
 
 
 def longest_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -> Column:
@@ -74,38 +92,35 @@ def _prior_weight(level: DataFrame, n: str, bad: str, mean: str) -> DataFrame:
     return level.filter(w >= 2).agg(F.coalesce(F.when(size > 1, weight), F.lit(10.0)).alias("weight"))
 
 
-def reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
+def reputation(outcomes: DataFrame, z: float = 1.645, suffix_rules: Sequence[str] = SUFFIX_RULES) -> DataFrame:
     """outcomes: host, bad (0 or 1) -> host, n, bad, rate (posterior mean), lower (posterior bound).
 
-    Rows with a null host or outcome are left out. Outcomes are summed before anything is joined, so a
-    host with a third of all pages costs as much as any other. The bound is mean minus ``z`` standard
-    deviations of the beta posterior. Without outcomes there are no rows.
+    Rows with a null host or outcome are left out. Outcomes are summed by host before anything is joined, so a
+    host with a third of all pages costs as much as any other; the sums are written once, and a suffix or domain
+    with a third of all hosts does not gather them in one task. The bound is mean minus ``z`` standard deviations
+    of the beta posterior. Without outcomes there are no rows.
     """
-    hosts = (
-        outcomes.filter("host IS NOT NULL AND bad IS NOT NULL")
-        .groupBy("host")
-        .agg(F.count("*").alias("n"), F.sum("bad").cast("long").alias("b"))
-        .withColumn("domain", domain_of(F.col("host")))
-        .withColumn("suffix", suffix_of(F.col("domain")))
-    )
-    domains = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("dn"), F.sum("b").alias("db"))
-    suffixes = domains.groupBy("suffix").agg(F.sum("dn").alias("sn"), F.sum("db").alias("sb"))
+    hosts = outcomes.filter("host IS NOT NULL AND bad IS NOT NULL").groupBy("host").agg(F.count("*").alias("n"), F.sum("bad").cast("long").alias("b"))
+    hosts = written(hosts.withColumn("__d", domain_and_suffix(F.col("host"), suffix_rules)).select("host", "n", "b", "__d.domain", "__d.suffix"), "hosts")
+    domains = written(hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("dn"), F.sum("b").alias("db"), F.count("*").alias("hosts")), "domains")
+    suffixes = domains.groupBy("suffix").agg(F.sum("dn").alias("sn"), F.sum("db").alias("sb"), F.count("*").alias("domains"))
     total = suffixes.agg((F.sum("sb") / F.sum("sn")).alias("mean"))
     # Each of these has one row: the broadcast is bounded.
     suffixes = suffixes.join(F.broadcast(total))
     suffixes = suffixes.join(F.broadcast(_prior_weight(suffixes, "sn", "sb", "mean")))
-    suffixes = suffixes.select("suffix", ((F.col("sb") + F.col("weight") * F.col("mean")) / (F.col("sn") + F.col("weight"))).alias("mean"))
-    domains = domains.join(suffixes, "suffix")
+    suffixes = written(suffixes.select("suffix", "domains", ((F.col("sb") + F.col("weight") * F.col("mean")) / (F.col("sn") + F.col("weight"))).alias("mean")), "suffix_rates")
+    domains = written(weighted_join(domains, suffixes, "suffix", "domains", "inner").drop("domains"), "domains")
     domains = domains.join(F.broadcast(_prior_weight(domains, "dn", "db", "mean")))
-    domains = domains.select("domain", ((F.col("db") + F.col("weight") * F.col("mean")) / (F.col("dn") + F.col("weight"))).alias("mean"))
-    hosts = hosts.join(domains, "domain")
+    # A domain under two suffixes cannot be: the suffix is part of it.
+    domains = written(domains.select("domain", "hosts", ((F.col("db") + F.col("weight") * F.col("mean")) / (F.col("dn") + F.col("weight"))).alias("mean")), "domain_rates")
+    hosts = written(weighted_join(hosts, domains, "domain", "hosts", "inner").select("host", "n", "b", "mean"), "hosts")
     hosts = hosts.join(F.broadcast(_prior_weight(hosts, "n", "b", "mean")))
     a, b = F.col("weight") * F.col("mean") + F.col("b"), F.col("weight") * (1 - F.col("mean")) + F.col("n") - F.col("b")
     rate = a / (a + b)
     return hosts.select("host", "n", F.col("b").alias("bad"), rate.alias("rate"), (rate - z * F.sqrt(rate * (1 - rate) / (a + b + 1))).alias("lower"))
 
 
-def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str, str]] = CONTRACT_RULES, threshold: float = 0.5, z: float = 1.645) -> DataFrame:
+def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str, str]] = CONTRACT_RULES, threshold: float = 0.5, z: float = 1.645, suffix_rules: Sequence[str] = SUFFIX_RULES) -> DataFrame:
     """page_id, host, path, rule, verdict, lower for every page.
 
     pages: page_id, url; outcomes: page_id, bad; other columns are left aside. The longest fitting rule
@@ -118,8 +133,10 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str,
     url = F.col("url")
     placed = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"))
     labelled = placed.select("page_id", "host").distinct().join(outcomes, "page_id").filter("host <> ''")
-    known = reputation(labelled.select("host", "bad"), z).select("host", "lower")
+    known = reputation(labelled.select("host", "bad"), z, suffix_rules).select("host", "lower")
+    pages_of = placed.groupBy("host").agg(F.count("*").alias("__pages"))
+    known = written(known.join(pages_of, "host"), "reputation")
     ruled = placed.withColumn("__r", longest_rule(F.col("host"), F.col("path"), rules))
-    judged = salted_join(ruled, known, "host", F.col("page_id"))
+    judged = weighted_join(ruled, known, "host", "__pages")
     by_host = F.when(F.coalesce(F.col("lower") > threshold, F.lit(False)), F.lit("block")).otherwise(F.lit("allow"))
     return judged.select("page_id", "host", "path", F.col("__r.rule").alias("rule"), F.coalesce(F.col("__r.action"), by_host).alias("verdict"), "lower")

@@ -2,7 +2,9 @@
 
 An archive is held as rows (archive, chunk, data): the chunks in order are the bytes of one ``.warc.gz``
 file. That form goes through Spark's own writers, so it works in any store Spark can reach;
-:func:`export_files` writes real files where a folder is mounted everywhere.
+:func:`export_files` writes real files where a folder is mounted everywhere. Archives of others come in through
+:func:`archive_files` (any store, a file at a time in memory) or :func:`mounted_records` (files that every
+executor can open, read in pieces); any record type, record id and set of digests is read.
 """
 
 from __future__ import annotations
@@ -16,10 +18,10 @@ from collections.abc import Iterable, Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import require, salted_join, written
+from .common import require, weighted_join, written
 
 CHUNK = 1 << 20
 _NAME = re.compile(rb"[!#$%&'*+.^_`|~0-9A-Za-z-]+")
@@ -104,25 +106,59 @@ def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
     return headers, rest[:size]
 
 
+#: Digest algorithms that are verified; others are left as they are.
+_HASHES = ("sha1", "sha256", "sha512", "md5")
+
+
+def _agrees(label: str, data: bytes) -> bool:
+    """Whether a labelled digest (base32 or hexadecimal, any case) is that of ``data``; an unknown algorithm agrees."""
+    kind, _, want = label.strip().partition(":")
+    kind = kind.lower().replace("-", "")
+    if kind not in _HASHES:
+        return True
+    have = hashlib.new(kind, data, usedforsecurity=False)
+    return want.lower() == have.hexdigest() or want.upper().rstrip("=") == base64.b32encode(have.digest()).decode().rstrip("=")
+
+
+def _page_of(uri: str | None) -> int | None:
+    """The page_id in a record id of this module's making."""
+    found = re.fullmatch(r"<urn:x-page:(-?\d+)>", uri or "")
+    return int(found[1]) if found else None
+
+
 def read_record(raw: bytes) -> dict:
-    """A page record as a row, after its digests have been verified."""
+    """A record of any type as a row, after the digests it gives have been verified.
+
+    The payload of an HTTP message is what follows its header, of other records the block. A revisit has none of
+    its own: payload_bytes is the length its HTTP header tells, payload_digest the one it gives. page_id and
+    refers_to are null unless the ids are of this module's making; record_id and refers_to_id always have them as
+    written. Where no payload digest is given, it is computed (SHA-1), but for a revisit.
+    """
     headers, block = parse(raw)
-    if headers.get("warc-block-digest") != f"sha1:{digest(block)}":
-        raise DamagedArchive(f"block digest of {headers.get('warc-record-id')}")
-    http, _, payload = block.partition(b"\r\n\r\n")
-    length = next((int(x.split(b":")[1]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")), len(payload))
-    kind, want = headers["warc-type"], headers["warc-payload-digest"].removeprefix("sha1:")
-    if kind == "response" and (length != len(payload) or digest(payload) != want):
-        raise DamagedArchive(f"payload digest of {headers.get('warc-record-id')}")
+    name, kind = headers.get("warc-record-id"), headers.get("warc-type", "")
+    if "warc-block-digest" in headers and not _agrees(headers["warc-block-digest"], block):
+        raise DamagedArchive(f"block digest of {name}")
+    http, payload = b"", block
+    if headers.get("content-type", "").lower().startswith("application/http"):
+        http, _, payload = block.partition(b"\r\n\r\n")
+    want = headers.get("warc-payload-digest")
+    size = len(payload)
+    if kind == "revisit":
+        told = re.search(rb"(?im)^content-length:[ \t]*(\d+)", http)
+        size = int(told[1]) if told else size
+    elif want is not None and not _agrees(want, payload):
+        raise DamagedArchive(f"payload digest of {name}")
     refers = headers.get("warc-refers-to")
     return {
-        "page_id": int(headers["warc-record-id"][len("<urn:x-page:") : -1]),
+        "page_id": _page_of(name),
         "url": headers.get("warc-target-uri"),
-        "payload_bytes": length,
-        "payload_digest": want,
+        "payload_bytes": size,
+        "payload_digest": want.rpartition(":")[2] if want is not None else None if kind == "revisit" else digest(payload),
         "record_type": kind,
-        "refers_to": None if refers is None else int(refers[len("<urn:x-page:") : -1]),
-        "payload": payload if kind == "response" else None,
+        "refers_to": _page_of(refers),
+        "record_id": name,
+        "refers_to_id": refers,
+        "payload": None if kind == "revisit" else payload,
     }
 
 
@@ -140,12 +176,12 @@ def write_archives(pages: DataFrame, min_bytes: int = 0, archive_pages: int = 20
     same = (
         pages.select("page_id", raw_sha1.alias("sha"), size.alias("size"))
         .filter(F.col("size") >= min_bytes)
-        .groupBy("sha", "size")
+        .groupBy("sha")
         .agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
         .filter("n > 1")
-        .select("sha", "first")
     )
-    keyed = salted_join(pages.withColumn("sha", raw_sha1), same, "sha", F.col("page_id"))
+    # Only payloads that occur twice meet the pages again; few of them are broadcast, and no page is shuffled then.
+    keyed = weighted_join(pages.withColumn("sha", raw_sha1), written(same, "payloads"), "sha", "n")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -174,33 +210,63 @@ def write_archives(pages: DataFrame, min_bytes: int = 0, archive_pages: int = 20
     return written(keyed.select("page_id", "url", "html", "sha", "first").mapInArrow(run, "archive string, chunk int, data binary"), "warc")
 
 
-_ROW = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
+_FIELDS = (
+    ("page_id", "long"), ("url", "string"), ("payload_bytes", "long"), ("payload_digest", "string"), ("record_type", "string"),
+    ("refers_to", "long"), ("record_id", "string"), ("refers_to_id", "string"), ("payload", "binary"),
+)
+_ARROW = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+
+
+def _rows(pieces: Iterable[bytes], fields: tuple) -> Iterator[pa.RecordBatch]:
+    """Records of a stream as batches of bounded size."""
+    schema = pa.schema([(n, _ARROW[k]) for n, k in fields])
+    rows, held = [], 0
+    for raw in members(pieces):
+        row = read_record(raw)
+        rows.append({n: row[n] for n, _ in fields})
+        held += len(raw) if "payload" in schema.names else 0
+        if len(rows) >= 5000 or held > 8 << 20:
+            yield pa.RecordBatch.from_pylist(rows, schema)
+            rows, held = [], 0
+    if rows:
+        yield pa.RecordBatch.from_pylist(rows, schema)
 
 
 def read_archives(archives: DataFrame, payloads: bool = False) -> DataFrame:
-    """Every record of the archives, digests verified; a damaged archive raises :class:`DamagedArchive`.
+    """Every record of the archives (a data column), digests verified; a damaged archive raises :class:`DamagedArchive`.
 
     Chunks end with a record, so each is read where it lies, from its first member to its last; nothing is
-    shuffled, and a task never holds more than a record besides its batch.
+    shuffled, and a task never holds more than a record besides its batch. A null chunk has no records.
     """
-    columns = [c.split()[0] for c in _ROW.split(", ")] + ["payload"] * payloads
+    fields = _FIELDS if payloads else _FIELDS[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data = (r["data"] for batch in batches for r in batch.to_pylist())
-        rows, held = [], 0
-        for raw in members(data):
-            row = read_record(raw)
-            rows.append({c: row[c] for c in columns})
-            held += len(raw) if payloads else 0
-            if len(rows) >= 5000 or held > 8 << 20:
-                yield pa.RecordBatch.from_pylist(rows, schema)
-                rows, held = [], 0
-        if rows:
-            yield pa.RecordBatch.from_pylist(rows, schema)
+        yield from _rows((x.as_py() or b"" for batch in batches for x in batch.column(0)), fields)
+
+    return archives.select("data").mapInArrow(run, ", ".join(map(" ".join, fields)))
+
+
+def archive_files(spark: SparkSession, path: str) -> DataFrame:
+    """Files of any store as archives (archive, chunk, data), for :func:`read_archives`; a file is one chunk of at most 2 GB."""
+    files = spark.read.format("binaryFile").load(path)
+    return files.select(F.col("path").alias("archive"), F.lit(0).alias("chunk"), F.col("content").alias("data"))
+
+
+def mounted_records(paths: DataFrame, payloads: bool = False) -> DataFrame:
+    """Records of the files named in the column ``path``, which every executor can open; a file is read in pieces of 1 MB."""
+    fields = _FIELDS if payloads else _FIELDS[:-1]
+
+    def pieces(path: str) -> Iterator[bytes]:
+        with open(path, "rb") as f:
+            while data := f.read(CHUNK):
+                yield data
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0):
+                yield from _rows(pieces(path.as_py()), fields)
 
-    fields = [("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())]
-    schema = pa.schema([f for f in fields if f[0] in columns])
-    return archives.select("data").mapInArrow(run, _ROW + ", payload binary" * payloads)
+    return paths.select("path").filter("path IS NOT NULL").mapInArrow(run, ", ".join(map(" ".join, fields)))
 
 
 def export_files(archives: DataFrame, folder: str) -> DataFrame:

@@ -450,6 +450,42 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.read_archives(warc.write_archives(df.limit(0))).count() == 0
 
 
+def foreign(kind, block, *headers, content="application/http; msgtype=response"):
+    lines = [("WARC-Type", kind), ("WARC-Record-ID", "<urn:uuid:0-1>"), *([("Content-Type", content)] if content else []), *headers]
+    return warc.record(lines, block)
+
+
+def test_warc_of_others(spark, tmp_path):
+    http = b"HTTP/1.0 200 OK\r\nServer: x\r\n\r\n"
+    body = hashlib.sha1(b"body").digest()
+    records = [
+        foreign("warcinfo", b"software: x\r\n", content="application/warc-fields"),
+        foreign("request", b"GET / HTTP/1.1\r\n\r\n", content="application/http; msgtype=request"),
+        foreign("response", http + b"body"),
+        foreign("response", http + b"body", ("WARC-Payload-Digest", f"sha1:{body.hex()}"), ("WARC-Block-Digest", f"md5:{hashlib.md5(http + b'body').hexdigest()}")),
+        foreign("response", http + b"body", ("WARC-Payload-Digest", f"SHA1:{base64.b32encode(body).decode().lower()}"), ("WARC-Block-Digest", "crc:zz")),
+        foreign("revisit", http, ("WARC-Refers-To", "<urn:uuid:9>"), ("WARC-Payload-Digest", "sha1:ABC")),
+        foreign("resource", b"", content=None),
+    ]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(records))
+    (tmp_path / "b.warc.gz").write_bytes(b"".join(records[:2]))
+    (tmp_path / "c.warc.gz").write_bytes(b"")
+    by_store = warc.read_archives(warc.archive_files(spark, str(tmp_path)), payloads=True).collect()
+    paths = spark.createDataFrame([(str(tmp_path / n),) for n in ("a.warc.gz", "b.warc.gz", "c.warc.gz")] + [(None,)], "path string")
+    mounted = warc.mounted_records(paths, payloads=True).collect()
+    assert len(by_store) == 9 and sorted(map(str, by_store)) == sorted(map(str, mounted))
+    assert Counter(r.record_type for r in mounted) == {"warcinfo": 2, "request": 2, "response": 3, "revisit": 1, "resource": 1}
+    assert all(r.page_id is None and r.record_id == "<urn:uuid:0-1>" for r in mounted)
+    responses = [r for r in mounted if r.record_type == "response"]
+    assert all(bytes(r.payload) == b"body" and r.payload_bytes == 4 for r in responses)
+    assert responses[0].payload_digest == warc.digest(b"body")
+    again = next(r for r in mounted if r.record_type == "revisit")
+    assert (again.refers_to, again.refers_to_id, again.payload_digest, again.payload) == (None, "<urn:uuid:9>", "ABC", None)
+    for bad in (("WARC-Payload-Digest", f"sha1:{'0' * 40}"), ("WARC-Block-Digest", "sha256:00")):
+        with pytest.raises(warc.DamagedArchive, match="digest"):
+            warc.read_record(zlib.decompress(foreign("response", http + b"body", bad), 31))
+
+
 def test_warc_damage():
     one = warc.page_record(1, "u", "abc", warc.digest(b"abc"), None)
     assert [warc.read_record(r)["page_id"] for r in warc.members([one[:7], one[7:] + one])] == [1, 1]
@@ -472,6 +508,29 @@ def test_url_rules(spark):
     assert [(r.host, r.path, r.rule, r.verdict) for r in got] == [c[1:] for c in cases]
 
 
+def test_url_suffix_rules(spark):
+    rules = ["// a comment", "", "co.uk", "*.ck", "!www.ck", "com"]
+    hosts = {
+        "a.b.example.co.uk": ("example.co.uk", "co.uk"), "co.uk": ("co.uk", "uk"), "x.y.z.ck": ("y.z.ck", "z.ck"), "a.www.ck": ("www.ck", "ck"), "www.ck": ("www.ck", "ck"),
+        "user@m.example.com:8080": ("example.com", "com"), "10.0.0.1:80": ("10.0.0.1", ""), "[::1]": ("[::1]", ""), "localhost": ("localhost", ""), "": ("", ""), "a.org": ("a.org", "org"),
+    }
+    got = spark.createDataFrame([(h,) for h in hosts], "h string").select("h", urls.domain_and_suffix(F.col("h"), rules).alias("d")).collect()
+    assert {r.h: tuple(r.d) for r in got} == hosts
+
+
+def test_url_reputation_blocks_hosts_of_the_given_pages(spark):
+    """Outcomes planted by host on the given pages: what no rule fits is judged by the host's bound."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    host = urls.host_of(F.col("url"))
+    spam = host.rlike("spam-farm|cheap-pills|[.]tionsh[.]example")
+    outcomes = pages.select("page_id", F.when(spam, F.col("page_id") % 10 != 0).otherwise(F.col("page_id") % 20 == 0).cast("int").alias("bad"))
+    twice = pages.unionByName(pages.filter("page_id < 40"))
+    out = urls.judge_urls(twice, outcomes.unionByName(outcomes), threshold=0.25).withColumn("spam", F.col("host").rlike("spam-farm|cheap-pills|[.]tionsh[.]example")).collect()
+    judged = Counter((r.spam, r.verdict) for r in out if r.rule is None)
+    assert len(out) == twice.count() and judged[True, "block"] > 5 and judged[False, "block"] == 0
+    assert judged[True, "block"] >= 0.8 * (judged[True, "block"] + judged[True, "allow"])
+
+
 def test_url_reputation(spark):
     rows = [("bad.example.net", 1)] * 60 + [("good.example.net", 0)] * 500 + [("new.example.net", 1)] + [(None, 1), ("x.net", None)]
     out = {r.host: r for r in urls.reputation(spark.createDataFrame(rows, "host string, bad int")).collect()}
