@@ -305,7 +305,7 @@ def main_text(page: str | None, t: Thresholds = Thresholds()) -> str:
 
     Blocks that the markup names as furniture say nothing of their neighbours and are taken out first. Where
     the density rules find no content in an article (a language without stop words here, verse, a list of
-    short items), what they leave undecided there is content.
+    short items), what they leave undecided there is content; and so it is on a page where they decide nothing.
     """
     blocks = [b for b in blocks_of(page or "") if b.role != BOILERPLATE]
     labels = [classify(b, t) for b in blocks]
@@ -315,6 +315,9 @@ def main_text(page: str | None, t: Thresholds = Thresholds()) -> str:
         if not any(labels[i] == CONTENT and not blocks[i].top for i in named):
             for i in named:
                 labels[i] = CONTENT if labels[i] == NEAR else labels[i]
+    if blocks and all(label in (SHORT, NEAR) for label in labels):
+        # Nothing is decided, so no neighbour can tell: a page of a few short paragraphs is its own content.
+        labels = [CONTENT] * len(labels)
     labels = smooth(labels, [b.heading for b in blocks])
     return "\n".join(b.text for b, label in zip(blocks, labels, strict=True) if label == CONTENT)
 

@@ -137,6 +137,39 @@ def test_html_query(spark):
     assert sorted((r.page_id, r.n_chars) for r in got) == [(1, 0), (2, len(got[1].text)), (2, len(got[1].text))]
 
 
+def planted(page):
+    """The article of a page of the given tables: text between the ends of its paragraphs and headings."""
+    blocks = re.split(r"</?(?:p|h1)>", re.search(r"<article>(.*?)</article>", page, re.S)[1])
+    texts = (" ".join(html.unescape(re.sub(r"</?b>", "", b.replace("<br>", " "))).split()) for b in blocks)
+    return "\n".join(t for t in texts if t)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_html_query_against_planted_articles(spark, sf):
+    want = {r.page_id: planted(r.html) for r in spark.read.parquet(f"/root/testdata/{sf}/pages.parquet").collect()}
+    got = queries.op2_html_text(spark, f"/root/testdata/{sf}").collect()
+    assert {r.page_id: r.text for r in got} == want and all(r.n_chars == len(r.text) for r in got) and len(got) == len(want)
+
+
+def test_html_passes_decide_every_block_that_is_not_furniture():
+    """On the given pages: furniture by markup, most of the article by density, short blocks by neighbours."""
+    count = Counter()
+    for h in duckdb.sql("SELECT html FROM '/root/testdata/sf0.01/pages.parquet'").fetchall():
+        for b in html_extract.blocks_of(h[0]):
+            label = html_extract.classify(b)
+            count["markup" if b.role == html_extract.BOILERPLATE else "density" if label >= 0 else "neighbours"] += 1
+    assert count == {"markup": 1913, "density": 1857, "neighbours": 751}
+
+
+def test_html_odd_pages(spark):
+    assert html_extract.main_text('<article><div class="post-header"><h1>Title</h1></div><p>Body') == "Title\nBody"
+    assert html_extract.main_text(f'<article><p class="social-science">Of it.</p><p>{PROSE}</p></article>') == f"Of it.\n{PROSE}"
+    assert html_extract.main_text("<p>Hello world</p>") == "Hello world"
+    long = f"<article>{'<p>' + PROSE + '</p>' * 2:s}" * 3000
+    assert html_extract.main_text(long).count("\n") == 2999
+    assert html_extract.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
 def test_top_k_against_brute_force(spark):
     rng = np.random.default_rng(3)
     rows = [(i, [float(x) for x in rng.integers(-3, 4, 6) / 7]) for i in range(150)]
