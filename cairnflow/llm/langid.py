@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import require
+from .common import require, short_batches
 
 BITS = 18
 ORDERS = (1, 2, 3)
@@ -126,7 +126,8 @@ def document_frequencies(docs: DataFrame, bits: int = BITS) -> tuple[int, np.nda
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(seen[part])], ["slot", "n"])
         yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int64()), pa.array([n], pa.int64())], ["slot", "n"])
 
-    sums = docs.select("text").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # 2**bits + 1 rows at most
+    with short_batches(docs.sparkSession):
+        sums = docs.select("text").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # 2**bits + 1 rows at most
     out = np.zeros((1 << bits) + 1, np.int64)
     out[sums.column("slot").to_numpy()] = sums.column("n").to_numpy()  # slot -1 is the last
     return int(out[-1]), out[:-1]

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, require, weighted_join, written
-from .components import connected_components
+from .components import FEW, connected_components
 
 WIDTH = 5
 NUMERATOR, DENOMINATOR = 75, 100
@@ -155,8 +155,8 @@ def _packed(docs: DataFrame, bits: int, width: int) -> DataFrame:
         from pyspark import TaskContext
 
         hashes, pack = WordHashes(), TaskContext.get().partitionId() << 24
+        ids, sets, held = [], [], 0
         for batch in batches:
-            ids, sets, held = [], [], 0
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids.append(doc)
                 sets.append(shingles(text.as_py(), hashes, width))
@@ -164,9 +164,8 @@ def _packed(docs: DataFrame, bits: int, width: int) -> DataFrame:
                 if len(ids) >= PACK_ROWS or held >= PACK_SHINGLES:
                     yield from _pack(pack, ids, sets, bits)
                     ids, sets, held, pack = [], [], 0, pack + 1
-            if ids:
-                yield from _pack(pack, ids, sets, bits)
-                pack += 1
+        if ids:
+            yield from _pack(pack, ids, sets, bits)
 
     return docs.mapInArrow(run, "bucket long, pack long, " + ", ".join(f"{c} binary" for c in _PACKED))
 
@@ -257,10 +256,10 @@ def shingle_sets(docs: DataFrame, width: int = WIDTH, numerator: int = NUMERATOR
 
 
 def _prefixes(sets: DataFrame) -> DataFrame:
-    """A row per prefix shingle of order 1: id, n, left (shingles from here on), token, df, and bits of orders 2 and 3."""
+    """A row per prefix shingle of order 1: id, n, c, left (shingles from here on), token, df, and bits of orders 2 and 3."""
     head = F.arrays_zip(F.slice("tokens", F.lit(1), F.col("r")).alias("token"), "df")
-    rows = sets.select("id", "n", F.size("tokens").alias("known"), "bits2", "bits3", F.posexplode(head).alias("at", "x"))
-    return rows.select("id", "n", (F.col("known") - F.col("at")).cast("long").alias("left"), "bits2", "bits3", F.col("x.token").alias("token"), F.col("x.df").alias("df"))
+    rows = sets.select("id", "n", "c", F.size("tokens").alias("known"), "bits2", "bits3", F.posexplode(head).alias("at", "x"))
+    return rows.select("id", "n", "c", (F.col("known") - F.col("at")).cast("long").alias("left"), "bits2", "bits3", F.col("x.token").alias("token"), F.col("x.df").alias("df"))
 
 
 def _passes(numerator: int, denominator: int) -> Column:
@@ -299,21 +298,23 @@ def join(docs: DataFrame, width: int = WIDTH, numerator: int = NUMERATOR, denomi
     classes = written(classes, "shingle_classes")
     sets = known.filter("r > 0").join(classes.select(F.col("first").alias("doc_id")), "doc_id", "left_semi")
     sets = written(sets.withColumnsRenamed({"doc_id": "id", "n_shingles": "n"}).drop("digest"), "shingle_prefixes")
-    found = _components(_prefixes(sets), sets, numerator, denominator, hub_rounds)
+    found = _components(sets, numerator, denominator, hub_rounds)
     linked = classes.join(found, classes["first"] == found["id"], "left").select("digest", F.col("first").alias("class_id"), F.coalesce("component", "first").alias("component_id"), "copies")
     linked = written(linked.filter("copies > 1 OR component_id <> class_id"), "linked")
     out = weighted_join(known.select("doc_id", "n_shingles", "digest"), linked, "digest", "copies")
     return out.select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def _components(prefixes: DataFrame, sets: DataFrame, numerator: int, denominator: int, hub_rounds: int) -> DataFrame:
+def _components(sets: DataFrame, numerator: int, denominator: int, hub_rounds: int) -> DataFrame:
     """(id, component) of every class that is in a component of two or more."""
-    spark = prefixes.sparkSession
+    spark = sets.sparkSession
     found = spark.createDataFrame([], "id long, component long")
     passes = _passes(numerator, denominator)
     parts = (F.col("df") / SPLIT).cast("int")  # of a shingle, besides the first: the same for all its rows
     for k in range(hub_rounds + 1):
-        placed = prefixes.join(found, "id", "left").select(*prefixes.columns, F.coalesce("component", "id").alias("c"), F.pmod(F.xxhash64("id"), parts + 1).cast("int").alias("part"))
+        known = F.broadcast(found) if found.count() <= FEW else found
+        placed = _prefixes(sets.join(known, "id", "left").withColumn("c", F.coalesce("component", "id")))
+        placed = placed.withColumn("part", F.pmod(F.xxhash64("id"), parts + 1).cast("int"))
         hub = F.min_by(F.struct("id", "n", "left", "bits2", "bits3", "c"), F.xxhash64("id", F.lit(k)) if k else F.col("id"))
         buckets = placed.groupBy("token", "df").agg(F.min("c").alias("low"), F.max("c").alias("high"), hub.alias("hub")).filter("low < high")
         if k < hub_rounds:

@@ -341,7 +341,10 @@ def test_ngram_join_empty(spark):
     assert [r.component_id for r in shingle_join.join(docs_of(spark, [None, "", None])).orderBy("doc_id").collect()] == [0, 1, 2]
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few, hot", [(50_000, 100_000), (0, 100_000), (0, 5)])
+def test_components(spark, monkeypatch, few, hot):
+    monkeypatch.setattr(components, "FEW", few)
+    monkeypatch.setattr(components, "HOT", hot)
     rng = random.Random(4)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1060)] + [(2000, i) for i in range(2001, 2100)] + [(None, 1)]
     got = {r.id: r.component for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -648,8 +651,6 @@ def test_sum_of_squares_rule():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_queries_match_sql(spark, name):
-    import duckdb
-
     con = duckdb.connect()
     for t in ("documents", "pages", "embeddings", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
