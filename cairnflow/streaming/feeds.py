@@ -110,8 +110,8 @@ def _admit(times: list[float], now: float, window: float, most: int) -> tuple[bo
 def rate_limited(events: DataFrame, key: str, at: str, order: str, seconds: float, most: int) -> DataFrame:
     """J8 on a table: key, order, allowed, remaining (before the request) by exact replay per key.
 
-    Whether a request passes depends on earlier rejections, so keys are folded in order. The fold holds one
-    Arrow batch of a key at a time and at most ``most`` times, whatever the key's size.
+    Whether a request passes depends on earlier rejections, so keys are folded in order, row by row: a hot key is
+    one task's work. The fold holds one Arrow batch of a key at a time and at most ``most`` times, whatever its size.
     """
     schema = T.StructType([events.schema[key], events.schema[order], T.StructField("allowed", T.BooleanType()), T.StructField("remaining", T.IntegerType())])
 
@@ -159,7 +159,10 @@ def rate_limited_stream(events: DataFrame, key: str, at: str, order: str, second
 
 
 def breaker_states(events: DataFrame, key: str, at: str, order: str, failed: str, failures: int = 5, reset_seconds: float = 60) -> DataFrame:
-    """Circuit state after each call: CLOSED, OPEN after ``failures`` in a row, HALF_OPEN after a rest; folded per key."""
+    """Circuit state after each call: CLOSED, OPEN after ``failures`` in a row, HALF_OPEN after a rest.
+
+    Folded per key in order, row by row, with three values as state: a hot key is one task's work.
+    """
     schema = T.StructType([events.schema[key], events.schema[order], T.StructField("state", T.StringType())])
 
     def run(batches):
