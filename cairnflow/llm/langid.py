@@ -254,9 +254,10 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, to_code = sent.value, letters()
         for batch in batches:
-            out = [m.predict(grams(to_code(t))) if t else (UNKNOWN, 0.0) for t in map(lambda t: t.as_py(), batch.column(len(keep)))]
-            columns = [*batch.columns[: len(keep)], pa.array([x for x, _ in out], pa.string()), pa.array([s for _, s in out], pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                out = [m.predict(grams(to_code(t))) if t else (UNKNOWN, 0.0) for t in map(lambda t: t.as_py(), part.column(len(keep)))]
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array([x for x, _ in out], pa.string()), pa.array([s for _, s in out], pa.float64())], names)
 
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), "lang_pred string", "score double"])
     return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, schema)

@@ -44,7 +44,7 @@ BUCKET_TOKENS = 1_500_000
 LEAST_BITS = 8
 #: A pack ends with so many documents or shingles.
 PACK_ROWS = 1500
-PACK_SHINGLES = 1_500_000
+PACK_SHINGLES = 400_000
 #: Documents of one shingle that a task compares at a time.
 SPLIT = 4096
 
@@ -55,7 +55,7 @@ class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 150_000:
+        if len(self) > 100_000:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value
