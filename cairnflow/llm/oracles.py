@@ -134,4 +134,55 @@ m AS (SELECT page_id, host, path, arg_max(rule_host || rule_path, length(rule_ho
 SELECT u.page_id, u.host, u.path, m.rule, coalesce(m.action, CASE WHEN lower > 0.25 THEN 'block' ELSE 'allow' END) AS verdict, round(lower, 6) AS lower
 FROM u LEFT JOIN m ON u.page_id = m.page_id AND u.host = m.host AND u.path = m.path LEFT JOIN h4 ON h4.host = u.host"""
 
-ORACLES = {"op1_quality_rules": OP1, "op3_top_k": OP3, "op4_mix": OP4, "op5_ngram_join": OP5, "op8_warc": OP8, "op9_url_filter": OP9}
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+OP11 = rf"""
+WITH d AS MATERIALIZED (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+k AS MATERIALIZED (SELECT lang, term FROM (SELECT lang, unnest(list_distinct(terms)) AS term FROM d) GROUP BY ALL HAVING count(*) >= 10),
+c AS MATERIALIZED (SELECT lang, source, term, count(*) AS n FROM (SELECT lang, source, unnest(terms) AS term FROM d) JOIN k USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+s AS (SELECT lang, source, sum(n) AS n FROM c GROUP BY ALL),
+l AS (SELECT lang, sum(n) AS n FROM s GROUP BY lang),
+p AS MATERIALIZED (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, (1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (coalesce(s.n, 0) + 2 * v.v))::BIGINT AS p
+  FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN s USING (lang, source) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+q AS (SELECT k.lang, k.term, (1 + (1000000000::HUGEINT * (sum(c.n) + 2)) // (any_value(l.n) + 2 * any_value(v.v)))::BIGINT AS q FROM k JOIN c USING (lang, term) JOIN l USING (lang) JOIN v USING (lang) GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // (p + q) AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q
+  UNION ALL SELECT a.lang, a.source, 'pair', b.source, coalesce(x.value, 0) FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source)
+SELECT lang, source, part, item, value::BIGINT AS value, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank FROM r
+QUALIFY part = 'pair' OR rank <= 10"""
+
+#: CRC-32 of a string byte by byte, by the table of all bytes.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(octet_length(encode(w))), lambda i: ('0x' || substr(hex(encode(w)), 2 * i + 1, 2))::BIGINT)),
+  lambda c, b: xor(c >> 8, tab[1 + (xor(c, b) & 255)])))"""
+
+OP12 = rf"""
+WITH crc_table AS MATERIALIZED (SELECT i, list_reduce(list_prepend(i::BIGINT, range(8)), lambda c, k: xor(c >> 1, (c & 1) * 3988292384)) AS t FROM range(256) x(i)),
+d AS MATERIALIZED (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+f AS MATERIALIZED (SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+  list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS w FROM (SELECT doc_id, w FROM d UNION ALL SELECT NULL, w FROM b)),
+h AS MATERIALIZED (SELECT w, ({_CRC} % 10000)::INTEGER AS bucket FROM (SELECT DISTINCT w FROM f), (SELECT list(t ORDER BY i) AS tab FROM crc_table)),
+n AS MATERIALIZED (SELECT doc_id, bucket, count(*) AS n FROM f JOIN h USING (w) GROUP BY ALL),
+e AS (SELECT bucket, coalesce(sum(n) FILTER (WHERE doc_id IS NOT NULL), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (WHERE doc_id IS NULL), 0)::DOUBLE AS t FROM n GROUP BY bucket),
+g AS (SELECT bucket, floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000))))::BIGINT AS gain FROM e),
+w AS (SELECT doc_id, sum(n) AS n_features, sum(n * gain) AS weight FROM n JOIN g USING (bucket) WHERE doc_id IS NOT NULL GROUP BY doc_id),
+x AS (SELECT d.doc_id, len(d.w) >= 20 AS able, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+  coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || d.doc_id), 1, 8))::BIGINT + 0.5) / 4294967296)))::BIGINT AS score FROM d LEFT JOIN w ON w.doc_id = d.doc_id),
+y AS (SELECT *, row_number() OVER (ORDER BY able DESC, score DESC, doc_id) AS place, (5 * count(*) FILTER (WHERE able) OVER ()) // 100 AS most FROM x)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= most THEN place END AS rank FROM y"""
+
+OP13 = rf"""
+WITH l AS MATERIALIZED (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents),
+k AS MATERIALIZED (SELECT *, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''), {_LOWER}) AS key FROM l),
+c AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(c.key) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN c ON c.key = k.key GROUP BY doc_id"""
+
+ORACLES = {
+    "op1_quality_rules": OP1, "op3_top_k": OP3, "op4_mix": OP4, "op5_ngram_join": OP5, "op8_warc": OP8, "op9_url_filter": OP9, "op11_divergence": OP11, "op12_resample": OP12, "op13_line_dedup": OP13,
+}

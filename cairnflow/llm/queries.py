@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_extract, langid, mixing, packing, quality, shingle_join, token_counts, topk, urls, warc
+from . import divergence, html_extract, langid, line_dedup, mixing, packing, quality, resampling, shingle_join, token_counts, topk, urls, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +76,23 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances of all sources of each language, and the terms that mark each source."""
+    return divergence.audit(_read(spark, sf_dir, "documents"))
+
+
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight of every document by the benchmark's word runs, and the draw of a twentieth."""
+    out = resampling.resample(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps when lines of ten documents or more are dropped."""
+    out = line_dedup.dedup(_read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_html_text": op2_html_text,
@@ -87,4 +104,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_url_filter": op9_url_filter,
     "op10_pack": op10_pack,
+    "op11_divergence": op11_divergence,
+    "op12_resample": op12_resample,
+    "op13_line_dedup": op13_line_dedup,
 }
