@@ -36,11 +36,15 @@ def fuzzy_score(value: Column, query: str) -> Column:
     )
 
 
-def keywords(text: Column, least: int = 3, most: int = 15, stop: Sequence[str] = STOP_WORDS) -> Column:
-    """H7: lower-cased alphanumeric runs of ``least`` or more characters, without stop words, first ``most`` distinct."""
+def terms(text: Column, least: int = 3, stop: Sequence[str] = STOP_WORDS) -> Column:
+    """H7, H8: all lower-cased alphanumeric runs of ``least`` or more characters, without stop words."""
     parts = F.split(F.lower(text_or_empty(text)), "[^a-z0-9]+")
-    kept = F.filter(parts, lambda w: (F.length(w) >= least) & ~w.isin(list(stop)))
-    return F.slice(F.array_distinct(kept), 1, most)
+    return F.filter(parts, lambda w: (F.length(w) >= least) & ~w.isin(list(stop)))
+
+
+def keywords(text: Column, least: int = 3, most: int = 15, stop: Sequence[str] = STOP_WORDS) -> Column:
+    """H7: the first ``most`` distinct ones of ``terms``."""
+    return F.slice(F.array_distinct(terms(text, least, stop)), 1, most)
 
 
 def words(text: Column) -> Column:
