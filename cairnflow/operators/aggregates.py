@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import written
+from .ranks import nearest_ranks
+
 
 def run_stats(runs: DataFrame, keys: Sequence[str], passed: Column, duration: Column, at: Column) -> DataFrame:
     """total_runs, pass_rate (0 to 1), avg_duration, last_run."""
@@ -34,39 +37,29 @@ def nearest_rank(value: str, p: float) -> Column:
     return F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY {value})")
 
 
-def nearest_ranks(rows: DataFrame, value: str, percents: Sequence[int], keys: Sequence[str] = ()) -> DataFrame:
-    """D4 for groups of any size: keys, p<percent> by nearest rank. Null values are left out.
-
-    Equal values are counted before they meet, and a running count over the sorted distinct values finds the
-    ranks: a group's values are sorted with spilling and never held in one map.
-    """
-    counts = rows.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__n"))
-    group = W.partitionBy(*keys)
-    upto = F.sum("__n").over(group.orderBy(value).rowsBetween(W.unboundedPreceding, 0))
-    ranked = counts.select(*keys, value, upto.alias("__upto"), F.sum("__n").over(group).alias("__all"))
-    hit = lambda p: F.min(F.when(F.col("__upto") * 100 >= F.col("__all") * p, F.col(value))).alias(f"p{p}")
-    return ranked.groupBy(*keys).agg(*map(hit, percents))
-
-
 def stats_report(rows: DataFrame, value: str, keys: Sequence[str] = (), pooled: bool = False) -> DataFrame:
     """Min, max, p50, p95, p99, mean, n of non-negative values; negative ones are errors, counted apart.
 
-    ``pooled`` adds a row over all groups, with null keys. Groups without good values give zeros.
+    ``pooled`` adds a row over all groups, with null keys. Groups without good values give zeros. Values are counted by
+    group once; the groups' figures and the pooled ones come from these counts, and ranks are found range by range.
     """
-    good = rows.withColumn("__good", F.when(F.col(value) >= 0, F.col(value)))
-    percents = (50, 95, 99)
-
-    def report(by: Sequence[str]) -> DataFrame:
-        plain = good.groupBy(*by).agg(F.min("__good").alias("min"), F.max("__good").alias("max"), F.avg("__good").alias("mean"), F.count("__good").alias("n"), F.count_if(F.col(value) < 0).alias("errors"))
-        ranks = nearest_ranks(good, "__good", percents, by).select(*(F.col(k).alias(f"__{k}") for k in by), *(f"p{p}" for p in percents))
-        same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in by]
-        both = plain.join(ranks, same, "left") if by else plain.join(F.broadcast(ranks), how="left")  # one row each
-        names = ["min", "max", *(f"p{p}" for p in percents), "mean"]
-        none = [F.lit(None).cast(rows.schema[k].dataType).alias(k) for k in keys if k not in by]
-        return both.select(*by, *none, *(F.coalesce(n, F.lit(0.0)).alias(n) for n in names), "n", "errors")
-
-    out = report(keys)
-    return out.unionByName(report(())) if keys and pooled else out
+    pooled = pooled and bool(keys)
+    good = F.when(F.col(value) >= 0, F.col(value)).alias("__good")
+    counts = rows.select(*keys, good, (F.col(value) < 0).alias("__bad")).groupBy(*keys, "__good", "__bad").agg(F.count("*").alias("__n"))
+    if pooled:
+        both = F.array(F.struct(F.lit(0).alias("__all"), *keys), F.struct(F.lit(1).alias("__all"), *(F.lit(None).cast(rows.schema[k].dataType).alias(k) for k in keys)))
+        counts = counts.select(F.explode(both).alias("__g"), "__good", "__bad", "__n").select("__g.*", "__good", "__bad", "__n")
+    by = ["__all", *keys] if pooled else list(keys)
+    percents, n = (50, 95, 99), F.when(F.col("__good").isNotNull(), F.col("__n"))
+    counts = written(counts.groupBy(*by, "__good", "__bad").agg(F.sum("__n").alias("__n")), "value_counts")
+    plain = counts.groupBy(*by).agg(
+        F.min("__good").alias("min"), F.max("__good").alias("max"), F.try_divide(F.sum(F.col("__good") * F.col("__n")), F.sum(n)).alias("mean"),
+        F.coalesce(F.sum(n), F.lit(0)).alias("n"), F.coalesce(F.sum(F.when(F.col("__bad"), F.col("__n"))), F.lit(0)).alias("errors"),
+    )
+    ranks = nearest_ranks(counts, "__good", percents, by, "__n").select(*(F.col(k).alias(f"__{k}") for k in by), *(f"p{p}" for p in percents))
+    out = plain.join(ranks, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in by], "left") if by else plain.join(F.broadcast(ranks), how="left")  # one row each
+    names = ["min", "max", *(f"p{p}" for p in percents), "mean"]
+    return out.select(*keys, *(F.coalesce(x, F.lit(0.0)).alias(x) for x in names), "n", "errors")
 
 
 def wave_metrics(tasks: DataFrame, wave: str, duration: str, success: Column, keys: Sequence[str] = ()) -> DataFrame:

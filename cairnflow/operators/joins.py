@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ranks import running
+
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str, digest: str, ignore_case: bool = True) -> DataFrame:
     """Key and state new / removed / modified / unchanged; a null digest on either side differs."""
@@ -86,6 +88,27 @@ def inverted_index(rows: DataFrame, key: str, items: str) -> DataFrame:
     return rows.select(key, F.explode(items).alias("item")).filter("item IS NOT NULL").groupBy("item").agg(F.sort_array(F.collect_set(key)).alias("keys"))
 
 
+def posting_blocks(edges: DataFrame, item: str, key: str, size: int = 1024) -> DataFrame:
+    """Item, block (from 0), n and the sorted distinct keys of the block, ``size`` of them at most.
+
+    The keys of an item are dealt to blocks in their order, by places that are counted range by range: an item that all
+    keys list is many rows, none of them long. Null items and keys are left out.
+    """
+    pairs = edges.select(item, key).filter(F.col(item).isNotNull() & F.col(key).isNotNull()).distinct()
+    placed = running(pairs, [item], [key], F.lit(1), "__place")
+    block = F.floor((F.col("__place") - 1) / size).cast("long")
+    blocks = placed.groupBy(item, block.alias("block")).agg(F.sort_array(F.collect_list(key)).alias("keys"))
+    return blocks.select(item, "block", F.size("keys").alias("n"), "keys")
+
+
+def sharing(blocks: DataFrame, wanted: DataFrame, item: str, key: str) -> DataFrame:
+    """Key, id, shared: of every wanted row (key, item) the ids in ``blocks`` that list one of its items, with
+    the number of items they share; an id is not told about itself. Blocks are unpacked only where an item is wanted."""
+    asked = wanted.select(key, item).filter(F.col(item).isNotNull()).distinct()
+    met = asked.join(blocks, item).select(key, F.explode("keys").alias("id"))
+    return met.filter(~F.col(key).eqNullSafe(F.col("id"))).groupBy(key, "id").agg(F.count("*").alias("shared"))
+
+
 def overlaps(a: Column, b: Column) -> Column:
     """Whether two arrays share an item; null or empty gives false."""
     return F.coalesce(F.arrays_overlap(a, b), F.lit(False))

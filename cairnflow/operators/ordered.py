@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .ranks import numbered, running
+
 
 def _micros(at: Column) -> Column:
     """Microseconds since the epoch, of a time with or without zone."""
@@ -35,12 +37,18 @@ def ngrams(rows: DataFrame, keys: Sequence[str], order: Sequence[str], item: str
 
 
 def within_budget(rows: DataFrame, keys: Sequence[str], drop_order: Sequence[Column], cost: Column, budget: float, protected: Column | None = None) -> DataFrame:
-    """Rows kept while the running cost, protected rows first, stays within the budget; 0 means no limit."""
+    """Rows kept while the running cost, protected rows first, stays within the budget; 0 means no limit.
+
+    A key may have all rows: they are summed range by range. Costs are 0 or more; null costs nothing.
+    """
     if budget <= 0:
         return rows
-    safe = F.lit(False) if protected is None else protected
-    w = W.partitionBy(*keys).orderBy(F.when(safe, 0).otherwise(1), *drop_order).rowsBetween(W.unboundedPreceding, 0)
-    return rows.withColumn("__sum", F.sum(cost).over(w)).filter(safe | (F.col("__sum") <= budget)).drop("__sum")
+    if protected is None:
+        return running(rows, keys, drop_order, cost, "__sum", budget).drop("__sum")
+    safe = F.coalesce(protected, F.lit(False))
+    marked = rows.withColumns({"__safe": safe})
+    summed = running(marked, keys, [F.desc("__safe"), *drop_order], cost, "__sum")
+    return summed.filter(F.col("__safe") | (F.col("__sum") <= budget)).select(*rows.columns)
 
 
 def gaps(rows: DataFrame, keys: Sequence[str], at: str, tie: str, seconds: float, action: Column | None = None, pause: str = "PAUSE") -> DataFrame:
@@ -76,13 +84,25 @@ def top(rows: DataFrame, score: Column, tie: Sequence[Column], n: int = 20, leas
     return rows.orderBy(F.col("score").desc(), *tie).limit(n)
 
 
-def page(rows: DataFrame, order: Sequence[Column], number: int, size: int) -> tuple[DataFrame, dict]:
-    """the rows of a page (from 1) and its facts; an empty table has 0 pages."""
+#: Pages that end within so many rows are drawn from a heap per task, later ones from places over the whole table.
+HEAP = 10_000
+
+
+def page(rows: DataFrame, order: Sequence[Column], number: int, size: int, heap: int = HEAP) -> tuple[DataFrame, dict]:
+    """the rows of a page (from 1) and its facts; an empty table has 0 pages. ``order`` ends with a unique column."""
     n = rows.count()
     pages = -(-n // size)
     start = (number - 1) * size
     facts = {"total": n, "total_pages": pages, "start": min(start + 1, n), "end": min(start + size, n), "has_next": number < pages, "has_prev": number > 1}
-    return rows.orderBy(*order).offset(start).limit(size), facts
+    if start + size <= heap:
+        return rows.orderBy(*order).offset(start).limit(size), facts
+    return numbered(rows, order, "__place").filter(F.col("__place").between(start + 1, start + size)).drop("__place"), facts
+
+
+def pages(rows: DataFrame, order: Sequence[Column], size: int) -> DataFrame:
+    """every row with its page (from 1) and its place on it (from 1), all pages at once."""
+    at = numbered(rows, order, "__place")
+    return at.withColumns({"page": F.floor((F.col("__place") - 1) / size) + 1, "place": F.pmod(F.col("__place") - 1, F.lit(size)) + 1}).drop("__place")
 
 
 def by_locale(text: Column, collation: str = "UNICODE") -> Column:
@@ -122,9 +142,9 @@ def ranked_areas(rows: DataFrame, keys: Sequence[str], priority: Sequence[Column
 
 
 def chunks(rows: DataFrame, keys: Sequence[str], order: Sequence[str], size: int) -> DataFrame:
-    """Batch number (from 0) of fixed size within each key."""
-    rn = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
-    return rows.withColumn("chunk", F.floor((rn - 1) / size).cast("long"))
+    """Batch number (from 0) of fixed size within each key, which may have all rows."""
+    at = running(rows, keys, order, F.lit(1), "__upto")
+    return at.withColumn("chunk", F.floor((F.col("__upto") - 1) / size).cast("long")).drop("__upto")
 
 
 def distinct_items(rows: DataFrame, items: str, name: str = "item") -> DataFrame:

@@ -19,10 +19,10 @@ from ..operators import joins as J
 from ..operators import ordered as O
 from ..sources import lines as L
 from ..streaming import feeds as R
-from . import catalogue
+from . import catalogue, relations
 from .base import ORACLES, QUERIES, Tables, query
 
-__all__ = ["ORACLES", "QUERIES", "catalogue"]
+__all__ = ["ORACLES", "QUERIES", "catalogue", "relations"]
 
 def _ok():
     """Events that are no errors count as passed runs."""
@@ -192,7 +192,8 @@ def ref_ngrams(t):
 @query("SELECT doc_id, source FROM (SELECT doc_id, source, doc_id % 50 = 0 AS safe, sum(ceil(length(coalesce(text, '')) / 4)) OVER (PARTITION BY source ORDER BY CASE WHEN doc_id % 50 = 0 THEN 0 ELSE 1 END, doc_id) AS s FROM documents) WHERE safe OR s <= 8000")
 def ref_token_budget(t):
     """E3, E9, H14"""
-    return O.within_budget(t.documents, ["source"], [F.col("doc_id")], X.token_estimate(F.col("text")), 8000, F.col("doc_id") % 50 == 0).select("doc_id", "source")
+    docs = t.documents.select("doc_id", "source", X.token_estimate(F.col("text")).alias("tokens"))
+    return O.within_budget(docs, ["source"], [F.col("doc_id")], F.col("tokens"), 8000, F.col("doc_id") % 50 == 0).select("doc_id", "source")
 
 
 @query("SELECT event_id, gap_seconds FROM (SELECT event_id, epoch_us(ts - lag(ts) OVER w) / 1e6 AS gap_seconds, lag(event_type) OVER w AS was FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE gap_seconds > 86400 AND coalesce(was <> 'signup', true)")

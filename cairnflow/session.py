@@ -53,7 +53,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts the lineage with files that outlive any executor."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by :func:`written` that nothing will read again; other frames are left alone."""
+    for t in tables:
+        if path := getattr(t, "_written_path", None):
+            remove(t.sparkSession, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder in whatever store it is in."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
