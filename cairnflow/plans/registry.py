@@ -19,10 +19,10 @@ from ..operators import joins as J
 from ..operators import ordered as O
 from ..sources import lines as L
 from ..streaming import feeds as R
-from . import catalogue, relations
+from . import catalogue, relations, streams
 from .base import ORACLES, QUERIES, Tables, query
 
-__all__ = ["ORACLES", "QUERIES", "catalogue", "relations"]
+__all__ = ["ORACLES", "QUERIES", "catalogue", "relations", "streams"]
 
 def _ok():
     """Events that are no errors count as passed runs."""

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import discard, remove, written
+
 
 def json_feed(spark: SparkSession, folder: str, schema: T.StructType | str, files_per_trigger: int = 100) -> DataFrame:
     """JSON lines files as a stream."""
@@ -40,43 +44,94 @@ def apply_changes(state: DataFrame, changes: DataFrame, key: str, at: str, actio
     return out.drop("used_by").join(refs, key, "left").withColumn("used_by", F.coalesce("used_by", F.array().cast("array<string>")))
 
 
-def upsert_sink(state_path: str, key: str, at: str):
-    """A foreachBatch function that keeps a Parquet state.
+#: Buckets of a state unless the sink is told otherwise; a state keeps the number it began with.
+BUCKETS = 64
+
+
+def _bucket(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
-    Each batch writes ``state_path/v=<batch>`` from the highest whole version below it; readers take the highest
-    whole version, so a failed batch leaves the old state in force and its rerun overwrites only its own folder.
-    Versions before the one just read are removed.
+
+def upsert_sink(state_path: str, key: str, at: str, buckets: int = BUCKETS):
+    """A foreachBatch function that keeps a state as Parquet in ``buckets`` buckets by key.
+
+    A batch reads and writes only the buckets that it touches, below ``state_path/v=<batch>/bucket=<n>``, and then a
+    manifest ``state_path/m=<batch>`` that names the version in force of every bucket, a row each. Readers follow the
+    highest whole manifest, so a batch that failed half-way has changed nothing, and its rerun starts from the manifest
+    below it. A removed key also leaves the ``used_by`` lists of others: only for that are other buckets looked through,
+    and only those that name it are written. Versions that the last two manifests do not name are deleted.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         before = [v for v in whole_versions(spark, state_path) if v < batch_id]
-        old = read_state(spark, state_path, before[-1]) if before else None
-        values = [c for c in batch.columns if c not in ("action",)]
-        state = old if old is not None else spark.createDataFrame([], batch.select(*values).schema)
-        apply_changes(state, batch, key, at).write.mode("overwrite").parquet(f"{state_path}/v={batch_id:09d}")
-        for version in before[:-1]:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{state_path}/v={version:09d}")
-            folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+        known, schema = _manifest(spark, state_path, before[-1]) if before else ({}, batch.drop("action").schema)
+        n = len(known) or buckets
+        changes = written(latest_changes(batch, key, at).withColumn("bucket", _bucket(F.col(key), n)), "changes")  # one row a key
+        touched = {r.bucket for r in changes.select("bucket").distinct().collect()}
+        if "used_by" in schema.fieldNames() and known:
+            gone = changes.filter("action = 'unlink'").select(F.col(key).alias("__ref"))
+            if not gone.isEmpty():
+                named = _read_buckets(spark, state_path, known, schema).select("bucket", F.explode("used_by").alias("__ref")).join(gone, "__ref", "left_semi")
+                touched |= {r.bucket for r in named.select("bucket").distinct().collect()}
+        old = _read_buckets(spark, state_path, {b: v for b, v in known.items() if b in touched}, schema).drop("bucket")
+        new = apply_changes(old, changes.drop("bucket"), key, at).withColumn("bucket", _bucket(F.col(key), n))
+        new.repartition(max(1, len(touched)), "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{state_path}/v={batch_id:09d}")
+        discard(changes)
+        held = {b: batch_id if b in touched else known.get(b, -1) for b in range(n)}
+        rows = spark.createDataFrame([(b, v, schema.json()) for b, v in sorted(held.items())], "bucket int, version long, state string")
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{state_path}/m={batch_id:09d}")
+        if len(before) > 1:
+            _clean(spark, state_path, {*held.values(), *known.values()}, before[:-1])
 
     return run
 
 
-def whole_versions(spark: SparkSession, state_path: str) -> list[int]:
-    """Versions of a state whose write was finished, ascending."""
+def _clean(spark: SparkSession, state_path: str, in_force: set[int], manifests: list[int]) -> None:
+    """Delete manifests that are superseded, and versions that none of those left names."""
+    for version in manifests:
+        remove(spark, f"{state_path}/m={version:09d}")
+    for version in versions(spark, state_path, "v="):
+        if version not in in_force:
+            remove(spark, f"{state_path}/v={version:09d}")
+
+
+def versions(spark: SparkSession, state_path: str, mark: str) -> list[int]:
+    """Numbers of the whole folders ``<mark><number>`` of a state, ascending."""
     top = spark._jvm.org.apache.hadoop.fs.Path(state_path)
     system = top.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     if not system.exists(top):
         return []
-    named = [s.getPath() for s in system.listStatus(top) if s.getPath().getName().startswith("v=")]
-    return sorted(int(p.getName()[2:]) for p in named if system.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+    named = [s.getPath() for s in system.listStatus(top) if s.getPath().getName().startswith(mark)]
+    return sorted(int(p.getName()[len(mark) :]) for p in named if system.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+
+def whole_versions(spark: SparkSession, state_path: str) -> list[int]:
+    """Batches whose state was finished, ascending."""
+    return versions(spark, state_path, "m=")
+
+
+def _manifest(spark: SparkSession, state_path: str, version: int) -> tuple[dict[int, int], T.StructType]:
+    """The version in force of every bucket, -1 for none, and the columns of the state."""
+    rows = spark.read.parquet(f"{state_path}/m={version:09d}").collect()  # a row for each bucket
+    return {r.bucket: r.version for r in rows}, T.StructType.fromJson(json.loads(rows[0].state))
+
+
+def _read_buckets(spark: SparkSession, state_path: str, held: dict[int, int], schema: T.StructType) -> DataFrame:
+    """The rows of some buckets, each from its version, with the bucket as last column."""
+    schema = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
+    whole = spark.createDataFrame([], schema)
+    for version in sorted({v for v in held.values() if v >= 0}):
+        mine = [b for b, v in held.items() if v == version]
+        whole = whole.unionByName(spark.read.schema(schema).parquet(f"{state_path}/v={version:09d}").filter(F.col("bucket").isin(mine)))
+    return whole
 
 
 def read_state(spark: SparkSession, state_path: str, version: int | None = None) -> DataFrame | None:
-    """The state of a version, by default the highest whole one; None if there is none."""
+    """The state after a batch, by default the last whole one; None if there is none."""
     if version is None:
         version = max(whole_versions(spark, state_path), default=-1)
-    return spark.read.parquet(f"{state_path}/v={version:09d}") if version >= 0 else None
+    return _read_buckets(spark, state_path, *_manifest(spark, state_path, version)).drop("bucket") if version >= 0 else None
 
 
 def changed_since(rows: DataFrame, synced: DataFrame, key: str, modified: str, at: str, full: bool = False) -> DataFrame:
