@@ -311,22 +311,26 @@ def _components(sets: DataFrame, numerator: int, denominator: int, hub_rounds: i
     found = spark.createDataFrame([], "id long, component long")
     passes = _passes(numerator, denominator)
     parts = (F.col("df") / SPLIT).cast("int")  # of a shingle, besides the first: the same for all its rows
+    able = F.col("left") * (numerator + denominator) >= 2 * numerator * F.col("n")
     for k in range(hub_rounds + 1):
         known = F.broadcast(found) if found.count() <= FEW else found
         placed = _prefixes(sets.join(known, "id", "left").withColumn("c", F.coalesce("component", "id")))
         placed = placed.withColumn("part", F.pmod(F.xxhash64("id"), parts + 1).cast("int"))
         hub = F.min_by(F.struct("id", "n", "left", "bits2", "bits3", "c"), F.xxhash64("id", F.lit(k)) if k else F.col("id"))
-        buckets = placed.groupBy("token", "df").agg(F.min("c").alias("low"), F.max("c").alias("high"), hub.alias("hub")).filter("low < high")
+        buckets = placed.groupBy("token", "df").agg(F.min("c").alias("low"), F.max("c").alias("high"), hub.alias("hub"), F.count("*").alias("rows"), F.max(able).alias("able")).filter("low < high")
         if k < hub_rounds:
             hubs = buckets.select("token", F.explode(F.sequence(F.lit(0), parts)).alias("part"), "hub.*")
             pairs = placed.alias("a").join(hubs.alias("b"), (F.col("a.token") == F.col("b.token")) & (F.col("a.part") == F.col("b.part")) & (F.col("a.c") != F.col("b.c")) & passes)
         else:
-            mixed = placed.join(buckets.select("token"), "token", "left_semi")
-            # A row meets every part of its shingle under the pair of parts; two rows of one part meet only under that part.
-            both = F.transform(F.sequence(F.lit(0), parts), lambda x: F.struct(F.least("part", x).alias("low"), F.greatest("part", x).alias("high")))
-            mixed = written(mixed.select("*", F.explode(both).alias("meet")), "mixed")
-            apart = (F.col("a.meet.low") == F.col("a.meet.high")) | (F.col("a.part") != F.col("b.part"))
-            pairs = mixed.alias("a").join(mixed.alias("b"), (F.col("a.token") == F.col("b.token")) & (F.col("a.meet") == F.col("b.meet")) & (F.col("a.c") < F.col("b.c")) & apart & passes)
+            # The smaller of a pair must have enough shingles left for a set of its own size: tokens without such a row have no
+            # pair. Both of a pair of one size must, so each pair is met once, from its smaller (n, id).
+            meet = buckets.filter("able").select("token", (F.col("rows") / SPLIT).cast("int").alias("parts"))
+            mixed = written(placed.drop("part").join(meet, "token"), "mixed")
+            part = F.pmod(F.xxhash64("id"), F.col("parts") + 1).cast("int")
+            small = mixed.filter(able).withColumn("part", part)
+            large = mixed.withColumn("part", F.explode(F.sequence(F.lit(0), "parts")))
+            first = (F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & (F.col("a.id") < F.col("b.id")))
+            pairs = small.alias("a").join(large.alias("b"), (F.col("a.token") == F.col("b.token")) & (F.col("a.part") == F.col("b.part")) & (F.col("a.c") != F.col("b.c")) & first & passes)
         pairs = pairs.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
         links = written(_verified(pairs, sets, numerator, denominator), "links")
         if links.isEmpty():

@@ -10,7 +10,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from cairnflow.llm import divergence, line_dedup, resampling
+from cairnflow.llm import divergence, line_dedup, resampling, shingle_join
 from tests.llm.test_operators import ODD, docs_of
 
 CLASH = "doc_id long, text string, lang string, source string, n long, docs long, term string, g long, row string, line string, gone string, score long, place long, able string, bucket int, value long"
@@ -209,3 +209,34 @@ def test_line_dedup_of_nothing(spark):
 def test_line_dedup_runs_in_the_jvm(spark):
     plan = line_dedup.dedup(docs_of(spark, ["a\nb", "a"]), 2)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+# ---- n-gram join: work of the last round
+
+
+@pytest.mark.parametrize("size", [60, 120])
+def test_a_passage_that_links_nobody_is_compared_with_nobody(spark, monkeypatch, size):
+    """150 of 180 words are shared, too few for a similarity of 0.75: the last round has no row of them to compare."""
+    rows, plain = {}, shingle_join.written
+
+    def counted(df, name):
+        out = plain(df, name)
+        if name == "mixed":
+            rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(shingle_join, "written", counted)
+    passage = " ".join(f"p{k}" for k in range(150))
+    texts = [f"{passage} " + " ".join(f"d{i}w{k}" for k in range(30)) for i in range(size)]
+    twins = [" ".join(f"t{k}" for k in range(100)), " ".join(f"t{k}" for k in range(98))]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in shingle_join.join(docs_of(spark, texts + twins)).collect()}
+    assert rows["mixed"] == 0
+    assert got == {i: (176, i) for i in range(size)} | {size: (96, size), size + 1: (94, size)}
+
+
+def test_a_smaller_set_is_met_by_larger_ones_of_a_passage(spark):
+    """The same passage links a text that is hardly more than the passage with the longer ones."""
+    passage = " ".join(f"p{k}" for k in range(150))
+    texts = [f"{passage} " + " ".join(f"d{i}w{k}" for k in range(30)) for i in range(8)] + [f"{passage} end"]
+    got = {r.doc_id: r.component_id for r in shingle_join.join(docs_of(spark, texts), hub_rounds=0).collect()}
+    assert got == dict.fromkeys(range(9), 0)
