@@ -57,12 +57,16 @@ STOP_WORDS = frozenset(
     "al como con del el ella ese esta este fue ha las lo los más no o para pero por se ser si sin su sus una y ya".split()
 )
 
+# An attribute is a name and, after an equals sign, a value; only there do quotes enclose. One that is never closed is part of the value.
+_VALUE = r"(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+)"
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)"
-    r"|</?[a-zA-Z][^>]*\Z|</[^>]*(?:>|\Z)",
+    rf"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*+)((?:[\s/]++|=?[^\s/>=]++(?:\s*+=\s*+{_VALUE})?+|=)*+)(?:>|\Z)|</[^>]*(?:>|\Z)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"(=?[^\s/>=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]*+)))?+")
+#: Marks that end a sentence, in several scripts, and characters that are words or nearly so.
+_SENTENCE = re.compile(r"[.!?…;。！？；।؟։۔](?:\W|\Z)|[。！？；]")
+_WIDE = re.compile(r"[぀-ヿ㐀-鿿가-힯]")
 
 CONTENT, BOILERPLATE, SHORT, NEAR, OUTER = 1, 0, -1, -2, -3
 PLAIN, WEAK = "plain", "weak"
@@ -76,6 +80,7 @@ class Block:
     heading: bool = False
     mark: int = -1  # the innermost marked element around it
     top: bool = False  # a first-level heading
+    paragraph: bool = False
 
 
 @dataclass
@@ -169,20 +174,20 @@ def blocks_of(page: str) -> list[Block]:
     tops: list[int] = []  # blocks that are first-level headings
     opened: Counter[str] = Counter()
     text: list[str] = []
-    link_chars = 0
+    links: list[str] = []  # what of it stands in links
     role: int | None = None
     mark = -1
     opened_last = ""  # the block element that the text at hand began in
 
     def end_block() -> None:
-        nonlocal link_chars
         words = " ".join(entities.unescape("".join(text)).split()) if text else ""
         if words:
             if opened_last == "h1" and role != BOILERPLATE:
                 tops.append(len(out))
-            out.append(Block(words, link_chars, role, opened_last in HEADINGS, mark, opened_last == "h1"))
+            linked = len(" ".join(entities.unescape("".join(links)).split()))
+            out.append(Block(words, linked, role, opened_last in HEADINGS, mark, opened_last == "h1", opened_last == "p"))
         text.clear()
-        link_chars = 0
+        links.clear()
 
     def close(name: str) -> None:
         while opened[name]:
@@ -201,7 +206,7 @@ def blocks_of(page: str) -> list[Block]:
         if upto > at:
             text.append(page[at:upto])
             if opened["a"]:
-                link_chars += len(text[-1].strip())
+                links.append(text[-1])
         if not found:
             break
         at, name = found.end(), (found[1] or "").lower()
@@ -247,29 +252,47 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
-def classify(block: Block, t: Thresholds = Thresholds()) -> int:
+def _stops(text: str) -> tuple[int, int]:
+    """Stop words and all words of a text."""
+    words = text.lower().split()
+    return sum(w.strip(".,;:!?()\"'") in STOP_WORDS for w in words), len(words)
+
+
+def foreign(blocks: list[Block], t: Thresholds = Thresholds()) -> bool:
+    """Whether a page is in a language without stop words here: its longer blocks that are no links have too few."""
+    found = [_stops(b.text) for b in blocks if b.role != BOILERPLATE and len(b.text) >= t.short and b.link_chars <= t.link_density * len(b.text)]
+    return sum(n for n, _ in found) < t.stop_low * sum(n for _, n in found)
+
+
+def classify(block: Block, t: Thresholds = Thresholds(), unknown: bool = False) -> int:
     """First pass: CONTENT, BOILERPLATE, or SHORT / NEAR for what the neighbours decide.
 
-    Inside an article more links are borne, a first-level heading is content, and so is from ``short`` on what
-    has ``stop_low``; nothing there is boilerplate but for its links.
+    Inside an article more links are borne, a paragraph that is a link is undecided, a first-level heading is content,
+    and so is from ``short`` on what has ``stop_low``; nothing there is boilerplate but for its links. Without stop
+    words, what ends sentences is undecided, and so are figures; on a page in an ``unknown`` language the ends of
+    sentences stand for stop words. Ideographs and syllables count twice.
     """
     if block.role == BOILERPLATE:
         return BOILERPLATE
     named = block.role == CONTENT
     size = len(block.text)
     if block.link_chars > (t.link_density_named if named else t.link_density) * size:
-        return BOILERPLATE
+        return NEAR if named and block.paragraph and size >= t.short else BOILERPLATE
     if named and block.top:
         return CONTENT
+    size += len(_WIDE.findall(block.text))
     if size < t.short:
         return NEAR if named else SHORT
-    words = block.text.lower().split()
-    stops = sum(w.strip(".,;:!?()\"'") in STOP_WORDS for w in words) / len(words)
+    n, words = _stops(block.text)
+    spoken = unknown and _SENTENCE.search(block.text) is not None
     if named:
-        return CONTENT if stops >= t.stop_low else NEAR
-    if stops >= t.stop_high:
+        return CONTENT if spoken or n >= t.stop_low * words else NEAR
+    if spoken or n >= t.stop_high * words:
         return CONTENT if size >= t.long else NEAR
-    return NEAR if stops >= t.stop_low else BOILERPLATE
+    if unknown or n >= t.stop_low * words:
+        return NEAR
+    figures = not any(c.isalpha() for c in block.text)
+    return NEAR if figures or _SENTENCE.search(block.text) else BOILERPLATE
 
 
 def smooth(labels: list[int], headings: list[bool] | None = None) -> list[int]:
@@ -304,15 +327,16 @@ def main_text(page: str | None, t: Thresholds = Thresholds()) -> str:
     """The content blocks of a page, one line each; empty if there are none.
 
     Blocks that the markup names as furniture say nothing of their neighbours and are taken out first. Where
-    the density rules find no content in an article (a language without stop words here, verse, a list of
-    short items), what they leave undecided there is content; and so it is on a page where they decide nothing.
+    the density rules find no content in an article (verse, a list of short items), or the page is in a language without
+    stop words here, what they leave undecided there is content; and so it is on a page where they decide nothing.
     """
     blocks = [b for b in blocks_of(page or "") if b.role != BOILERPLATE]
-    labels = [classify(b, t) for b in blocks]
+    unknown = foreign(blocks, t)
+    labels = [classify(b, t, unknown) for b in blocks]
     named = [i for i, b in enumerate(blocks) if b.role == CONTENT]
     if named:
         labels = [OUTER if x == SHORT else x for x in labels]
-        if not any(labels[i] == CONTENT and not blocks[i].top for i in named):
+        if unknown or not any(labels[i] == CONTENT and not blocks[i].top for i in named):
             for i in named:
                 labels[i] = CONTENT if labels[i] == NEAR else labels[i]
     if blocks and all(label in (SHORT, NEAR) for label in labels):
