@@ -1,18 +1,29 @@
 """YAML as rows (inventory A4, A5, A10, A19), without a YAML library.
 
-Block mappings and block lists of any depth, plain and quoted scalars, comments. Flow collections, anchors and
-multi-line scalars are left as text.
+Block mappings and block lists of any depth, plain and quoted scalars, block scalars (``|`` and ``>``), flow lists and
+flow mappings of scalars on one line, comments. Anchors, tags and nested flow collections are left as text.
 """
 
 from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_NONE = "array<struct<path:string,value:string>>"
 _STACK = "array<struct<indent:int,item:int,name:string>>"
+_ROWS = "array<struct<line_no:int,path:string,value:string>>"
+#: What the fold over lines holds: open keys, rows so far, the first bad line, and of an open block scalar its mark, path, line, indent and lines.
+_STATE = {"stack": _STACK, "out": _ROWS, "bad": "int", "style": "string", "path": "string", "at": "int", "indent": "int", "lines": "array<string>"}
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` with ``value`` computed once."""
+    return F.transform(F.array(value), body)[0]
 
 
 def scalar(text: Column) -> Column:
@@ -25,18 +36,63 @@ def scalar(text: Column) -> Column:
     return F.when(t.startswith('"'), told).when(t.startswith("'"), single).otherwise(F.when(plain.isin("", "null", "~"), F.lit(None)).otherwise(plain))
 
 
-def yaml_paths(docs: DataFrame, key: str, text: str) -> DataFrame:
+def _flow_items(rest: Column) -> Column:
+    """The items of a flow list of scalars, as written."""
+    inner = F.regexp_extract(F.trim(rest), r"^\[(.*)\]\s*(?:#.*)?$", 1)
+    found = F.regexp_extract_all(inner, F.lit(r"""\s*("(?:[^"\\]|\\.)*"|'(?:[^']|'')*'|[^,]+)"""), F.lit(1))
+    return F.filter(found, lambda x: F.trim(x) != "")
+
+
+def _flow_pairs(rest: Column) -> Column:
+    """The pairs of a flow mapping of scalars, as written."""
+    inner = F.regexp_extract(F.trim(rest), r"^\{(.*)\}\s*(?:#.*)?$", 1)
+    pair = r"""\s*([^,:"']+?|"[^"]*"|'[^']*')\s*:(\s+(?:"(?:[^"\\]|\\.)*"|'(?:[^']|'')*'|[^,]*)|)(?:,|$)"""
+    each = F.regexp_extract_all(inner, F.lit(pair), F.lit(0))
+    part = lambda x, k: F.regexp_extract(x, pair, k)
+    return F.transform(each, lambda x: F.struct(F.regexp_replace(part(x, 1), r"^[\"']|[\"']$", "").alias("name"), part(x, 2).alias("value")))
+
+
+def _block_text(lines: Column, style: Column) -> Column:
+    """The value of a block scalar: the first line's indent taken off, folded for ``>``, trailing line ends by its mark."""
+    deep = F.length(F.regexp_extract(F.coalesce(F.get(F.filter(lines, lambda x: F.trim(x) != ""), F.lit(0)), F.lit("")), r"^( *)", 1))
+    plain = F.array_join(F.transform(lines, lambda x: F.substr(x, deep + 1)), "\n")
+    ends = F.regexp_extract(plain, r"(\n*)$", 1)
+    body = F.regexp_replace(plain, r"\n+$", "")
+    folded = F.regexp_replace(F.regexp_replace(body, r"(?<!\n)\n(?!\n)", " "), r"\n(\n+)", "$1")
+    body = F.when(style.startswith(">"), folded).otherwise(body)
+    last = F.when(style.contains("-") | (body == ""), "").when(style.contains("+"), F.concat(F.lit("\n"), ends)).otherwise("\n")
+    return F.concat(body, last)
+
+
+def yaml_paths(docs: DataFrame, key: str, text: str, corrupt: str = "drop") -> DataFrame:
     """A4: key, line_no, path, value: a row per scalar of each document, list items by their number.
 
-    One fold over the lines of each document, in place; the stack holds the open keys with their indents. A text
-    with a line that is no YAML of this kind (no key, item, comment or blank) gives no rows, as does null.
+    One fold over the lines of each document, in place; the stack holds the open keys with their indents. A line that is
+    no YAML of this kind (no key, item, comment or blank; an open bracket or quote) makes a text corrupt: it gives no rows
+    or, for ``corrupt`` of ``raise``, fails what reads the rows with its key and line. A null or blank text gives no rows.
     """
     lines = F.split(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"\r\n?", "\n"), "\n")
     entry = lambda indent, item, name: F.struct(indent.cast("int").alias("indent"), item.cast("int").alias("item"), name.alias("name"))
     pair = r"^(?:\"([^\"]*)\"|'([^']*)'|([^\s#\"'\[{\-][^:#]*?|-[^\s:][^:]*?)):(?:\s+(.*))?$"
+    row = lambda no, path, value: F.struct(no.cast("int").alias("line_no"), path.alias("path"), value.alias("value"))
+    nothing = F.array().cast("array<string>")
+
+    def state(acc: Column, **now: Column) -> Column:
+        return F.struct(*(now.get(name, acc[name]).cast(kind).alias(name) for name, kind in _STATE.items()))
+
+    def closed(acc: Column) -> Column:
+        """With the block scalar that was open as a row."""
+        value = _block_text(acc["lines"], acc["style"])
+        done = state(acc, out=F.concat(acc["out"], F.array(row(acc["at"], acc["path"], value))), style=F.lit(""), lines=nothing)
+        return F.when(acc["style"] != "", done).otherwise(acc)
 
     def put(acc: Column, line: Column, no: Column) -> Column:
         indent = F.length(F.regexp_extract(line, r"^( *)", 1))
+        inside = (acc["style"] != "") & ((indent > acc["indent"]) | (F.trim(line) == ""))
+        more = state(acc, lines=F.concat(acc["lines"], F.array(line)))
+        return F.when(inside, more).otherwise(let(closed(acc), lambda a: plain(a, line, no, indent)))
+
+    def plain(acc: Column, line: Column, no: Column, indent: Column) -> Column:
         is_item = line.rlike(r"^ *-(\s|$)")
         gap = F.length(F.regexp_extract(line, r"^ *(-\s*)", 1))
         body = F.when(is_item, F.regexp_replace(line, r"^ *-\s*", "")).otherwise(F.trim(line))
@@ -47,22 +103,59 @@ def yaml_paths(docs: DataFrame, key: str, text: str) -> DataFrame:
         same = F.filter(acc["stack"], lambda s: (s["indent"] == indent) & (s["item"] >= 0))
         at = F.coalesce(F.get(same, F.size(same) - 1)["item"] + 1, F.lit(0))
         opened = F.when(is_item, F.concat(above, F.array(entry(indent, at, at.cast("string"))))).otherwise(above)
-        stack = F.when(has_key, F.concat(opened, F.array(entry(F.when(is_item, indent + gap).otherwise(indent), F.lit(-1), F.trim(name))))).otherwise(opened)
-        rest = F.when(has_key, F.regexp_extract(body, pair, 4)).otherwise(body)
+        own = F.when(is_item, indent + gap).otherwise(indent)
+        stack = F.when(has_key, F.concat(opened, F.array(entry(own, F.lit(-1), F.trim(name))))).otherwise(opened)
+        rest = F.trim(F.when(has_key, F.regexp_extract(body, pair, 4)).otherwise(body))
         full = F.array_join(F.transform(stack, lambda s: s["name"]), ".")
-        out = F.when(F.trim(F.regexp_replace(rest, r"^#.*", "")) != "", F.concat(acc["out"], F.array(F.struct(no.cast("int").alias("line_no"), full.alias("path"), scalar(rest).alias("value"))))).otherwise(acc["out"])
+        is_list, is_map = rest.rlike(r"^\[[^\[\]{}]*\]\s*(#.*)?$"), rest.rlike(r"^\{[^\[\]{}]*\}\s*(#.*)?$")
+        under = lambda n: F.concat_ws(".", F.nullif(full, F.lit("")), n)
+        rows = (
+            F.when(is_list, F.transform(_flow_items(rest), lambda x, i: row(no, under(i.cast("string")), scalar(x))))
+            .when(is_map, F.transform(_flow_pairs(rest), lambda x: row(no, under(F.trim(x["name"])), scalar(x["value"]))))
+            .when(F.regexp_replace(rest, r"^#.*", "") != "", F.array(row(no, full, scalar(rest))))
+            .otherwise(F.array().cast(_ROWS))
+        )
+        block = rest.rlike(r"^[|>][+-]?\s*(#.*)?$")
+        cut = rest.rlike(r"^[\[{][^\]}]*$") | rest.rlike(r'^"(?:[^"\\]|\\.)*$') | rest.rlike(r"^'(?:[^']|'')*$")
         skip = line.rlike(r"^\s*(#.*|---|\.\.\.)?\s*$")
-        bad = ~skip & ~has_key & ~is_item
-        fresh = F.struct(stack.cast(_STACK).alias("stack"), out.alias("out"), (acc["bad"] | bad).alias("bad"))
-        return F.when(skip, acc).otherwise(fresh)
+        bad = (~has_key & ~is_item) | cut
+        read = state(acc, stack=stack, out=F.when(block, acc["out"]).otherwise(F.concat(acc["out"], rows)), bad=F.when((acc["bad"] == 0) & bad, no).otherwise(acc["bad"]))
+        begun = state(acc, stack=stack, style=rest, path=full, at=no, indent=F.when(has_key, own).otherwise(indent), lines=nothing)
+        return F.when(skip, acc).when(block, begun).otherwise(read)
 
-    start = F.struct(F.array().cast(_STACK).alias("stack"), F.array().cast("array<struct<line_no:int,path:string,value:string>>").alias("out"), F.lit(False).alias("bad"))
+    none = {"array": F.array(), "string": F.lit(""), "int": F.lit(0)}
+    start = F.struct(*(none[kind.partition("<")[0]].cast(kind).alias(name) for name, kind in _STATE.items()))
     numbered = F.transform(lines, lambda line, i: F.struct(line.alias("line"), (i + 1).alias("no")))
-    found = F.aggregate(numbered, start, lambda acc, x: put(acc, x["line"], x["no"]))
-    rows = docs.select(F.col(key), found.alias("__f")).filter(~F.col("__f.bad"))
+    found = F.aggregate(numbered, start, lambda acc, x: put(acc, x["line"], x["no"]), closed)
+    rows = docs.select(F.col(key), found.alias("__f"))
+    if corrupt == "raise":
+        said = F.concat(F.lit("Failed to parse registry: "), F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(", line "), F.col("__f.bad").cast("string"))
+        rows = rows.filter(F.when(F.col("__f.bad") > 0, F.raise_error(said).cast("boolean")).otherwise(F.lit(True)))
+    else:
+        rows = rows.filter("__f.bad = 0")
     return rows.select(key, F.explode("__f.out").alias("__r")).select(key, "__r.line_no", "__r.path", "__r.value")
 
 
+def read_yaml(spark: SparkSession, path: str) -> DataFrame:
+    """A4, A5: file, line_no, path, value of all YAML files that ``path`` (a file, folder or pattern) names, a file a row.
+
+    Missing files and empty ones give no rows; a corrupt file fails what reads the rows ("Failed to parse registry"). Read by
+    Spark, so it reaches any store that Spark does; a file is one row while it is parsed.
+    """
+    try:
+        texts = spark.read.text(path, wholetext=True)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "file string, line_no int, path string, value string")
+    return yaml_paths(texts.select(F.input_file_name().alias("file"), "value"), "file", "value", corrupt="raise")
+
+
+def read_yaml_registry(spark: SparkSession, path: str) -> DataFrame:
+    """A5: the entities of YAML registries: category, id, path, type, purpose, keywords, used_by."""
+    return registry_rows(read_yaml(spark, path), "file")
+
+
 def yaml_items(paths: DataFrame, key: str, under: str, fields: list[str]) -> DataFrame:
     """A4: of ``yaml_paths``, the list of mappings at ``under`` as rows: key, item, one string column per field."""
     rows = paths.filter(F.col("path").startswith(f"{under}."))
@@ -90,10 +183,21 @@ def yaml_block(text: Column) -> Column:
 def yaml_text(rows: DataFrame, key: str, order: str, fields: list[str], under: str, header: str = "") -> DataFrame:
     """A10: key, text: the rows of a key as a YAML list of mappings below ``under``, with a header comment.
 
-    A document gathers the rows of its key, so a key is one file's worth; ``order`` sorts its items.
+    Arrays are flow lists, structs one level of mapping, all else quoted scalars; nulls are ``null``. A document gathers the
+    rows of its key, so a key is one file's worth; ``order`` sorts its items.
     """
-    quoted = lambda c: F.concat(F.lit('"'), F.regexp_replace(F.regexp_replace(F.col(c).cast("string"), r'(["\\])', r"\\$1"), "\n", r"\\n"), F.lit('"'))
-    item = F.concat(*(F.concat(F.lit("  - " if i == 0 else "    "), F.lit(f"{f}: "), F.coalesce(quoted(f), F.lit("null")), F.lit("\n")) for i, f in enumerate(fields)))
+    kinds = {f.name: f.dataType for f in rows.select(*fields).schema}
+    quoted = lambda c: F.coalesce(F.concat(F.lit('"'), F.regexp_replace(F.regexp_replace(c.cast("string"), r'(["\\])', r"\\$1"), "\n", r"\\n"), F.lit('"')), F.lit("null"))
+
+    def written_as(column: Column, kind: T.DataType) -> Column:
+        if isinstance(kind, T.ArrayType):
+            return F.coalesce(F.concat(F.lit("["), F.array_join(F.transform(column, quoted), ", "), F.lit("]")), F.lit("null"))
+        if isinstance(kind, T.StructType):
+            inner = F.concat(*(F.concat(F.lit(f"\n      {f.name}: "), quoted(column[f.name])) for f in kind))
+            return F.when(column.isNull(), "null").otherwise(inner)
+        return quoted(column)
+
+    item = F.concat(*(F.concat(F.lit("  - " if i == 0 else "    "), F.lit(f"{f}: "), written_as(F.col(f), kinds[f]), F.lit("\n")) for i, f in enumerate(fields)))
     top = "".join(f"# {x}\n" for x in header.splitlines()) + f"{under}:\n"
     items = F.transform(F.sort_array(F.collect_list(F.struct(order, item.alias("t")))), lambda x: x["t"])
     return rows.groupBy(key).agg(F.concat(F.lit(top), F.array_join(items, "")).alias("text"))
