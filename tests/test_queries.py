@@ -10,6 +10,8 @@ from cairnflow.plans import registry
 from cairnflow.session import TABLES
 
 SF = "/root/testdata/sf0.001"
+#: Queries whose result is empty on the given tables; others of the same operator have rows.
+EMPTY = {"ref_field_search", "ref_missing_from"}
 
 
 @pytest.fixture(scope="module")
@@ -42,6 +44,7 @@ def test_matches_sql(spark, duck, name):
         assert rows
         return
     want = duck.execute(registry.ORACLES[name])
+    assert rows or name in EMPTY
     assert normal(got.columns, rows) == normal([d[0] for d in want.description], want.fetchall())
 
 
