@@ -15,15 +15,17 @@ shard; the lists of all tasks are merged by rank.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import require, written
+from .common import discard, require, shared_dir, written
 
 SCALE = 256
 #: Components that a shard holds at most, unless one vector has more.
@@ -153,7 +155,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int =
 
     Vectors are shuffled once, into shards of bounded size. Queries go to the shards in waves of about
     ``block_rows``, which bounds what is broadcast; with more than one wave the shards are written as a table that
-    each wave reads. A task sends on k rows per query at most.
+    each wave reads, one after the other, and so are a wave's results. A task sends on k rows per query at most.
     """
     spark = vectors.sparkSession
     vectors = require(vectors, ["vec_id", "x"], "top_k").filter("vec_id IS NOT NULL AND x IS NOT NULL").select(F.col("vec_id").cast("long").alias("vec_id"), "x")
@@ -172,7 +174,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int =
 
         dealt = written(dealt.mapInArrow(pack, "ids binary, x binary"), "shards")
 
-    def searched(wave: int) -> DataFrame:
+    def searched(wave: int) -> tuple[DataFrame, Broadcast]:
         own = queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(waves)) == wave) if waves > 1 else queries
         rows = own.toArrow().combine_chunks()
         ids = rows.column("vec_id").to_numpy()
@@ -185,10 +187,17 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int =
                 rows = ((np.frombuffer(i.as_buffer(), "<i8"), np.frombuffer(x.as_buffer(), "<f8")) for b in batches for i, x in zip(b.column(0), b.column(1), strict=True))
                 yield from _search(((i, x.reshape(len(i), -1)) for i, x in rows), *sent.value, k)
 
-        return dealt.mapInArrow(run, "query_id long, vec_id long, score long")
-
-    found = searched(0)
-    for wave in range(1, waves):
-        found = found.unionByName(searched(wave))
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        found = dealt.mapInArrow(run, "query_id long, vec_id long, score long")
+        rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), sent
+
+    if waves == 1:
+        return searched(0)[0]
+    # One wave after the other: searched, written, and its queries released before the next is read.
+    path = f"{shared_dir(spark)}/tables/top_k-{uuid.uuid4().hex}"
+    for wave in range(waves):
+        found, sent = searched(wave)
+        found.write.mode("overwrite").parquet(f"{path}/wave={wave}")
+        sent.destroy()
+    discard(queries, dealt)
+    return spark.read.schema(found.schema).parquet(path).drop("wave")
