@@ -80,6 +80,30 @@ def longest_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str
     return F.lit(None).cast("struct<rule:string,action:string>") if out is F else out
 
 
+def matched_rules(places: DataFrame, rules: DataFrame) -> DataFrame:
+    """place, rule, action: of every place (host, path) that a rule fits, the longest rule; for rules by the million.
+
+    rules: host, path, action. A place looks only for the hosts above it, and only for prefixes as long as a rule of that
+    host has: by equality, with counts, so that a host with half of all pages is no task of its own. Of rules of one
+    length the smallest (host, path, action) holds. Rules with a null are left out.
+    """
+    rules = rules.select("host", "path", "action").dropna().distinct()
+    lengths = rules.groupBy("host").agg(F.collect_set(F.char_length("path")).alias("lengths"))
+    dots = F.split("place.host", r"\.")
+    above = F.transform(F.sequence(F.lit(1), F.size(dots)), lambda k: F.array_join(F.slice(dots, k, F.size(dots)), "."))
+    asked = places.select("place", F.explode(above).alias("host"))
+    asked = written(asked.join(F.broadcast(lengths.select("host")), "host", "left_semi") if rules.count() <= 50_000 else asked, "asked_hosts")
+    known = asked.groupBy("host").agg(F.count("*").alias("asked")).join(lengths, "host")
+    probes = weighted_join(asked, known, "host", "asked", "inner").select("place", "host", F.explode("lengths").alias("n")).filter(F.col("n") <= F.char_length("place.path"))
+    probes = written(probes.select("place", F.struct("host", F.substr(F.col("place.path"), F.lit(1), F.col("n")).alias("path")).alias("rule")), "asked_rules")
+    held = rules.groupBy(F.struct("host", "path").alias("rule")).agg(F.min("action").alias("action"))
+    held = probes.groupBy("rule").agg(F.count("*").alias("asked")).join(held, "rule")
+    fits = weighted_join(probes, held, "rule", "asked", "inner")
+    named = F.struct((-F.char_length(F.concat("rule.host", "rule.path"))).alias("n"), "rule", "action")
+    best = fits.groupBy("place").agg(F.min(named).alias("best"))
+    return best.select("place", F.struct(F.concat("best.rule.host", "best.rule.path").alias("rule"), "best.action").alias("__r"))
+
+
 def _prior_weight(level: DataFrame, n: str, bad: str, mean: str) -> DataFrame:
     """One row: the beta prior's weight by moments over units with at least two outcomes, within 1 and 10000."""
     p, w = F.col(bad) / F.col(n), F.col(n)
@@ -120,11 +144,11 @@ def reputation(outcomes: DataFrame, z: float = 1.645, suffix_rules: Sequence[str
     return hosts.select("host", "n", F.col("b").alias("bad"), rate.alias("rate"), (rate - z * F.sqrt(rate * (1 - rate) / (a + b + 1))).alias("lower"))
 
 
-def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str, str]] = CONTRACT_RULES, threshold: float = 0.5, z: float = 1.645, suffix_rules: Sequence[str] = SUFFIX_RULES) -> DataFrame:
+def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str, str]] | DataFrame = CONTRACT_RULES, threshold: float = 0.5, z: float = 1.645, suffix_rules: Sequence[str] = SUFFIX_RULES) -> DataFrame:
     """page_id, host, path, rule, verdict, lower for every page.
 
-    pages: page_id, url; outcomes: page_id, bad; other columns are left aside. The longest fitting rule
-    decides; without one a page is blocked if its host's lower bound exceeds ``threshold``. A null or odd
+    pages: page_id, url; outcomes: page_id, bad; other columns are left aside. ``rules`` are a few triples (action,
+    host, path prefix), or any number as a table with host, path and action. The longest fitting rule decides; without one a page is blocked if its host's lower bound exceeds ``threshold``. A null or odd
     url has empty host and path, no reputation, and is allowed; so is a host without outcomes. Repeated
     pages are judged alike; several outcomes of a page all count.
     """
@@ -136,7 +160,13 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str,
     known = reputation(labelled.select("host", "bad"), z, suffix_rules).select("host", "lower")
     pages_of = placed.groupBy("host").agg(F.count("*").alias("__pages"))
     known = written(known.join(pages_of, "host"), "reputation")
-    ruled = placed.withColumn("__r", longest_rule(F.col("host"), F.col("path"), rules))
+    if isinstance(rules, DataFrame):
+        placed = placed.withColumn("place", F.struct("host", "path"))
+        places = placed.groupBy("place").agg(F.count("*").alias("__pages"))
+        found = matched_rules(places, rules).join(places, "place")
+        ruled = weighted_join(placed, written(found, "place_rules"), "place", "__pages").drop("__pages")
+    else:
+        ruled = placed.withColumn("__r", longest_rule(F.col("host"), F.col("path"), rules))
     judged = weighted_join(ruled, known, "host", "__pages")
     by_host = F.when(F.coalesce(F.col("lower") > threshold, F.lit(False)), F.lit("block")).otherwise(F.lit("allow"))
     return judged.select("page_id", "host", "path", F.col("__r.rule").alias("rule"), F.coalesce(F.col("__r.action"), by_host).alias("verdict"), "lower")
