@@ -141,6 +141,27 @@ def ref_yaml_block(t):
     return Y.yaml_paths(t.nation.select("n_nationkey", Y.yaml_block(text).alias("y")), "n_nationkey", "y").drop("line_no")
 
 
+@query("SELECT event_type AS type, count(*) AS n, 4::BIGINT AS backups FROM events GROUP BY 1")
+def ref_rotated_log(t):
+    """A log that is moved away whenever it has grown too large; nothing is lost on the way."""
+    log, backups = fresh_path(t.spark, "log"), fresh_path(t.spark, "backups")
+    for part in range(4):
+        t.events.filter(F.pmod("event_id", F.lit(4)) == part).select("event_id", "event_type").coalesce(1).write.mode("append").json(log)
+        FS.rotate(t.spark, log, backups, most_bytes=1000)
+    kept = t.spark.read.schema("event_id long, event_type string").json(f"{backups}/*").withColumn("file", F.regexp_extract(F.input_file_name(), r"/(\d+)-log", 1))
+    return kept.groupBy(F.col("event_type").alias("type")).agg(F.count("*").alias("n"), F.count_distinct("file").alias("backups"))
+
+
+@query("""SELECT printf('%07x', o_orderkey) AS id, CASE WHEN k < 2 THEN lower(left(o_orderstatus, 1)) || 'ix' END AS kind, CASE WHEN k = 1 THEN o_custkey::VARCHAR END AS scope, k = 1 AS breaking,
+CASE WHEN k < 2 THEN o_orderpriority ELSE 'order ' || o_orderpriority END AS message FROM (SELECT *, o_orderkey % 4 AS k FROM orders) WHERE k < 3""")
+def ref_commit_rows(t):
+    """Log lines of a command as rows; lines of other kinds are left out."""
+    k, ident = F.col("o_orderkey") % 4, F.format_string("%07x", "o_orderkey")
+    kind = _text(F.lower(F.substring("o_orderstatus", 1, 1)), "ix")
+    line = F.when(k == 0, _text(ident, " ", kind, ": ", F.col("o_orderpriority"))).when(k == 1, _text(ident, " ", kind, "(", F.col("o_custkey"), ")!: ", F.col("o_orderpriority"))).when(k == 2, _text(ident, " order ", F.col("o_orderpriority"))).otherwise("fatal: no log")
+    return FS.commits(t.orders.select(line.alias("text"))).drop("subject")
+
+
 @query("""SELECT CASE k WHEN 0 THEN 'M' WHEN 3 THEN 'R' WHEN 2 THEN '?' ELSE '' END AS staged, CASE k WHEN 1 THEN 'M' WHEN 2 THEN '?' ELSE '' END AS unstaged, 'f' || o_orderkey AS path, CASE k WHEN 3 THEN 'old' END AS old_path
 FROM (SELECT o_orderkey, o_orderkey % 5 AS k FROM orders) WHERE k < 4""")
 def ref_command_rows(t):

@@ -112,6 +112,28 @@ def write_dated(rows: DataFrame, path: str, at: str) -> None:
     rows.withColumn("date", F.to_date(at)).write.mode("append").partitionBy("date").json(path)
 
 
+def rotate(spark: SparkSession, path: str, backups: str, most_bytes: int = 5_000_000, keep: int | None = None) -> str | None:
+    """Move a log (a file or a folder of files) of more than ``most_bytes`` to ``backups`` and return where to.
+
+    Backups are numbered; a move is one rename, so readers see the whole log at one place or the other. With ``keep`` the
+    oldest backups beyond that number are deleted. A log that is missing or small stays, and None is returned.
+    """
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    log, top = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(backups)
+    system = log.getFileSystem(conf)
+    if not system.exists(log) or system.getContentSummary(log).getLength() <= most_bytes:
+        return None
+    system.mkdirs(top)
+    named = {int(m[1]): s.getPath() for s in system.listStatus(top) if (m := re.fullmatch(r"(\d+)-.*", s.getPath().getName()))}
+    target = jvm.org.apache.hadoop.fs.Path(top, f"{max(named, default=0) + 1:06d}-{log.getName()}")
+    if not system.rename(log, target):
+        raise OSError(f"could not move {path} to {backups}")
+    if keep is not None:
+        for number in sorted(named)[: max(0, len(named) + 1 - keep)]:
+            system.delete(named[number], True)
+    return target.toString()
+
+
 def replace_file(spark: SparkSession, path: str, text: str) -> None:
     """Write a small text to a temporary name in any store Spark reaches, then rename; a failure leaves the old file."""
     jvm = spark._jvm
@@ -138,6 +160,18 @@ def porcelain(rows: DataFrame, text: str = "text") -> DataFrame:
     return out.filter("path <> ''")
 
 
+def commits(rows: DataFrame, text: str = "text") -> DataFrame:
+    """One-line log entries (``abc1234 kind(scope): message``) as id, kind, scope, breaking, message, subject; others are left out.
+
+    Kind and scope are null where the subject has none. Count before any limit for the total.
+    """
+    line, kinds = r"^([0-9a-f]{7,40})\s+(.*\S)\s*$", r"^([a-z]+)(?:\(([^)]*)\))?(!)?:\s+(.*)$"
+    subject = F.regexp_extract(text, line, 2)
+    part = lambda k: F.nullif(F.regexp_extract(subject, kinds, k), F.lit(""))
+    out = rows.select(F.regexp_extract(text, line, 1).alias("id"), part(1).alias("kind"), part(2).alias("scope"), part(3).isNotNull().alias("breaking"), F.coalesce(part(4), subject).alias("message"), subject.alias("subject"))
+    return out.filter("id <> ''")
+
+
 def report_pair(summary: DataFrame, stem: str, most_rows: int = 1000) -> tuple[str, str]:
     """A small summary as ``stem.json`` and ``stem.md``, each replaced at once.
 

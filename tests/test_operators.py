@@ -325,3 +325,20 @@ def test_state_versions(spark, tmp_path):
 def test_locale_order(spark):
     rows = spark.createDataFrame([(x,) for x in ("b", "B", "a", "É", "e", "Z", "f")], "x string")
     assert [r.x for r in rows.orderBy(O.by_locale(F.col("x"))).collect()] == ["a", "b", "B", "e", "É", "f", "Z"]
+
+
+def test_log_rotation_keeps_some_backups(spark, tmp_path):
+    log, backups = str(tmp_path / "log"), tmp_path / "backups"
+    assert Fi.rotate(spark, log, str(backups)) is None
+    for k in range(4):
+        spark.createDataFrame([(k, "x" * 50)], "k int, t string").coalesce(1).write.mode("append").json(log)
+        assert Fi.rotate(spark, log, str(backups), most_bytes=10_000) is None
+        assert Fi.rotate(spark, log, str(backups), most_bytes=20, keep=2).endswith(f"{k + 1:06d}-log")
+    assert sorted(p.name for p in backups.iterdir()) == ["000003-log", "000004-log"]
+    assert sorted(r.k for r in spark.read.json(f"{backups}/*").collect()) == [2, 3]
+
+
+def test_commit_lines(spark):
+    rows = spark.createDataFrame([("abc1234 feat: add new feature",), ("def5678 fix(ui)!: bug fix ",), ("abc12345 plain words",), ("fatal: none",), ("",), (None,)], "text string")
+    got = [(r.id, r.kind, r.scope, r.breaking, r.message, r.subject) for r in Fi.commits(rows).collect()]
+    assert got == [("abc1234", "feat", None, False, "add new feature", "feat: add new feature"), ("def5678", "fix", "ui", True, "bug fix", "fix(ui)!: bug fix"), ("abc12345", None, None, False, "plain words", "plain words")]
