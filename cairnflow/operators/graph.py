@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import count
 
 from pyspark.sql import DataFrame
@@ -10,6 +11,10 @@ from pyspark.sql import functions as F
 from ..session import discard, written
 
 
+#: Levels that are held as tables of their own.
+LEVELS = 6
+
+
 def impact(edges: DataFrame, start: DataFrame, most_depth: int | None = None) -> DataFrame:
     """Edges (src uses dst), start (id) -> (origin, id, depth) of all that depend on a start vertex.
 
@@ -18,16 +23,23 @@ def impact(edges: DataFrame, start: DataFrame, most_depth: int | None = None) ->
     """
     # Written once: each round reads it instead of planning the edges anew.
     used_by = written(edges.select(F.col("dst").alias("at"), F.col("src").alias("next")).distinct(), "used_by")
-    seen = start.select(F.col("id").alias("origin"), "id").distinct().withColumn("depth", F.lit(0))
-    front = seen
+    front = start.select(F.col("id").alias("origin"), "id").distinct().withColumn("depth", F.lit(0))
+    seen, stale = [front], []
     for depth in count(1) if most_depth is None else range(1, most_depth + 1):
         new = front.join(used_by, front["id"] == used_by["at"]).select("origin", F.col("next").alias("id")).distinct()
-        new = new.join(seen.select("origin", "id"), ["origin", "id"], "left_anti").withColumn("depth", F.lit(depth))
+        new = new.join(reduce(DataFrame.unionByName, seen).select("origin", "id"), ["origin", "id"], "left_anti").withColumn("depth", F.lit(depth))
         new = written(new, "front")
         if new.isEmpty():
+            discard(new)
             break
-        seen, front = seen.unionByName(new), new
-    return seen.filter("depth > 0")
+        front = new
+        seen.append(front)
+        if len(seen) > LEVELS:
+            # Levels become one table, so that plans stay short; the last is still the front.
+            whole = written(reduce(DataFrame.unionByName, seen), "seen")
+            discard(*stale, *seen[:-1])
+            seen, stale = [whole], [front]
+    return reduce(DataFrame.unionByName, seen).filter("depth > 0")
 
 
 def impact_summary(found: DataFrame, total: int) -> DataFrame:

@@ -10,8 +10,8 @@ from cairnflow.plans import registry
 from cairnflow.session import TABLES
 
 SF = "/root/testdata/sf0.001"
-#: Queries whose result is empty on the given tables; others of the same operator have rows.
-EMPTY = {"ref_field_search", "ref_missing_from"}
+#: Queries whose result is empty on the given tables (others of the same operator have rows), and one that is on the smallest.
+EMPTY = {"ref_field_search", "ref_missing_from", "ref_contains_any"}
 
 
 @pytest.fixture(scope="module")
