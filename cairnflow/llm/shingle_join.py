@@ -326,11 +326,14 @@ def _components(sets: DataFrame, numerator: int, denominator: int, hub_rounds: i
             # pair. Both of a pair of one size must, so each pair is met once, from its smaller (n, id).
             meet = buckets.filter("able").select("token", (F.col("rows") / SPLIT).cast("int").alias("parts"))
             mixed = written(placed.drop("part").join(meet, "token"), "mixed")
+            # A row meets every part of the other side: what meets under a pair of parts is twice SPLIT rows, about.
             part = F.pmod(F.xxhash64("id"), F.col("parts") + 1).cast("int")
-            small = mixed.filter(able).withColumn("part", part)
-            large = mixed.withColumn("part", F.explode(F.sequence(F.lit(0), "parts")))
+            every = F.explode(F.sequence(F.lit(0), "parts"))
+            small = mixed.filter(able).select("*", part.alias("of_a"), every.alias("of_b"))
+            large = mixed.select("*", part.alias("of_b"), every.alias("of_a"))
             first = (F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & (F.col("a.id") < F.col("b.id")))
-            pairs = small.alias("a").join(large.alias("b"), (F.col("a.token") == F.col("b.token")) & (F.col("a.part") == F.col("b.part")) & (F.col("a.c") != F.col("b.c")) & first & passes)
+            met = (F.col("a.token") == F.col("b.token")) & (F.col("a.of_a") == F.col("b.of_a")) & (F.col("a.of_b") == F.col("b.of_b"))
+            pairs = small.alias("a").join(large.alias("b"), met & (F.col("a.c") != F.col("b.c")) & first & passes)
         pairs = pairs.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
         links = written(_verified(pairs, sets, numerator, denominator), "links")
         if links.isEmpty():
