@@ -652,7 +652,7 @@ def test_sum_of_squares_rule():
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_queries_match_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "embeddings", "labels"):
+    for t in ("documents", "pages", "embeddings", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got = queries.QUERIES[name](spark, SF)
     want = con.execute(ORACLES[name])
