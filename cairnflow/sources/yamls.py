@@ -8,23 +8,15 @@ from __future__ import annotations
 
 import json
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_STACK = "array<struct<indent:int,item:int,name:string>>"
-_ROWS = "array<struct<line_no:int,path:string,value:string>>"
-#: What the fold over lines holds: open keys, rows so far, the first bad line, and of an open block scalar its mark, path, line, indent and lines.
-_STATE = {"stack": _STACK, "out": _ROWS, "bad": "int", "style": "string", "path": "string", "at": "int", "indent": "int", "lines": "array<string>"}
-
-
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` with ``value`` computed once."""
-    return F.transform(F.array(value), body)[0]
-
 
 def scalar(text: Column) -> Column:
     """The value of a scalar as written: quotes and trailing comment taken off; empty, ``null`` and ``~`` are null."""
@@ -64,76 +56,131 @@ def _block_text(lines: Column, style: Column) -> Column:
     return F.concat(body, last)
 
 
+#: What a line is to the fold: nothing, a line with a value, one that only opens, the head of a block scalar, no YAML of this kind.
+_SKIP, _VALUE, _OPEN, _BLOCK, _BAD = range(5)
+#: What the fold gives beside the key.
+_FOUND = {"line_no": pa.int32(), "path": pa.string(), "rest": pa.string(), "lines": pa.list_(pa.string())}
+
+
+def _told_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """key, line_no, line and what a line says by itself: indent, own (that of its key), is_item, name (null: no key), rest, kind."""
+    pair = r"^(?:\"([^\"]*)\"|'([^']*)'|([^\s#\"'\[{\-][^:#]*?|-[^\s:][^:]*?)):(?:\s+(.*))?$"
+    split = F.split(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"\r\n?", "\n"), "\n")
+    lines = docs.select(key, F.posexplode(split).alias("at", "line")).select(key, (F.col("at") + 1).alias("line_no"), "line")
+    line, is_item = F.col("line"), F.col("line").rlike(r"^ *-(\s|$)")
+    body = F.when(is_item, F.regexp_replace(line, r"^ *-\s*", "")).otherwise(F.trim(line))
+    indent, gap = (F.length(F.regexp_extract(line, p, 1)) for p in (r"^( *)", r"^ *(-\s*)"))
+    lines = lines.withColumns({"indent": indent, "is_item": is_item, "body": body, "own": indent + gap})
+    name = F.when(F.col("body").rlike(pair), F.trim(F.concat(*(F.regexp_extract("body", pair, k) for k in (1, 2, 3)))))
+    lines = lines.withColumn("name", name).withColumn("rest", F.trim(F.when(F.col("name").isNotNull(), F.regexp_extract("body", pair, 4)).otherwise(F.col("body"))))
+    rest = F.col("rest")
+    cut = rest.rlike(r"^[\[{][^\]}]*$") | rest.rlike(r'^"(?:[^"\\]|\\.)*$') | rest.rlike(r"^'(?:[^']|'')*$")
+    kind = (
+        F.when(line.rlike(r"^\s*(#.*|---|\.\.\.)?\s*$"), _SKIP)
+        .when(rest.rlike(r"^[|>][+-]?\s*(#.*)?$"), _BLOCK)
+        .when((F.col("name").isNull() & ~F.col("is_item")) | cut, _BAD)
+        .when((rest == "") | rest.startswith("#"), _OPEN)
+        .otherwise(_VALUE)
+    )
+    return lines.select(key, "line_no", "line", "indent", "own", "is_item", "name", "rest", kind.alias("kind"))
+
+
+class _Paths:
+    """The fold over the lines of one document: open keys with their indents, and the block scalar that is open."""
+
+    def __init__(self):
+        self.stack: list[tuple[int, int, str]] = []  # (indent, number of the item or -1, name)
+        self.head, self.deep, self.lines = None, 0, []
+
+    def closed(self):
+        """The block scalar that was open, as a row."""
+        head, self.head = self.head, None
+        return [(*head, self.lines)] if head else []
+
+    def rows(self, no, line, indent, own, is_item, name, rest, kind):
+        """(line_no, path, rest, lines of a block scalar) of what this line ends or holds."""
+        if self.head and (indent > self.deep or not line.strip(" ")):
+            self.lines.append(line)
+            return []
+        out, stack = self.closed(), self.stack
+        if kind == _SKIP:
+            return out
+        # What stays open: shallower keys; for an item also the key it belongs to at the same indent.
+        last = -1
+        while stack and stack[-1][0] >= indent and not (is_item and stack[-1][0] == indent and stack[-1][1] < 0):
+            closing = stack.pop()
+            if closing[0] == indent and last < 0:
+                last = closing[1]
+        if is_item:
+            stack.append((indent, last + 1, str(last + 1)))
+        if name is not None:
+            stack.append((own, -1, name))
+        if kind in (_VALUE, _BLOCK):
+            row = (no, ".".join(s[2] for s in stack), rest)
+            if kind == _VALUE:
+                out.append((*row, None))
+            else:
+                self.head, self.deep, self.lines = row, own if name is not None else indent, []
+        return out
+
+
+def _folded(key: str, corrupt: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Lines of documents, each in order and one after the other, to rows; those of a document go out when it has ended well."""
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        doc, held, rows, bad, name = _Paths(), [], [], False, None
+
+        def packed() -> pa.RecordBatch:
+            columns = [pa.array(c, kind) for c, kind in zip(zip(*rows), _FOUND.values())]
+            return pa.RecordBatch.from_arrays([name.take(pa.array([0] * len(rows))), *columns], names=[key, *_FOUND])
+
+        def ended() -> list[pa.RecordBatch]:
+            rows.extend(doc.closed())
+            return [] if bad else [*held, *([packed()] if rows else [])]
+
+        for batch in batches:
+            for i, told in enumerate(zip(*(c.to_pylist() for c in batch.columns[1:]))):
+                if told[0] == 1:
+                    yield from ended()
+                    doc, held, rows, bad, name = _Paths(), [], [], False, batch.column(0).slice(i, 1)
+                if bad:
+                    continue
+                found = doc.rows(*told)
+                if told[-1] == _BAD and not doc.head:
+                    if corrupt == "raise":
+                        raise ValueError(f"Failed to parse registry: {name[0].as_py()}, line {told[0]}")
+                    bad, held, rows = True, [], []
+                rows.extend(found)
+            if rows and not bad:
+                held.append(packed())
+                rows = []
+        yield from ended()
+
+    return fold
+
+
 def yaml_paths(docs: DataFrame, key: str, text: str, corrupt: str = "drop") -> DataFrame:
     """A4: key, line_no, path, value: a row per scalar of each document, list items by their number.
 
-    One fold over the lines of each document, in place; the stack holds the open keys with their indents. A line that is
-    no YAML of this kind (no key, item, comment or blank; an open bracket or quote) makes a text corrupt: it gives no rows
-    or, for ``corrupt`` of ``raise``, fails what reads the rows with its key and line. A null or blank text gives no rows.
+    What a line says by itself is told by Spark, a row per line; one fold over the lines of a document where they are, in
+    time that grows with their number, adds the open keys. A line that is no YAML of this kind (no key, item, comment or
+    blank; an open bracket or quote) makes a text corrupt: it gives no rows or, for ``corrupt`` of ``raise``, fails what
+    reads the rows with its key and line. A null or blank text gives no rows.
     """
-    lines = F.split(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"\r\n?", "\n"), "\n")
-    entry = lambda indent, item, name: F.struct(indent.cast("int").alias("indent"), item.cast("int").alias("item"), name.alias("name"))
-    pair = r"^(?:\"([^\"]*)\"|'([^']*)'|([^\s#\"'\[{\-][^:#]*?|-[^\s:][^:]*?)):(?:\s+(.*))?$"
-    row = lambda no, path, value: F.struct(no.cast("int").alias("line_no"), path.alias("path"), value.alias("value"))
-    nothing = F.array().cast("array<string>")
-
-    def state(acc: Column, **now: Column) -> Column:
-        return F.struct(*(now.get(name, acc[name]).cast(kind).alias(name) for name, kind in _STATE.items()))
-
-    def closed(acc: Column) -> Column:
-        """With the block scalar that was open as a row."""
-        value = _block_text(acc["lines"], acc["style"])
-        done = state(acc, out=F.concat(acc["out"], F.array(row(acc["at"], acc["path"], value))), style=F.lit(""), lines=nothing)
-        return F.when(acc["style"] != "", done).otherwise(acc)
-
-    def put(acc: Column, line: Column, no: Column) -> Column:
-        indent = F.length(F.regexp_extract(line, r"^( *)", 1))
-        inside = (acc["style"] != "") & ((indent > acc["indent"]) | (F.trim(line) == ""))
-        more = state(acc, lines=F.concat(acc["lines"], F.array(line)))
-        return F.when(inside, more).otherwise(let(closed(acc), lambda a: plain(a, line, no, indent)))
-
-    def plain(acc: Column, line: Column, no: Column, indent: Column) -> Column:
-        is_item = line.rlike(r"^ *-(\s|$)")
-        gap = F.length(F.regexp_extract(line, r"^ *(-\s*)", 1))
-        body = F.when(is_item, F.regexp_replace(line, r"^ *-\s*", "")).otherwise(F.trim(line))
-        name = F.concat(*(F.regexp_extract(body, pair, k) for k in (1, 2, 3)))
-        has_key = body.rlike(pair)
-        # What stays open: shallower keys; for an item also the key it belongs to at the same indent.
-        above = F.filter(acc["stack"], lambda s: (s["indent"] < indent) | (is_item & (s["indent"] == indent) & (s["item"] < 0)))
-        same = F.filter(acc["stack"], lambda s: (s["indent"] == indent) & (s["item"] >= 0))
-        at = F.coalesce(F.get(same, F.size(same) - 1)["item"] + 1, F.lit(0))
-        opened = F.when(is_item, F.concat(above, F.array(entry(indent, at, at.cast("string"))))).otherwise(above)
-        own = F.when(is_item, indent + gap).otherwise(indent)
-        stack = F.when(has_key, F.concat(opened, F.array(entry(own, F.lit(-1), F.trim(name))))).otherwise(opened)
-        rest = F.trim(F.when(has_key, F.regexp_extract(body, pair, 4)).otherwise(body))
-        full = F.array_join(F.transform(stack, lambda s: s["name"]), ".")
-        is_list, is_map = rest.rlike(r"^\[[^\[\]{}]*\]\s*(#.*)?$"), rest.rlike(r"^\{[^\[\]{}]*\}\s*(#.*)?$")
-        under = lambda n: F.concat_ws(".", F.nullif(full, F.lit("")), n)
-        rows = (
-            F.when(is_list, F.transform(_flow_items(rest), lambda x, i: row(no, under(i.cast("string")), scalar(x))))
-            .when(is_map, F.transform(_flow_pairs(rest), lambda x: row(no, under(F.trim(x["name"])), scalar(x["value"]))))
-            .when(F.regexp_replace(rest, r"^#.*", "") != "", F.array(row(no, full, scalar(rest))))
-            .otherwise(F.array().cast(_ROWS))
-        )
-        block = rest.rlike(r"^[|>][+-]?\s*(#.*)?$")
-        cut = rest.rlike(r"^[\[{][^\]}]*$") | rest.rlike(r'^"(?:[^"\\]|\\.)*$') | rest.rlike(r"^'(?:[^']|'')*$")
-        skip = line.rlike(r"^\s*(#.*|---|\.\.\.)?\s*$")
-        bad = (~has_key & ~is_item) | cut
-        read = state(acc, stack=stack, out=F.when(block, acc["out"]).otherwise(F.concat(acc["out"], rows)), bad=F.when((acc["bad"] == 0) & bad, no).otherwise(acc["bad"]))
-        begun = state(acc, stack=stack, style=rest, path=full, at=no, indent=F.when(has_key, own).otherwise(indent), lines=nothing)
-        return F.when(skip, acc).when(block, begun).otherwise(read)
-
-    none = {"array": F.array(), "string": F.lit(""), "int": F.lit(0)}
-    start = F.struct(*(none[kind.partition("<")[0]].cast(kind).alias(name) for name, kind in _STATE.items()))
-    numbered = F.transform(lines, lambda line, i: F.struct(line.alias("line"), (i + 1).alias("no")))
-    found = F.aggregate(numbered, start, lambda acc, x: put(acc, x["line"], x["no"]), closed)
-    rows = docs.select(F.col(key), found.alias("__f"))
-    if corrupt == "raise":
-        said = F.concat(F.lit("Failed to parse registry: "), F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(", line "), F.col("__f.bad").cast("string"))
-        rows = rows.filter(F.when(F.col("__f.bad") > 0, F.raise_error(said).cast("boolean")).otherwise(F.lit(True)))
-    else:
-        rows = rows.filter("__f.bad = 0")
-    return rows.select(key, F.explode("__f.out").alias("__r")).select(key, "__r.line_no", "__r.path", "__r.value")
+    lines = _told_lines(docs, key, text)
+    kinds = T.StructType([docs.schema[key]]).add("line_no", "integer").add("path", "string").add("rest", "string").add("lines", T.ArrayType(T.StringType()))
+    rows = lines.mapInArrow(_folded(key, corrupt), kinds)
+    rest = F.col("rest")
+    is_list, is_map = rest.rlike(r"^\[[^\[\]{}]*\]\s*(#.*)?$"), rest.rlike(r"^\{[^\[\]{}]*\}\s*(#.*)?$")
+    at = lambda path, value: F.struct(path.alias("path"), value.alias("value"))
+    under = lambda n: F.concat_ws(".", F.nullif(F.col("path"), F.lit("")), n)
+    found = (
+        F.when(F.col("lines").isNotNull(), F.array(at(F.col("path"), _block_text(F.col("lines"), rest))))
+        .when(is_list, F.transform(_flow_items(rest), lambda x, i: at(under(i.cast("string")), scalar(x))))
+        .when(is_map, F.transform(_flow_pairs(rest), lambda x: at(under(F.trim(x["name"])), scalar(x["value"]))))
+        .otherwise(F.array(at(F.col("path"), scalar(rest))))
+    )
+    return rows.select(key, "line_no", F.inline(found))
 
 
 def read_yaml(spark: SparkSession, path: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """YAML as rows: block scalars, flow collections, corrupt files, nested output."""
 
+import time
+
 import pytest
 
 from cairnflow.sources import yamls as Y
@@ -76,3 +78,16 @@ def test_nested_values_come_back(spark):
     text = Y.yaml_text(rows, "file", "id", ["id", "tags", "at"], "items")
     got = {(r.path, r.value) for r in Y.yaml_paths(text, "file", "text").collect()}
     assert got == {("items.0.id", "1"), ("items.0.tags.0", 'x, "y"'), ("items.0.tags.1", "z"), ("items.0.at.u", "p: q"), ("items.0.at.v", None), ("items.1.id", "2"), ("items.1.at.u", "1"), ("items.1.at.v", "a\nb"), ("items.2.id", "3"), ("items.2.tags", None), ("items.2.at", None)}
+
+
+def test_long_documents_take_time_by_their_lines(spark):
+    """30,000 entities in one text and 20,000 items in another: time grew with the square of the lines before."""
+    lines = lambda n: "entities:\n  part:\n" + "".join(f"    p{i}:\n      path: a/{i}  # where\n      keywords:\n        - k\n        - {i}\n" for i in range(n))
+    texts = spark.createDataFrame([("a", lines(30_000)), ("b", "list:\n" + "".join(f"- {i}\n" for i in range(20_000))), ("c", lines(3_000) + "just words\n"), (None, "x: 1")], "k string, t string").coalesce(1)
+    start = time.time()
+    found = Y.yaml_paths(texts, "k", "t").persist()
+    assert {r.k: r["count"] for r in found.groupBy("k").count().collect()} == {"a": 90_000, "b": 20_000, None: 1}
+    assert time.time() - start < 60
+    last = {(r.line_no, r.path, r.value) for r in found.filter("k = 'a' AND line_no > 149998 OR k = 'b' AND path = 'list.19999'").collect()}
+    assert last == {(150_001, "entities.part.p29999.keywords.0", "k"), (150_002, "entities.part.p29999.keywords.1", "29999"), (149_999, "entities.part.p29999.path", "a/29999"), (20_001, "list.19999", "19999")}
+    found.unpersist()
