@@ -91,3 +91,13 @@ def test_long_documents_take_time_by_their_lines(spark):
     last = {(r.line_no, r.path, r.value) for r in found.filter("k = 'a' AND line_no > 149998 OR k = 'b' AND path = 'list.19999'").collect()}
     assert last == {(150_001, "entities.part.p29999.keywords.0", "k"), (150_002, "entities.part.p29999.keywords.1", "29999"), (149_999, "entities.part.p29999.path", "a/29999"), (20_001, "list.19999", "19999")}
     found.unpersist()
+
+
+def test_long_manifests_come_back(spark):
+    """A manifest of 20,000 items, written and read: time grew with the square of the lines before."""
+    rows = spark.range(20_000).selectExpr("'f' AS file", "id", "concat('p: ', id) AS path", "if(id % 3 = 0, NULL, 'k') AS kind")
+    start = time.time()
+    found = Y.yaml_items(Y.yaml_paths(Y.yaml_text(rows, "file", "id", ["id", "path", "kind"], "files", "Head"), "file", "text"), "file", "files", ["id", "path", "kind"])
+    got = found.selectExpr("count(*) AS n", "count_if(id = item AND path = concat('p: ', item) AND kind <=> if(item % 3 = 0, NULL, 'k')) AS same").first()
+    assert tuple(got) == (20_000, 20_000)
+    assert time.time() - start < 60
