@@ -187,11 +187,19 @@ def _heads(rows: DataFrame, order: DataFrame, least: float, name: str) -> DataFr
     return rows.filter(F.col("__at") <= spare).select(F.col("id").alias(name), "token")
 
 
-def _tokens(rows: DataFrame) -> DataFrame:
-    """id, n and a token for each item that is not null."""
-    each = rows.select("id", "n", F.explode("items").alias("item")).filter("item IS NOT NULL")
-    occurrence = F.row_number().over(W.partitionBy("id", "item").orderBy("item"))
-    return each.select("id", "n", F.struct("item", occurrence.alias("k")).alias("token"))
+def _tokens(items: Column) -> Column:
+    """A token for each item that is not null, sorted."""
+    known = F.array_sort(F.filter(items, lambda x: x.isNotNull()))
+    return F.transform(known, lambda x, i: F.struct(x.alias("item"), (i + 2 - F.array_position(known, x)).alias("k")))
+
+
+def _classes(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (id, items) as members (id, seq) of different sequences (seq, items, bag) of different bags (id, n, tokens)."""
+    rows = written(rows, name)
+    seqs = written(rows.select("items").distinct().select(F.monotonically_increasing_id().alias("seq"), "items", F.size("items").alias("n"), _tokens(F.col("items")).alias("tokens")), f"{name}_sequences")
+    bags = written(seqs.select("n", "tokens").distinct().withColumn("id", F.monotonically_increasing_id()), f"{name}_bags")
+    members = rows.join(seqs, "items").select("id", "seq")
+    return members, seqs.join(bags, ["n", "tokens"]).select("seq", "items", F.col("id").alias("bag")), bags
 
 
 def similar_patterns(store: DataFrame, probes: DataFrame, key: str, items: str, least: float = 0.3) -> DataFrame:
@@ -199,15 +207,20 @@ def similar_patterns(store: DataFrame, probes: DataFrame, key: str, items: str,
 
     similarity = 2 x longest common subsequence / items of both, in (0, 1], to nine digits (the formula is ours). The
     common subsequence is no longer than what the two have in common as bags, so they share one of the rarest tokens of
-    either. Lengths are told before the subsequence is computed. Null and empty sequences match nothing.
+    either: bags meet by those and are held to that length, then the different sequences of two bags that fit are compared,
+    and only what comes out is dealt to the keys that have these sequences. Null and empty sequences match nothing.
     """
     text = F.transform(items, lambda x: x.cast("string"))
-    probes, store = (r.select(F.col(key).alias("id"), text.alias("items")).filter(F.size("items") > 0).withColumn("n", F.size("items")) for r in (probes, store))
-    a, b = _tokens(probes), _tokens(store)
-    order = b.groupBy("token").agg(F.count("*").alias("df"))
-    pairs = _heads(a, order, least, "probe").join(_heads(b, order, least, "pattern"), "token").select("probe", "pattern").distinct()
-    pairs = pairs.join(probes.select(F.col("id").alias("probe"), F.col("items").alias("a")), "probe").join(store.select(F.col("id").alias("pattern"), F.col("items").alias("b")), "pattern")
-    n, m = F.size("a"), F.size("b")
-    pairs = pairs.filter(2 * F.least(n, m) >= least * (n + m) - SLACK)
-    similarity = F.round(2 * common_length(F.col("a"), F.col("b")) / (n + m), 9)
-    return pairs.select("probe", "pattern", similarity.alias("similarity")).filter((F.col("similarity") >= least) & (F.col("similarity") > 0))
+    probes, store = (r.select(F.col(key).alias("id"), text.alias("items")).filter(F.size("items") > 0) for r in (probes, store))
+    (asking, probes, a), (kept, store, b) = _classes(probes, "probes"), _classes(store, "patterns")
+    tokens = lambda bags: bags.select("id", "n", F.explode("tokens").alias("token"))
+    order = tokens(b).groupBy("token").agg(F.count("*").alias("df"))
+    met = _heads(tokens(a), order, least, "p").join(_heads(tokens(b), order, least, "q"), "token").select("p", "q").distinct()
+    met = met.join(a.select(F.col("id").alias("p"), F.col("n").alias("pn"), F.col("tokens").alias("pt")), "p").join(b.select(F.col("id").alias("q"), F.col("n").alias("qn"), F.col("tokens").alias("qt")), "q")
+    met = written(met.filter(2 * F.size(F.array_intersect("pt", "qt")) >= least * (F.col("pn") + F.col("qn")) - SLACK).select("p", "q"), "bag_pairs")
+    pairs = met.join(probes.select(F.col("seq").alias("probe"), F.col("items").alias("a"), F.col("bag").alias("p")), "p").join(store.select(F.col("seq").alias("pattern"), F.col("items").alias("b"), F.col("bag").alias("q")), "q")
+    similarity = F.round(2 * common_length(F.col("a"), F.col("b")) / (F.size("a") + F.size("b")), 9)
+    pairs = pairs.select("probe", "pattern", similarity.alias("similarity")).filter((F.col("similarity") >= least) & (F.col("similarity") > 0))
+    pairs = written(pairs, "sequence_pairs")
+    named = pairs.join(kept.select(F.col("seq").alias("pattern"), "id"), "pattern").select("probe", F.col("id").alias("pattern"), "similarity")
+    return named.join(asking.select(F.col("seq").alias("probe"), "id"), "probe").select(F.col("id").alias("probe"), "pattern", "similarity")

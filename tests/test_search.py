@@ -121,3 +121,19 @@ def test_similar_patterns_against_all_pairs(spark):
         assert got == want
     found = search.similar_patterns(frame([(1, ["develop", "review-qa", "apply-qa-fixes"])]), frame([(7, ["develop", "review-qa"])]), "key", "items").collect()
     assert [tuple(r) for r in found] == [(7, 1, 0.8)]
+
+
+def test_copies_of_sequences_are_compared_once(spark, monkeypatch):
+    """Probes and patterns that are copies of few sequences: only these meet, and bags that are too unlike never do."""
+    made, kept = {}, search.written
+
+    def counted(df, name):
+        made[name] = kept(df, name)
+        return made[name]
+
+    monkeypatch.setattr(search, "written", counted)
+    sequences = [list("abcde"), list("abced"), list("aaxyz"), list("vwxyz")]
+    rows = lambda n: spark.createDataFrame([(i, sequences[i % 4]) for i in range(n)], "key long, items array<string>")
+    got = search.similar_patterns(rows(40), rows(800), "key", "items", 0.8).groupBy("similarity").count().collect()
+    assert {(r.similarity, r["count"]) for r in got} == {(1.0, 800 * 10), (0.8, 400 * 10)}
+    assert (made["bag_pairs"].count(), made["sequence_pairs"].count()) == (3, 6)
