@@ -125,7 +125,8 @@ def close_pairs(values: DataFrame, value: str, most: int = 2, hot: int = 64) ->
     Two such strings agree in one of ``most`` + 1 segments of the shorter one, near its place: segments meet substrings by
     equality. A segment that more than ``hot`` strings share (a common prefix) says little; its strings meet by what is
     left of them without up to ``most`` characters instead, which two strings within ``most`` edits also share. Candidates
-    are verified by the distance itself, so the result is exact.
+    are verified by the distance itself where they meet, so the result is exact and only answers are told apart. What is
+    exploded from a small file is large, which its size does not tell, so these joins sort and never broadcast.
     """
     distinct = written(values.select(F.col(value).alias("s")).filter("s IS NOT NULL").distinct().withColumn("n", F.length("s")), "strings")
     cut = distinct.select("s", F.col("n").alias("l"), F.explode(_segments(F.col("n"), most)).alias("x"))
@@ -141,12 +142,15 @@ def close_pairs(values: DataFrame, value: str, most: int = 2, hot: int = 64) ->
     place = ["l", "i", "part"]
     crowded = written(index.groupBy(*place).agg(F.count("*").alias("k")).filter(F.col("k") > hot).drop("k"), "crowded")
     rare = index.join(crowded, place, "left_anti")
-    found = rare.alias("a").join(probes.alias("b"), place).filter("a.s <> b.s").select(F.least("a.s", "b.s").alias("a"), F.greatest("a.s", "b.s").alias("b"))
+    found = rare.alias("a").join(probes.hint("merge").alias("b"), place).filter("a.s <> b.s").select(F.least("a.s", "b.s").alias("a"), F.greatest("a.s", "b.s").alias("b"))
     many = probes.join(crowded, place, "left_semi").select("s").distinct()
-    rests = many.select("s", F.explode(shortened(F.col("s"), most)).alias("rest"))
-    dense = rests.alias("a").join(rests.alias("b"), "rest").filter("a.s < b.s").select(F.col("a.s").alias("a"), F.col("b.s").alias("b"))
-    distance = F.levenshtein("a", "b", most)
-    return found.unionByName(dense).distinct().withColumn("distance", distance).filter(F.col("distance") >= 0)
+    # One edit leaves out the same place of both or a place of one (0: none), which is told before the distance.
+    ways = F.concat(F.array("s"), _without(F.col("s"))) if most == 1 else shortened(F.col("s"), most)
+    rests = many.select("s", F.posexplode(ways).alias("place", "rest"))
+    fits = "a.s < b.s" + (" AND (a.place = b.place OR a.place = 0 OR b.place = 0)" if most == 1 else "")
+    dense = rests.alias("a").join(rests.hint("merge").alias("b"), "rest").filter(fits).select(F.col("a.s").alias("a"), F.col("b.s").alias("b"))
+    close = lambda pairs: pairs.withColumn("distance", F.levenshtein("a", "b", most)).filter(F.col("distance") >= 0)
+    return close(found).unionByName(close(dense)).distinct()
 
 
 # ---- pattern similarity

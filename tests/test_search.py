@@ -137,3 +137,12 @@ def test_copies_of_sequences_are_compared_once(spark, monkeypatch):
     got = search.similar_patterns(rows(40), rows(800), "key", "items", 0.8).groupBy("similarity").count().collect()
     assert {(r.similarity, r["count"]) for r in got} == {(1.0, 800 * 10), (0.8, 400 * 10)}
     assert (made["bag_pairs"].count(), made["sequence_pairs"].count()) == (3, 6)
+
+
+def test_close_pairs_broadcast_nothing_exploded(spark):
+    """Names of a few bytes in the file become many strings: a broadcast of those filled the driver."""
+    names = spark.range(2_000).selectExpr("format_string('Customer#%09d', id) AS s")
+    pairs = search.close_pairs(names, "s", 1)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") >= 2 and plan.count("LeftSemi, BuildRight") + plan.count("LeftAnti, BuildRight") == plan.count("BroadcastHashJoin")
+    assert pairs.count() == sum(1 for a in range(2_000) for k in range(4) for d in range(a // 10**k % 10 + 1, 10) if a + (d - a // 10**k % 10) * 10**k < 2_000)
