@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
 from .ranks import running
 
 
@@ -101,12 +102,29 @@ def posting_blocks(edges: DataFrame, item: str, key: str, size: int = 1024) -> D
     return blocks.select(item, "block", F.size("keys").alias("n"), "keys")
 
 
-def sharing(blocks: DataFrame, wanted: DataFrame, item: str, key: str) -> DataFrame:
+def sharing(blocks: DataFrame, wanted: DataFrame, item: str, key: str, tile: int = 500_000) -> DataFrame:
     """Key, id, shared: of every wanted row (key, item) the ids in ``blocks`` that list one of its items, with
-    the number of items they share; an id is not told about itself. Blocks are unpacked only where an item is wanted."""
-    asked = wanted.select(key, item).filter(F.col(item).isNotNull()).distinct()
-    met = asked.join(blocks, item).select(key, F.explode("keys").alias("id"))
-    return met.filter(~F.col(key).eqNullSafe(F.col("id"))).groupBy(key, "id").agg(F.count("*").alias("shared"))
+    the number of items they share; an id is not told about itself. Blocks are unpacked only where an item is wanted.
+
+    Consecutive wanted keys make a tile of about ``tile`` rows. A block is sent once to each tile that wants its item and
+    is unpacked and counted there, so what is shuffled are lists, not the pairs that meet. A key with more rows than that
+    is no part of a tile: its pairs are dealt by id.
+    """
+    rows = wanted.select(key, item).filter(F.col(item).isNotNull())
+    sizes = written(rows.groupBy(F.col(key).alias("__k")).agg(F.count("*").alias("__n")), "sharing_keys")
+    upto = running(sizes.filter(F.col("__n") <= tile), [], ["__k"], F.col("__n"), "__upto")
+    tiles = written(upto.select("__k", F.floor(F.col("__upto") / tile).cast("int").alias("__tile")), "sharing_tiles")
+    n_tiles = (tiles.agg(F.max("__tile")).first()[0] or 0) + 1
+    asked = rows.distinct().join(tiles, F.col(key).eqNullSafe(F.col("__k")), "left").select(key, item, "__tile")
+    others = ~F.col(key).eqNullSafe(F.col("id"))
+    lists = asked.filter("__tile IS NOT NULL").repartition(item).groupBy(item, "__tile").agg(F.collect_list(F.struct(key)).alias("__asked"))
+    sent = lists.join(blocks, item).select("__tile", "__asked", "keys").repartition(n_tiles, "__tile")
+    met = sent.select("__tile", "keys", F.inline("__asked")).select("__tile", key, F.explode("keys").alias("id")).filter(others)
+    found = met.groupBy("__tile", key, "id").agg(F.count("*").alias("shared")).drop("__tile")
+    if sizes.filter(F.col("__n") > tile).isEmpty():
+        return found
+    alone = asked.filter("__tile IS NULL").join(blocks, item).select(key, F.explode("keys").alias("id")).filter(others)
+    return found.unionByName(alone.groupBy(key, "id").agg(F.count("*").alias("shared")))
 
 
 def overlaps(a: Column, b: Column) -> Column:

@@ -2,7 +2,7 @@
 
 import math
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -131,3 +131,19 @@ def test_impact_of_nothing(spark):
     none = spark.createDataFrame([], "src long, dst long")
     assert G.impact_of_all(spark.createDataFrame([], "id long"), none).count() == 0
     assert [tuple(r) for r in G.impact_of_all(spark.createDataFrame([(5,)], "id long"), none).collect()] == [(5, 0, 0, 0, 0.0)]
+
+
+def test_sharing_sends_lists_not_pairs(spark):
+    """Keys in tiles of any size, a null key and one too large for a tile; pairs that meet are counted where they are."""
+    rng = random.Random(9)
+    rows = [(k, i) for k in [*range(25), None] for i in range(60) if rng.random() < 0.2] + [(7, i) for i in range(60)] + [(3, None), (3, 5), (3, 5)]
+    df = spark.createDataFrame(rows, "key long, item long")
+    blocks = J.posting_blocks(df, "item", "key", 4)
+    pairs = {(k, i) for k, i in rows if i is not None}
+    want = Counter((k, other) for k, i in pairs for other, j in pairs if i == j and other is not None and k != other)
+    for tile in (1_000_000, 40, 10):
+        got = J.sharing(blocks, df, "item", "key", tile).collect()
+        assert len(got) == len(want) and {(r.key, r.id): r.shared for r in got} == dict(want)
+    plan = J.sharing(blocks, df, "item", "key")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[: plan.index("Generate explode(keys")]
+    assert J.sharing(blocks, df.limit(0), "item", "key").count() == 0
