@@ -18,12 +18,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _starts(text: Column, with_one_of: str, pattern: str) -> Column:
+    """Whether a pattern that starts with one of these characters fits; tried only where the text starts so."""
+    return F.substr(text, F.lit(1), F.lit(1)).isin(*with_one_of) & text.rlike(pattern)
+
+
 def scalar(text: Column) -> Column:
     """The value of a scalar as written: quotes and trailing comment taken off; empty, ``null`` and ``~`` are null."""
     t = F.trim(text)
     double = F.regexp_extract(t, r'^"((?:[^"\\]|\\.)*)"\s*(?:#.*)?$', 1)
     single = F.regexp_replace(F.regexp_extract(t, r"^'((?:[^']|'')*)'\s*(?:#.*)?$", 1), "''", "'")
-    plain = F.trim(F.regexp_replace(t, r"(^|\s)#.*$", ""))
+    plain = F.when(t.contains("#"), F.trim(F.regexp_replace(t, r"(^|\s)#.*$", ""))).otherwise(t)
     told = F.regexp_replace(F.regexp_replace(double, r"\\n", "\n"), r'\\(["\\/])', "$1")
     return F.when(t.startswith('"'), told).when(t.startswith("'"), single).otherwise(F.when(plain.isin("", "null", "~"), F.lit(None)).otherwise(plain))
 
@@ -67,17 +72,24 @@ def _told_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     pair = r"^(?:\"([^\"]*)\"|'([^']*)'|([^\s#\"'\[{\-][^:#]*?|-[^\s:][^:]*?)):(?:\s+(.*))?$"
     split = F.split(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"\r\n?", "\n"), "\n")
     lines = docs.select(key, F.posexplode(split).alias("at", "line")).select(key, (F.col("at") + 1).alias("line_no"), "line")
-    line, is_item = F.col("line"), F.col("line").rlike(r"^ *-(\s|$)")
-    body = F.when(is_item, F.regexp_replace(line, r"^ *-\s*", "")).otherwise(F.trim(line))
-    indent, gap = (F.length(F.regexp_extract(line, p, 1)) for p in (r"^( *)", r"^ *(-\s*)"))
-    lines = lines.withColumns({"indent": indent, "is_item": is_item, "body": body, "own": indent + gap})
-    name = F.when(F.col("body").rlike(pair), F.trim(F.concat(*(F.regexp_extract("body", pair, k) for k in (1, 2, 3)))))
-    lines = lines.withColumn("name", name).withColumn("rest", F.trim(F.when(F.col("name").isNotNull(), F.regexp_extract("body", pair, 4)).otherwise(F.col("body"))))
+    line = F.col("line")
+    # Patterns cost most here: each is tried only on lines whose first character lets it fit, that of a pair once.
+    lines = lines.withColumn("from", F.ltrim(line))
+    dash = F.col("from").startswith("-")
+    indent, gap = F.length(line) - F.length("from"), F.when(dash, F.length(F.regexp_extract("from", r"^(-\s*)", 1))).otherwise(0)
+    lines = lines.withColumns({"indent": indent, "is_item": dash & F.col("from").rlike(r"^-(\s|$)"), "gap": gap})
+    body = F.when(F.col("is_item"), F.substr("from", F.col("gap") + 1)).otherwise(F.rtrim("from"))
+    # A body starts with no space and no line holds a line end, so these tell a pair and its halves.
+    lines = lines.withColumn("body", body).withColumn("halves", F.regexp_replace("body", f"{pair}(?s:.*)", " $1$2$3\n$4"))
+    is_pair = F.col("halves").startswith(" ")
+    name, rest = F.when(is_pair, F.trim(F.substring_index("halves", "\n", 1))), F.trim(F.substring_index("halves", "\n", -1))
+    lines = lines.withColumns({"own": F.col("indent") + F.col("gap"), "name": name, "rest": rest})
     rest = F.col("rest")
-    cut = rest.rlike(r"^[\[{][^\]}]*$") | rest.rlike(r'^"(?:[^"\\]|\\.)*$') | rest.rlike(r"^'(?:[^']|'')*$")
+    cut = _starts(rest, "[{", r"^[\[{][^\]}]*$") | _starts(rest, '"', r'^"(?:[^"\\]|\\.)*$') | _starts(rest, "'", r"^'(?:[^']|'')*$")
+    no_skip = F.ascii("from").between(48, 122) | (dash & ~F.col("from").startswith("---"))  # from 0 to z
     kind = (
-        F.when(line.rlike(r"^\s*(#.*|---|\.\.\.)?\s*$"), _SKIP)
-        .when(rest.rlike(r"^[|>][+-]?\s*(#.*)?$"), _BLOCK)
+        F.when(~no_skip & line.rlike(r"^\s*(#.*|---|\.\.\.)?\s*$"), _SKIP)
+        .when(_starts(rest, "|>", r"^[|>][+-]?\s*(#.*)?$"), _BLOCK)
         .when((F.col("name").isNull() & ~F.col("is_item")) | cut, _BAD)
         .when((rest == "") | rest.startswith("#"), _OPEN)
         .otherwise(_VALUE)
@@ -139,7 +151,8 @@ def _folded(key: str, corrupt: str) -> Callable[[Iterator[pa.RecordBatch]], Iter
             return [] if bad else [*held, *([packed()] if rows else [])]
 
         for batch in batches:
-            for i, told in enumerate(zip(*(c.to_pylist() for c in batch.columns[1:]))):
+            # By way of NumPy, since to_pylist makes an object of Arrow per value; only names are ever null.
+            for i, told in enumerate(zip(*(c.to_numpy(zero_copy_only=False).tolist() for c in batch.columns[1:]))):
                 if told[0] == 1:
                     yield from ended()
                     doc, held, rows, bad, name = _Paths(), [], [], False, batch.column(0).slice(i, 1)
@@ -171,7 +184,7 @@ def yaml_paths(docs: DataFrame, key: str, text: str, corrupt: str = "drop") -> D
     kinds = T.StructType([docs.schema[key]]).add("line_no", "integer").add("path", "string").add("rest", "string").add("lines", T.ArrayType(T.StringType()))
     rows = lines.mapInArrow(_folded(key, corrupt), kinds)
     rest = F.col("rest")
-    is_list, is_map = rest.rlike(r"^\[[^\[\]{}]*\]\s*(#.*)?$"), rest.rlike(r"^\{[^\[\]{}]*\}\s*(#.*)?$")
+    is_list, is_map = _starts(rest, "[", r"^\[[^\[\]{}]*\]\s*(#.*)?$"), _starts(rest, "{", r"^\{[^\[\]{}]*\}\s*(#.*)?$")
     at = lambda path, value: F.struct(path.alias("path"), value.alias("value"))
     under = lambda n: F.concat_ws(".", F.nullif(F.col("path"), F.lit("")), n)
     found = (
