@@ -10,6 +10,7 @@ from ..operators import aggregates as A
 from ..operators import graph as G
 from ..operators import joins as J
 from ..operators import ordered as O
+from ..operators import pairs as P
 from ..operators import search as Q
 from .base import Tables, query
 
@@ -98,8 +99,7 @@ def ref_posting_blocks(t: Tables) -> DataFrame:
 @query("""WITH p AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) SELECT a.l_suppkey, b.l_suppkey AS id, count(*) AS shared FROM p a JOIN p b USING (l_partkey) WHERE a.l_suppkey <> b.l_suppkey GROUP BY ALL""")
 def ref_sharing(t: Tables) -> DataFrame:
     """Suppliers that share parts."""
-    blocks = J.posting_blocks(t.lineitem, "l_partkey", "l_suppkey")
-    return J.sharing(blocks, t.lineitem, "l_partkey", "l_suppkey")
+    return P.all_sharing(t.lineitem, "l_partkey", "l_suppkey")
 
 
 @query("SELECT o_orderkey, (row_number() OVER w - 1) // 100 + 1 AS page, (row_number() OVER w - 1) % 100 + 1 AS place FROM orders WINDOW w AS (ORDER BY o_totalprice DESC, o_orderkey)")

@@ -4,6 +4,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +12,9 @@ from cairnflow.operators import aggregates as A
 from cairnflow.operators import graph as G
 from cairnflow.operators import joins as J
 from cairnflow.operators import ordered as O
+from cairnflow.operators import pairs as P
 from cairnflow.operators import ranks as R
+from cairnflow.plans.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -147,3 +150,62 @@ def test_sharing_sends_lists_not_pairs(spark):
     plan = J.sharing(blocks, df, "item", "key")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan[: plan.index("Generate explode(keys")]
     assert J.sharing(blocks, df.limit(0), "item", "key").count() == 0
+
+
+def brute_shared(pairs):
+    lists = defaultdict(set)
+    for k, i in pairs:
+        if k is not None and i is not None:
+            lists[i].add(k)
+    return Counter((x, y) for keys in lists.values() for x in keys for y in keys if x != y)
+
+
+def shuffled(spark):
+    executors = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+    return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
+
+
+def test_all_sharing_against_brute_force(spark):
+    """Items cut by ranges and list sizes, one that all keys list, keys of several tiles, far apart or negative, nulls and copies."""
+    rng = random.Random(11)
+    near = [(rng.randrange(-40, 60), rng.randrange(80)) for _ in range(900)] + [(k, 7) for k in range(-40, 60)] + [(3, i) for i in range(80)]
+    far = [(rng.choice([-(2**63), 2**63 - 1, 0, 5, 2**62, -(2**62)]), rng.randrange(9)) for _ in range(60)]
+    for rows, sizes in ((near * 2 + [(None, 3), (4, None), (None, None)], ((1024, 1 << 21), (4, 100), (1, 64))), (far, ((3, 20),)), ([(1, 1)], ((8, 8),))):
+        want = brute_shared(rows)
+        df = spark.createDataFrame(rows, "key long, item long")
+        for size, tile in sizes:
+            got = P.all_sharing(df, "item", "key", size, tile).collect()
+            assert len(got) == len(want) and {(r.key, r.id): r.shared for r in got} == dict(want)
+    assert P.all_sharing(df.limit(0), "item", "key").count() == 0
+
+
+def test_all_sharing_keeps_types_and_names(spark):
+    rows = [(k, f"i{i}") for k in range(12) for i in range(20) if (k * i) % 3 == 1]
+    want = {(x, y): n for (x, y), n in brute_shared(rows).items()}
+    for kind in ("int", "string"):
+        df = spark.createDataFrame(rows, "k int, what string").withColumn("k", F.col("k").cast(kind))
+        got = P.all_sharing(df, "what", "k", 2, 8)
+        assert dict(got.dtypes) == {"k": kind, "id": kind, "shared": "bigint"}
+        assert {(int(r.k), int(r.id)): r.shared for r in got.collect()} == want
+    by_number = spark.createDataFrame([(1, float("nan")), (2, float("nan")), (3, -0.0), (4, 0.0)], "k int, what double")
+    assert {(r.k, r.id) for r in P.all_sharing(by_number, "what", "k").collect()} == {(1, 2), (2, 1), (3, 4), (4, 3)}
+
+
+def test_ref_sharing_moves_its_rows_once(spark, tmp_path):
+    """What is shuffled: the rows once, and the pairs as differences; sent again and again they were over 50 bytes a row."""
+    rng = random.Random(13)
+    rows = [(rng.randrange(1000), rng.randrange(600)) for _ in range(30_000)]
+    spark.createDataFrame(rows, "l_partkey long, l_suppkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    before = shuffled(spark)
+    got = QUERIES["ref_sharing"](spark, str(tmp_path)).collect()
+    moved = shuffled(spark) - before
+    assert {(r.l_suppkey, r.id): r.shared for r in got} == dict(brute_shared([(s, p) for p, s in rows]))
+    assert moved < 35 * len(rows), moved / len(rows)
+
+
+def test_pairs_sent_once_take_few_bytes():
+    """Pairs that meet once each are packed in about their entropy, and come back whole."""
+    rng = np.random.default_rng(5)
+    a, b, n = P._summed(rng.integers(0, 500, 20_000), rng.integers(500, 60_500, 20_000))
+    raw, packed = P._packed(a, b, n)
+    assert all((x == y).all() for x, y in zip((a, b, n), P._unpacked(len(a), raw, packed), strict=True)) and len(packed) < 3 * len(a)
