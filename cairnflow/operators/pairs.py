@@ -181,12 +181,12 @@ def _counted(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Recor
             yield pa.RecordBatch.from_arrays([pa.array(c[i : i + (1 << 17)]) for c in found], schema=_SCHEMA)
 
     for batch in batches:
-        for tile, m, raw, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for tile, m, raw, packed in zip(*(c.to_pylist() for c in batch.columns[:3]), batch.column(3), strict=True):
             if tile != now and held:
                 yield from told()
                 held, room = 0, 2 * limit
             now = tile
-            for column, more in zip(parts, _unpacked(m, raw, packed), strict=True):
+            for column, more in zip(parts, _unpacked(m, raw, packed.as_buffer()), strict=True):
                 column.append(more)
             held += m
             if held > room:
@@ -249,7 +249,7 @@ def _bytes(x: np.ndarray) -> bytes:
     return bytes([width]) + x.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes()
 
 
-def _unpacked(m: int, raw: int, packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _unpacked(m: int, raw: int, packed: bytes | pa.Buffer) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     data, at, found = np.frombuffer(pa.decompress(packed, raw, codec="zstd"), np.uint8), 0, []
     for _ in range(3):
         width = int(data[at])
